@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,12 @@ class Fleet:
     def scored(self) -> DataFrame:
         return scoring.score_readings(self.telemetry, self.registry)
 
+    @cached_property
+    def scored_machine(self) -> DataFrame:
+        """Scores of one machine; its filter reaches the scan because it comes before the rule."""
+        mine = self.telemetry.filter(F.col("machine_id") == MACHINE)
+        return scoring.score_readings(mine, self.registry)
+
     @cached_property
     def latest(self) -> DataFrame:
         return summary.latest_risk(self.scored, self.registry)
@@ -75,9 +81,9 @@ class Fleet:
 
     def stream(self) -> DataFrame:
         """The events as a file stream, turned into telemetry."""
-        schema = self.table("events").schema
         # A glob, because a stream cannot be rooted at a single file.
-        events = ingest.file_stream(self.spark, f"{self.folder}/events.parque[t]", schema)
+        path = f"{self.folder}/events.parque[t]"
+        events = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"])
         return driver_tables.telemetry(events, self.registry)
 
     def drained(self, stream: DataFrame, label: str) -> DataFrame:
@@ -221,8 +227,8 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     "full_trend_filtered": lambda f: serving.full_trend(f.scored, f.registry, CHOICE),
     "trend_machines": lambda f: serving.trend_machines(serving.full_trend(f.scored, f.registry)),
     "drill_last72": lambda f: serving.last_readings(f.telemetry, MACHINE),
-    "drill_history": lambda f: serving.score_history(f.scored, MACHINE),
-    "drill_latest": lambda f: serving.latest_recommendation(f.scored, MACHINE),
+    "drill_history": lambda f: serving.score_history(f.scored_machine, MACHINE),
+    "drill_latest": lambda f: serving.latest_recommendation(f.scored_machine, MACHINE),
     "machine_list": lambda f: serving.machine_list(f.registry),
     "error_frequency": lambda f: serving.error_frequency(f.telemetry, f.registry),
     "error_frequency_filtered": lambda f: serving.error_frequency(f.telemetry, f.registry, CHOICE),
@@ -291,9 +297,14 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["top5_actionable"](spark, "/root/testdata/sf0.001")
 
 
+@lru_cache(maxsize=4)
+def _fleet(spark: SparkSession, folder: str) -> Fleet:
+    return Fleet(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Fleet], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        return lambda spark, folder: plain(build(Fleet(spark, folder)))
+        return lambda spark, folder: plain(build(_fleet(spark, folder)))
 
     return {name: bind(build) for name, build in QUERIES.items()}
 

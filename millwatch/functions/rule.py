@@ -162,6 +162,14 @@ def rule_layers(rule: RiskRule = DEFAULT_RULE) -> list[Layer]:
     return [inputs, deviations, components, totals, verdict, tier, action]
 
 
+def _layered(source: str, rule: RiskRule) -> str:
+    """``source`` with every layer's columns added by one nested SELECT each."""
+    for layer in rule_layers(rule):
+        added = ", ".join(f"{sql} AS {name}" for name, sql in layer)
+        source = f"(SELECT *, {added} FROM {source})"
+    return source
+
+
 def apply_rule(
     readings: DataFrame, rule: RiskRule = DEFAULT_RULE, *, keep_components: bool = False
 ) -> DataFrame:
@@ -169,11 +177,10 @@ def apply_rule(
 
     Works on batch and streaming frames: only row-level expressions, no shuffle.
     """
-    scored = readings
-    for layer in rule_layers(rule):
-        scored = scored.selectExpr("*", *[f"{sql} AS {name}" for name, sql in layer])
-    kept = readings.columns + list(RESULTS) + (list(COMPONENTS) if keep_components else [])
-    return scored.select(*kept)
+    kept = ", ".join([*readings.columns, *RESULTS, *(COMPONENTS if keep_components else ())])
+    return readings.sparkSession.sql(
+        f"SELECT {kept} FROM {_layered('{readings}', rule)}", readings=readings
+    )
 
 
 def stored_score(score: str) -> str:
@@ -189,14 +196,13 @@ def register_sql_function(
     """Make the rule callable from SQL as a native function returning a struct."""
     if rule.type_weights:
         raise ValueError("the SQL function has no machine_type argument; use apply_rule")
-    body = "SELECT " + ", ".join(f"p_{arg} AS {arg}" for arg, _ in RULE_ARGUMENTS)
-    for layer in rule_layers(rule):
-        body = f"SELECT *, {', '.join(f'{sql} AS {col}' for col, sql in layer)} FROM ({body})"
+    inputs = ", ".join(f"p_{arg} AS {arg}" for arg, _ in RULE_ARGUMENTS)
+    body = _layered(f"(SELECT {inputs})", rule)
     arguments = ", ".join(f"p_{arg} {kind}" for arg, kind in RULE_ARGUMENTS)
     spark.sql(
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) "
         "RETURNS STRUCT<risk_score DOUBLE, risk_tier STRING, top_signal STRING, "
         "recommended_action STRING> "
         "RETURN (SELECT struct(rule_score AS risk_score, risk_tier, top_signal, "
-        f"recommended_action) FROM ({body}))"
+        f"recommended_action) FROM {body})"
     )

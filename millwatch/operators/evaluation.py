@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millwatch.config import SLICE_ROWS
 from millwatch.functions.columns import hours
 from millwatch.operators.history import carry_last
+from millwatch.operators.sizing import slice_seconds
 
 
 def alert_quality(
@@ -28,17 +29,10 @@ def alert_quality(
         )
         .distinct()
     )
-    before = carry_last(
-        marks, {"_alert": F.when(is_alert, at)}, order=["reading_ts"], inclusive=True, slice_rows=slice_rows
-    )
-    both = carry_last(
-        before,
-        {"_failure": F.when(is_failure, at)},
-        order=["reading_ts"],
-        inclusive=True,
-        backwards=True,
-        slice_rows=slice_rows,
-    )
+    seconds = slice_seconds(marks, "machine_id", "reading_ts", slice_rows)
+    through = {"order": ["reading_ts"], "inclusive": True, "seconds": seconds}
+    before = carry_last(marks, {"_alert": F.when(is_alert, at)}, **through)
+    both = carry_last(before, {"_failure": F.when(is_failure, at)}, backwards=True, **through)
     reach = hours(horizon_hours)
     counted = both.agg(
         F.count(F.when(is_alert, 1)).alias("alerts"),

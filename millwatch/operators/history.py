@@ -34,6 +34,7 @@ def carry_last(
     ts: str = "reading_ts",
     inclusive: bool = False,
     backwards: bool = False,
+    seconds: int | None = None,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Add, per item, its last non-NULL value among earlier rows of the same key.
@@ -41,9 +42,9 @@ def carry_last(
     ``order`` is the order inside a key and starts with ``ts``. ``inclusive`` also looks at
     the row itself and rows that tie with it; ``backwards`` looks at later rows instead.
     A key is cut into time slices; each slice starts with the value the slices before it
-    end with, so no task needs a whole history.
+    end with, so no task needs a whole history. The slice width is measured unless given.
     """
-    seconds = slice_seconds(df, key, ts, slice_rows)
+    seconds = seconds or slice_seconds(df, key, ts, slice_rows)
     direction = F.desc if backwards else F.asc
     rows = df.select(
         F.col(key).alias("_key"),

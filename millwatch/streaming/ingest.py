@@ -18,7 +18,7 @@ DELAY = "2 hours"
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, *, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType | str, *, files_per_batch: int | None = None
 ) -> DataFrame:
     """Parquet files under ``path`` (a folder or a glob) as they arrive."""
     reader = spark.readStream.schema(schema)
@@ -48,7 +48,7 @@ def decode_json(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def _with_event_time(stream: DataFrame, delay: str) -> DataFrame:
-    return stream.withColumn("_event_time", F.col("reading_ts").cast("timestamp")).withWatermark(
+    return stream.withColumn("_event_time", F.col("reading_ts").cast(T.TimestampType())).withWatermark(
         "_event_time", delay
     )
 
