@@ -26,6 +26,12 @@ def time_slice(ts: str, seconds: int) -> Column:
     return F.expr(f"CAST(CAST({ts} - {ORIGIN} AS INTERVAL SECOND) AS BIGINT) DIV {seconds}L")
 
 
+def hour_of(ts: str) -> Column:
+    """Start of the hour, without a detour over the session time zone."""
+    whole = f"CAST(CAST({ts} - {ORIGIN} AS INTERVAL SECOND) AS BIGINT) DIV 3600L"
+    return F.expr(f"{ORIGIN} + make_dt_interval(0, CAST({whole} AS INT), 0, 0)")
+
+
 def hours(n: float) -> Column:
     return F.expr(f"make_dt_interval(0, 0, 0, {n * 3600})")
 

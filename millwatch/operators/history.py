@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millwatch.config import SLICE_ROWS
 from millwatch.functions.columns import (
+    hour_of,
     hours,
     mean_of,
     scaled,
@@ -223,7 +224,7 @@ def risk_slope(scored: DataFrame, as_of: Column, *, within_hours: int = 168) ->
 def hourly_rollup(readings: DataFrame) -> DataFrame:
     """Tumbling hourly summary; partial sums are formed before the shuffle."""
     return (
-        readings.groupBy("machine_id", F.date_trunc("hour", "reading_ts").alias("hour_start"))
+        readings.groupBy("machine_id", hour_of("reading_ts").alias("hour_start"))
         .agg(
             F.count("*").alias("readings"),
             F.sum(scaled("temperature_c", 2)).alias("_t"),

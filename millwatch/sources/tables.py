@@ -42,10 +42,11 @@ def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id",
     spark = df.sparkSession
     dated = df.withColumn(DATE, F.to_date("reading_ts"))
     if table_exists(spark, path):
-        span = dated.agg(F.min(DATE), F.max(DATE)).first()
-        if span[0] is None:
+        # At most one entry per calendar day; a late reading adds its day, not the days between.
+        dates = [r[0] for r in dated.select(DATE).distinct().collect()]
+        if not dates:
             return
-        stored = read_fact(spark, path).filter(F.col(DATE).between(span[0], span[1]))
+        stored = read_fact(spark, path).filter(F.col(DATE).isin(dates))
         dated = dated.join(stored.select(*keys), list(keys), "left_anti")
     by_date(dated.drop(DATE)).write.mode("append").partitionBy(DATE).parquet(path)
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millwatch.config import DEFAULT_RULE, RiskRule
+from millwatch.config import BROADCAST_ROWS, DEFAULT_RULE, RiskRule
 from millwatch.functions.columns import hours
 from millwatch.operators.history import drop_repeats, tier_changes
+from millwatch.operators.sizing import row_count
 from millwatch.plans.features import features
 from millwatch.plans.scoring import score_readings, stamped
 from millwatch.plans.summary import latest_scores, merge_latest
@@ -109,6 +110,8 @@ def keep_current(
     else:
         known = previous
         since = previous.select("machine_id", F.col("reading_ts").alias("_since"))
+        if row_count(registry) <= BROADCAST_ROWS:  # at most one row per registered machine
+            since = F.broadcast(since)
         in_order = (
             fresh.join(since, "machine_id", "left")
             .filter("_since IS NULL OR reading_ts > _since")
