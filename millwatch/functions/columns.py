@@ -89,6 +89,11 @@ def severity(tier: str) -> Column:
     return level
 
 
+def reading_key() -> Column:
+    """A stable surrogate for the natural key; it never depends on storage order."""
+    return F.xxhash64("machine_id", "reading_ts")
+
+
 def minute_text(ts: str) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm")
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millwatch.schema import Contract
+
 DATE = "reading_date"
 
 
@@ -18,24 +21,30 @@ def by_date(df: DataFrame) -> DataFrame:
     return dated.hint("rebalance", DATE).sortWithinPartitions(DATE, "machine_id", "reading_ts")
 
 
-def write_fact(df: DataFrame, path: str) -> None:
+def _counted_write(df: DataFrame, path: str, mode: str, **options: str) -> int:
+    """Write by date and return the rows written, counted on the way."""
+    rows = Observation()
+    counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
+    by_date(counted).write.mode(mode).options(**options).partitionBy(DATE).parquet(path)
+    try:
+        return rows.get["rows"]
+    except Py4JJavaError:
+        # Adaptive execution found nothing to write and dropped the counting node.
+        return 0
+
+
+def write_fact(df: DataFrame, path: str) -> int:
     """Replace the whole table; running it twice gives the same table."""
-    by_date(df).write.mode("overwrite").partitionBy(DATE).parquet(path)
+    return _counted_write(df, path, "overwrite")
 
 
-def replace_dates(df: DataFrame, path: str) -> None:
+def replace_dates(df: DataFrame, path: str) -> int:
     """Replace only the dates present in ``df``."""
-    (
-        by_date(df)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE)
-        .parquet(path)
-    )
+    return _counted_write(df, path, "overwrite", partitionOverwriteMode="dynamic")
 
 
-def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id", "reading_ts")) -> None:
-    """Append rows whose key the table does not hold yet.
+def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id", "reading_ts")) -> int:
+    """Append rows whose key the table does not hold yet; returns how many.
 
     Only the dates of ``df`` are read back. A retry finds the rows already there and adds none.
     """
@@ -45,14 +54,26 @@ def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id",
         # At most one entry per calendar day; a late reading adds its day, not the days between.
         dates = [r[0] for r in dated.select(DATE).distinct().collect()]
         if not dates:
-            return
-        stored = read_fact(spark, path).filter(F.col(DATE).isin(dates))
+            return 0
+        stored = spark.read.schema(dated.schema).parquet(path).filter(F.col(DATE).isin(dates))
         dated = dated.join(stored.select(*keys), list(keys), "left_anti")
-    by_date(dated.drop(DATE)).write.mode("append").partitionBy(DATE).parquet(path)
+    return _counted_write(dated.drop(DATE), path, "append")
+
+
+def create_empty(spark: SparkSession, contract: Contract, path: str) -> None:
+    """Drop and recreate a declared table without rows; facts are laid out by date."""
+    empty = spark.createDataFrame([], contract.struct())
+    if "reading_ts" in contract.names:
+        by_date(empty).write.mode("overwrite").partitionBy(DATE).parquet(path)
+    else:
+        empty.write.mode("overwrite").parquet(path)
 
 
-def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_fact(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
+    """A stored fact; with its contract also while it holds no rows yet."""
+    if contract is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(contract.struct().add(DATE, "date")).parquet(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -71,8 +92,8 @@ def since_date(df: DataFrame, bound) -> DataFrame:
     return kept.filter(F.col(DATE) >= F.to_date(bound)) if DATE in df.columns else kept
 
 
-def drop_old_dates(spark: SparkSession, source: str, target: str, as_of, *, days: int) -> None:
+def drop_old_dates(spark: SparkSession, source: str, target: str, as_of, *, days: int) -> int:
     """Retention: write the dates young enough to keep to a new table."""
     oldest = F.to_date(F.lit(as_of)) - F.expr(f"INTERVAL {days} DAYS")
     kept = read_fact(spark, source).filter(F.col(DATE) >= F.to_date(oldest))
-    write_fact(kept.drop(DATE), target)
+    return write_fact(kept.drop(DATE), target)

@@ -20,9 +20,9 @@ from millwatch.sources.tables import append_new, replace_dates, table_exists
 
 def score_new(
     telemetry: DataFrame, registry: DataFrame, scored_path: str, rule: RiskRule = DEFAULT_RULE
-) -> None:
+) -> int:
     """Score readings and append those the scored table lacks; safe to repeat."""
-    append_new(stamped(score_readings(telemetry, registry, rule)), scored_path)
+    return append_new(stamped(score_readings(telemetry, registry, rule)), scored_path)
 
 
 def affected_dates(fresh: DataFrame, *, window_hours: int = 24) -> DataFrame:
@@ -35,7 +35,7 @@ def affected_dates(fresh: DataFrame, *, window_hours: int = 24) -> DataFrame:
 
 def refresh_features(
     telemetry: DataFrame, registry: DataFrame, fresh: DataFrame, features_path: str
-) -> None:
+) -> int:
     """Recompute the feature dates touched by ``fresh`` from the telemetry and replace them.
 
     ``telemetry`` holds ``fresh`` already. It is read from one window before the first
@@ -43,14 +43,14 @@ def refresh_features(
     """
     dates = [r[0] for r in affected_dates(fresh).collect()]  # a handful of calendar dates
     if not dates:
-        return
+        return 0
     first = F.lit(min(dates)).cast("timestamp_ntz") - hours(24)
     last = F.lit(max(dates))
     needed = telemetry.filter(
         (F.col("reading_ts") >= first) & (F.to_date("reading_ts") <= last)
     )
     rows = features(needed, registry).filter(F.to_date("reading_ts").isin(dates))
-    replace_dates(rows, features_path)
+    return replace_dates(rows, features_path)
 
 
 @dataclass(frozen=True)

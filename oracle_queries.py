@@ -418,6 +418,24 @@ def oracle_sql() -> dict[str, str]:
               CAST(count(*) * sum(x * y) - sum(x) * sum(y) AS DOUBLE)
                 / nullif(CAST(count(*) * sum(x * x) - sum(x) * sum(x) AS DOUBLE), 0) * 8.64e0 AS slope_per_day
             FROM points GROUP BY machine_id""",
+        "mean_drift": f"""{_with(BASE, FEATURES)}, rolled AS (SELECT *, {rolling} FROM features),
+            drifted AS (SELECT reading_id, machine_id, reading_ts,
+              (rolling_avg_temp_24h - CAST(baseline_temp_c AS DOUBLE))
+                / nullif(CAST(baseline_stddev_temp AS DOUBLE), 0) AS temperature_drift,
+              (rolling_avg_vibration_24h - CAST(baseline_vibration AS DOUBLE))
+                / nullif(CAST(baseline_stddev_vibration AS DOUBLE), 0) AS vibration_drift FROM rolled)
+            SELECT * FROM drifted WHERE abs(temperature_drift) >= 2 OR abs(vibration_drift) >= 2""",
+        "robust_deviation": f"""{_B}, med AS (
+              SELECT machine_id, quantile_disc(temperature_c, 0.5) AS mt, quantile_disc(vibration_mm_s, 0.5) AS mv
+              FROM telemetry GROUP BY machine_id),
+            mad AS (SELECT machine_id, any_value(mt) AS mt, any_value(mv) AS mv,
+                quantile_disc(abs(temperature_c - mt), 0.5) AS dt, quantile_disc(abs(vibration_mm_s - mv), 0.5) AS dv
+              FROM telemetry JOIN med USING (machine_id) GROUP BY machine_id)
+            SELECT reading_id, machine_id, reading_ts, CAST(temperature_c AS DOUBLE) AS temperature_c,
+              CAST(vibration_mm_s AS DOUBLE) AS vibration_mm_s,
+              CAST(temperature_c - mt AS DOUBLE) / nullif(CAST(dt AS DOUBLE) * 1.4826e0, 0) AS temperature_c_robust_z,
+              CAST(vibration_mm_s - mv AS DOUBLE) / nullif(CAST(dv AS DOUBLE) * 1.4826e0, 0) AS vibration_mm_s_robust_z
+            FROM telemetry JOIN mad USING (machine_id)""",
         "hourly_rollup": f"""{_B} SELECT {hourly_base}, CAST(max(temperature_c) AS DOUBLE) AS max_temperature_c,
             {_mean('vibration_mm_s', 1000)} AS avg_vibration_mm_s,
             CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s,

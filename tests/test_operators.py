@@ -10,7 +10,8 @@ from compare import spark_rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from millwatch.operators import evaluation, history, quality
+from millwatch.functions.columns import reading_key
+from millwatch.operators import anomaly, evaluation, history, quality
 from millwatch.operators.joins import attach, keys_missing, rows_with_keys
 from millwatch.operators.ranking import ranked
 from millwatch.operators.sizing import UNBOUNDED, slice_seconds
@@ -196,3 +197,23 @@ def test_results_do_not_depend_on_row_order(readings):
         trailing_means(df, {"m": ("temperature_c", 2)}).select("reading_id", "m") for df in (readings, shuffled)
     )
     assert spark_rows(a) == spark_rows(b)
+
+
+def test_robust_deviation(spark):
+    at = dt.datetime(2024, 1, 1)
+    values = {"A": [1.0, 2.0, 3.0, 4.0, 50.0, None], "B": [7.0, 7.0, 7.0, 9.0], "C": [None, None]}
+    rows = [(m, at + dt.timedelta(hours=i), v) for m, vs in values.items() for i, v in enumerate(vs)]
+    readings = spark.createDataFrame(rows, "machine_id STRING, reading_ts TIMESTAMP_NTZ, v DOUBLE").select(
+        "machine_id", "reading_ts", F.col("v").cast("decimal(7,2)").alias("t")
+    )
+    registry = spark.createDataFrame([("A",), ("B",), ("C",)], "machine_id STRING")
+    got = anomaly.robust_deviation(readings, registry, ["t"]).orderBy("machine_id", "reading_ts").collect()
+    assert len(got) == len(rows)
+    a = [r["t_robust_z"] for r in got if r["machine_id"] == "A"]
+    assert a[2] == 0.0 and a[4] == pytest.approx(47 / 1.4826) and a[5] is None
+    assert {r["t_robust_z"] for r in got if r["machine_id"] in "BC"} == {None}
+
+
+def test_surrogate_keys_follow_the_natural_key(readings):
+    keys = readings.select("machine_id", "reading_ts", reading_key().alias("k")).distinct()
+    assert keys.select("k").distinct().count() == readings.select("machine_id", "reading_ts").distinct().count()

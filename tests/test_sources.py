@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from millwatch.schema import REGISTRY
+from millwatch.schema import REGISTRY, SCORED
 from millwatch.sources import tables, text
 
 REGISTRY_HEADER = (
@@ -74,18 +74,18 @@ def _fact(spark, rows):
 def test_fact_overwrite_replace_and_append(spark, tmp_path):
     path = str(tmp_path / "scored")
     day1, day2 = dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 2, 5)
-    tables.write_fact(_fact(spark, [("A", day1, 0.1), ("A", day2, 0.2)]), path)
-    tables.write_fact(_fact(spark, [("A", day1, 0.1), ("A", day2, 0.2)]), path)
+    for _ in range(2):
+        assert tables.write_fact(_fact(spark, [("A", day1, 0.1), ("A", day2, 0.2)]), path) == 2
     assert tables.read_fact(spark, path).count() == 2
 
-    tables.replace_dates(_fact(spark, [("A", day2, 0.9)]), path)
+    assert tables.replace_dates(_fact(spark, [("A", day2, 0.9)]), path) == 1
     got = {r["reading_ts"]: r["risk_score"] for r in tables.read_fact(spark, path).collect()}
     assert got == {day1: 0.1, day2: 0.9}
 
-    for _ in range(2):
-        tables.append_new(_fact(spark, [("A", day2, 0.5), ("B", day2, 0.3)]), path)
+    both = _fact(spark, [("A", day2, 0.5), ("B", day2, 0.3)])
+    assert [tables.append_new(both, path) for _ in range(2)] == [1, 0]
     assert tables.read_fact(spark, path).count() == 3
-    tables.append_new(_fact(spark, [("A", day2, 0.5)]).limit(0), path)
+    assert tables.append_new(_fact(spark, [("A", day2, 0.5)]).limit(0), path) == 0
     assert tables.read_fact(spark, path).count() == 3
 
 
@@ -106,3 +106,14 @@ def test_retention_keeps_young_dates(spark, tmp_path):
     tables.write_fact(_fact(spark, rows), source)
     tables.drop_old_dates(spark, source, target, "2024-01-10 12:00:00", days=3)
     assert tables.read_fact(spark, target).agg(F.min("reading_date")).first()[0] == dt.date(2024, 1, 7)
+
+
+def test_tables_can_be_created_empty_and_again(spark, fleet, tmp_path):
+    path = str(tmp_path / "scored")
+    tables.write_fact(fleet.scored, path)
+    tables.create_empty(spark, SCORED, path)
+    assert tables.read_fact(spark, path, SCORED).count() == 0
+    assert tables.append_new(fleet.scored.drop("reading_id"), path) == fleet.scored.count()
+    assert tables.read_fact(spark, path, SCORED).count() == fleet.scored.count()
+    tables.create_empty(spark, REGISTRY, str(tmp_path / "registry"))
+    assert spark.read.parquet(str(tmp_path / "registry")).columns == REGISTRY.names
