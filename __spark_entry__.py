@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from millwatch.functions.columns import hours
 from millwatch.functions.rule import COMPONENTS, RULE_ARGUMENTS, stored_score
-from millwatch.operators import anomaly, baseline, evaluation, history, quality
+from millwatch.operators import anomaly, baseline, evaluation, forest, history, quality
 from millwatch.plans import features, scoring, serving, summary, views
 from millwatch.schema import REGISTRY, TELEMETRY
 from millwatch.session import scratch_path
@@ -276,6 +276,9 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     "risk_slope": lambda f: history.risk_slope(f.scored, summary.newest_time(f.scored)),
     "mean_drift": lambda f: anomaly.mean_drift(features.features(f.telemetry, f.registry)),
     "robust_deviation": lambda f: anomaly.robust_deviation(f.telemetry, f.registry, _GAP_COLUMNS),
+    "anomaly_scores": lambda f: forest.anomaly_scores(
+        features.features(f.telemetry, f.registry, rolling=False)
+    ).select("reading_id", "machine_id", "reading_ts", "anomaly_score"),
     "hourly_rollup": lambda f: history.hourly_rollup(f.telemetry),
     "retained_readings": lambda f: _telemetry_columns(
         history.retained(f.telemetry, summary.newest_time(f.telemetry), days=14)

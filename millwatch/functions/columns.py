@@ -76,17 +76,16 @@ def in_choices(column: str, values: Iterable[str]) -> Column:
 
 def reason(signal: str = "top_signal", tier: str = "risk_tier") -> Column:
     """Plain-language reason. Lost data is read from the tier: no signal names it."""
-    text = F.when(F.col(tier) == DATA_LOSS, F.lit(REASONS[DATA_LOSS]))
-    for name, words in REASONS.items():
-        text = text.when(F.col(signal) == name, F.lit(words))
-    return text.otherwise(F.col(signal))
+    known = " ".join(f"WHEN '{name}' THEN '{words}'" for name, words in REASONS.items())
+    return F.expr(
+        f"CASE WHEN {tier} = '{DATA_LOSS}' THEN '{REASONS[DATA_LOSS]}' "
+        f"ELSE CASE {signal} {known} ELSE {signal} END END"
+    )
 
 
 def severity(tier: str) -> Column:
-    level = F.lit(None).cast("int")
-    for name, rank in SEVERITY.items():
-        level = F.when(F.col(tier) == name, F.lit(rank)).otherwise(level)
-    return level
+    levels = " ".join(f"WHEN '{name}' THEN {rank}" for name, rank in SEVERITY.items())
+    return F.expr(f"CASE {tier} {levels} END")
 
 
 def reading_key() -> Column:

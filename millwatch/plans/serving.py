@@ -102,11 +102,15 @@ def kpi_cards(
     latest: DataFrame, selection: Selection = EVERYTHING, rule: RiskRule = DEFAULT_RULE
 ) -> DataFrame:
     """One row: machines per tier, zero where a tier is empty, and their total."""
-    tier = derived_tier(rule=rule)
-    counts = selected(latest, selection, rule).agg(
-        *[F.countDistinct(F.when(tier == t, F.col("machine_id"))).alias(t.lower()) for t in TIERS]
+    per_tier = (
+        selected(latest, selection, rule)
+        .groupBy(derived_tier(rule=rule).alias("_tier"))
+        .agg(F.countDistinct("machine_id").alias("_n"))
     )
-    return counts.withColumn("machines", sum(F.col(t.lower()) for t in TIERS))
+    # At most four rows are left to be turned into columns.
+    cards = [f"coalesce(sum(CASE WHEN _tier = '{t}' THEN _n END), 0) AS {t.lower()}" for t in TIERS]
+    counts = per_tier.agg(*[F.expr(card) for card in cards])
+    return counts.withColumn("machines", F.expr(" + ".join(t.lower() for t in TIERS)))
 
 
 def overview(
