@@ -47,44 +47,49 @@ def carry_last(
     """
     seconds = seconds or slice_seconds(df, key, ts, slice_rows)
     direction = F.desc if backwards else F.asc
-    rows = df.select(
-        F.col(key).alias("_key"),
-        time_slice(ts, seconds).alias("_slice"),
-        *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)],
-        F.struct(*df.columns).alias("_row"),
-        *[item.alias(f"_i{n}") for n, item in enumerate(items.values())],
-    )
-    marks = [f"_o{i}" for i in range(len(order))]
-    slots = [f"_i{n}" for n in range(len(items))]
+    rows = df.withColumn("_slice", time_slice(ts, seconds))
+    slots = [f"_slot{n}" for n in range(len(items))]
 
     # One row per (key, slice): the value each slice ends with, then what its follower starts with.
     newest = F.min if backwards else F.max
-    place = F.struct(*marks)
-    ends = rows.groupBy("_key", "_slice").agg(
+    place = F.struct(*order)
+    ends = rows.groupBy(F.col(key).alias("_key"), "_slice").agg(
         *[
-            newest(F.when(F.col(s).isNotNull(), F.struct(place.alias("at"), F.col(s).alias("v"))))
+            newest(F.when(item.isNotNull(), F.struct(place.alias("at"), item.alias("v"))))
             .getField("v")
-            .alias(s)
-            for s in slots
+            .alias(slot)
+            for slot, item in zip(slots, items.values())
         ]
     )
-    starts = _slice_starts(ends, slots, seconds, backwards).withColumn("_kind", F.lit(0))
+    starts = (
+        _slice_starts(ends, slots, seconds, backwards)
+        .withColumnRenamed("_key", key)
+        .withColumn("_is_row", F.lit(False))
+    )
 
-    everything = rows.withColumn("_kind", F.lit(1)).unionByName(starts, allowMissingColumns=True)
-    window = Window.partitionBy("_key", "_slice").orderBy("_kind", *[direction(m) for m in marks])
+    # Shuffled here, before the window asks for it, so that only the rows themselves travel
+    # and the items are taken from them afterwards.
+    everything = (
+        rows.withColumn("_is_row", F.lit(True))
+        .unionByName(starts, allowMissingColumns=True)
+        .repartition(key, "_slice")
+    )
+    window = Window.partitionBy(key, "_slice").orderBy("_is_row", *[direction(c) for c in order])
     if inclusive:
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         window = window.rowsBetween(Window.unboundedPreceding, -1)
     carried = everything.select(
-        "_kind",
-        "_row",
+        "_is_row",
+        *df.columns,
         *[
-            F.last(s, ignorenulls=True).over(window).alias(name)
-            for s, name in zip(slots, items)
+            F.last(F.when(F.col("_is_row"), item).otherwise(F.col(slot)), ignorenulls=True)
+            .over(window)
+            .alias(name)
+            for slot, (name, item) in zip(slots, items.items())
         ],
-    ).filter("_kind = 1")
-    return carried.select("_row.*", *items)
+    )
+    return carried.filter("_is_row").drop("_is_row")
 
 
 def _slice_starts(ends: DataFrame, slots: list[str], seconds: int, backwards: bool) -> DataFrame:

@@ -38,7 +38,7 @@ def trailing_means(
     """
     parts = {f"_v{i}": scaled(col, places) for i, (col, places) in enumerate(means.values())}
     if largest_slice(df, key, ts, hours * 3600) <= slice_rows:
-        summed = _one_pass(df, parts, hours, key, ts)
+        summed = _one_pass(df, means, parts, hours, key, ts)
     else:
         summed = _by_instant(df, parts, hours, key, ts, hot_rows)
     return summed.select(
@@ -55,7 +55,7 @@ def _leaves(at: str, hours: int):
     return F.col(at) + hours_of(hours) + F.expr("INTERVAL '0.000001' SECOND")
 
 
-def _running(window: Window, added: str, carried: str):
+def _running(window: Window, added, carried):
     """Running sum of signed values on top of what the slice starts with."""
     run = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -64,39 +64,29 @@ def _running(window: Window, added: str, carried: str):
     )
 
 
-def _one_pass(df: DataFrame, parts: dict, hours: int, key: str, ts: str) -> DataFrame:
+def _one_pass(
+    df: DataFrame, means: dict, parts: dict, hours: int, key: str, ts: str
+) -> DataFrame:
     """One shuffle: slices are as long as the window, so the slice before holds the rest."""
-    copies = df.select(
-        F.col(key).alias("_key"),
-        time_slice(ts, hours * 3600).alias("_slice"),
-        F.col(ts).alias("_at"),
-        F.struct(*df.columns).alias("_reading"),
-        *[expr.alias(v) for v, expr in parts.items()],
-    ).withColumn("_later", F.explode(F.array(F.lit(False), F.lit(True))))
+    needed = {key} | {col for col, _ in means.values()}
     later = F.col("_later")
-    signed = []
-    for v in parts:
-        known = F.when(F.col(v).isNotNull(), 1)
-        signed += [
-            F.when(later, -F.col(v)).otherwise(F.col(v)).alias(f"{v}_add"),
-            F.when(later, F.col(v)).alias(f"{v}_carry"),
-            F.when(later, -known).otherwise(known).alias(f"{v}_add_n"),
-            F.when(later, known).alias(f"{v}_carry_n"),
-        ]
+    copies = df.withColumn("_later", F.explode(F.array(F.lit(False), F.lit(True))))
+    slices = time_slice(ts, hours * 3600)
+    # Shuffled before the window asks for it, so that the signed values are formed afterwards;
+    # a removal carries no more than the values it takes away.
     rows = copies.select(
-        "_key",
-        F.when(later, F.col("_slice") + 1).otherwise(F.col("_slice")).alias("_slice"),
-        F.when(later, _leaves("_at", hours)).otherwise(F.col("_at")).alias("_at"),
-        F.when(~later, F.col("_reading")).alias("_reading"),
-        *signed,
-    )
-    window = Window.partitionBy("_key", "_slice").orderBy("_at")
-    sums = rows.select(
-        "_reading",
-        *[_running(window, f"{v}_add", f"{v}_carry").alias(f"{v}_sum") for v in parts],
-        *[_running(window, f"{v}_add_n", f"{v}_carry_n").alias(f"{v}_n") for v in parts],
-    ).filter(F.col("_reading").isNotNull())
-    return sums.select("_reading.*", *[f"{v}_{s}" for v in parts for s in ("sum", "n")])
+        *[F.col(c) if c in needed else F.when(~later, F.col(c)).alias(c) for c in df.columns],
+        F.when(later, slices + 1).otherwise(slices).alias("_slice"),
+        F.when(later, _leaves(ts, hours)).otherwise(F.col(ts)).alias("_at"),
+        "_later",
+    ).repartition(key, "_slice")
+    window = Window.partitionBy(key, "_slice").orderBy("_at")
+    sums = []
+    for v, expr in parts.items():
+        for suffix, value in (("sum", expr), ("n", F.when(expr.isNotNull(), 1))):
+            added, carried = F.when(later, -value).otherwise(value), F.when(later, value)
+            sums.append(_running(window, added, carried).alias(f"{v}_{suffix}"))
+    return rows.select(*df.columns, "_later", *sums).filter(~later).drop("_later")
 
 
 def _by_instant(
