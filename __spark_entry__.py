@@ -20,6 +20,13 @@ from millwatch.streaming import incremental, ingest
 from oracle_queries import MACHINE
 from oracle_queries import oracle_sql as _oracle_sql
 
+try:  # the training-data operators may be left out of an installation
+    from millwatch.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("millwatch.llm"):
+        raise
+    llm_queries = None
+
 READING_ORDER = ("reading_ts", "reading_id")
 CHOICE = serving.Selection(plants=["europe ", "ASIA"], tiers=["critical", "HIGH"])
 
@@ -311,8 +318,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Fleet], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: plain(build(_fleet(spark, folder)))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    extra = llm_queries.QUERIES if llm_queries else {}
+    return {name: bind(build) for name, build in QUERIES.items()} | extra
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle_sql()
+    return _oracle_sql() | (llm_queries.ORACLE_SQL if llm_queries else {})
