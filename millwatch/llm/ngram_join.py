@@ -355,7 +355,9 @@ def ngram_components(
     )
     named = written(named, "ngram-named")
     return grouped.join(named, "sh", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
     )
 
 
