@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millwatch.functions.columns import hours
+from millwatch.functions.columns import hours, newest_time, upper_names
 from millwatch.functions.rule import COMPONENTS, RULE_ARGUMENTS, stored_score
 from millwatch.operators import anomaly, baseline, evaluation, forest, history, quality
 from millwatch.plans import features, scoring, serving, summary, views
 from millwatch.schema import REGISTRY, TELEMETRY
 from millwatch.session import scratch_path
-from millwatch.sources import driver_tables, tables
+from millwatch.sources import driver_tables, tables, text
 from millwatch.streaming import incremental, ingest
 from oracle_queries import MACHINE
 from oracle_queries import oracle_sql as _oracle_sql
@@ -58,6 +58,15 @@ class Fleet:
         mine = self.telemetry.filter(F.col("machine_id") == MACHINE)
         return scoring.score_readings(mine, self.registry)
 
+    @property
+    def now(self):
+        """The newest scored reading's time, found without scoring."""
+        return scoring.newest_scorable(self.telemetry)
+
+    def recent(self, within_hours: float) -> DataFrame:
+        """Scores of the last hours; the time filter comes before the rule and reaches the scan."""
+        return scoring.recent_scores(self.telemetry, self.registry, within_hours)
+
     @cached_property
     def latest(self) -> DataFrame:
         return summary.latest_risk(self.scored, self.registry)
@@ -93,6 +102,21 @@ class Fleet:
         events = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"])
         return driver_tables.telemetry(events, self.registry)
 
+    def sliced_stream(self, conditions: list[str], again: str = "false") -> DataFrame:
+        """The events as files that arrive one by one, cut by conditions.
+
+        The last file also sends the events of ``again`` a second time, with other values.
+        """
+        path = scratch_path(self.spark, "event-slices")
+        events = self.table("events")
+        other = events.filter(again).withColumn("event_id", F.col("event_id") + 1_000_000_007)
+        for n, condition in enumerate(conditions):
+            part = events.filter(condition)
+            part = part.unionByName(other) if n == len(conditions) - 1 else part
+            part.coalesce(1).write.mode("append").parquet(path)
+        stream = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"], files_per_batch=1)
+        return driver_tables.telemetry(stream, self.registry)
+
     def drained(self, stream: DataFrame, label: str) -> DataFrame:
         base = scratch_path(self.spark, label)
         ingest.write_stream(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
@@ -158,9 +182,10 @@ def _sql_view(fleet: Fleet) -> DataFrame:
 
 def _latest_incremental(fleet: Fleet) -> DataFrame:
     """A stored summary of all but the last day, brought up to date with the last day."""
-    cut = summary.newest_time(fleet.scored) - hours(24)
-    stored = summary.latest_scores(fleet.scored.filter(F.col("reading_ts") < cut))
-    fresh = fleet.scored.filter(F.col("reading_ts") >= cut)
+    cut = fleet.now - hours(24)
+    before = scoring.score_readings(fleet.telemetry, fleet.registry, where=F.col("reading_ts") < cut)
+    stored = summary.latest_scores(before)
+    fresh = fleet.recent(24)
     merged = summary.merge_latest(stored, fresh)
     return summary.with_attributes(merged, fleet.registry, per_machine=True).select(
         *fleet.latest.columns
@@ -170,18 +195,111 @@ def _latest_incremental(fleet: Fleet) -> DataFrame:
 def _incremental_score(fleet: Fleet) -> DataFrame:
     """All but the last day scored first; then a run over everything adds what is missing."""
     path = scratch_path(fleet.spark, "incremental-score")
-    cut = summary.newest_time(fleet.telemetry) - hours(24)
+    cut = newest_time(fleet.telemetry) - hours(24)
     incremental.score_new(fleet.telemetry.filter(F.col("reading_ts") < cut), fleet.registry, path)
     incremental.score_new(fleet.telemetry, fleet.registry, path)
     return tables.read_fact(fleet.spark, path).select(*fleet.scored.columns)
 
 
 def _live(fleet: Fleet) -> incremental.LiveTables:
+    return _live_of(fleet, fleet.stream())
+
+
+_FOUR = ["event_id % 10 < 4", "event_id % 10 IN (4, 5)", "event_id % 10 IN (6, 7, 8)", "event_id % 10 = 9"]
+
+
+def _live_of(fleet: Fleet, stream: DataFrame) -> incremental.LiveTables:
     live = incremental.LiveTables(scratch_path(fleet.spark, "live"))
-    incremental.run_live(fleet.stream(), fleet.registry, live, every=None).awaitTermination()
+    incremental.run_live(stream, fleet.registry, live, every=None).awaitTermination()
     return live
 
 
+def _live_conflicts(fleet: Fleet) -> DataFrame:
+    """Latest states beside the stored scores, after some readings came twice with other values."""
+    live = _live_of(fleet, fleet.sliced_stream(_FOUR, again="event_id % 10 = 2"))
+    stored = tables.read_fact(fleet.spark, live.scored).select(
+        "machine_id", "reading_ts", F.col("risk_score").alias("stored_score"), F.col("risk_tier").alias("stored_tier")
+    )
+    return live.read_latest(fleet.spark).drop("reading_id").join(stored, ["machine_id", "reading_ts"])
+
+
+def _live_late(fleet: Fleet) -> DataFrame:
+    """Standing alerts after a tenth of the readings came late."""
+    live = _live_of(fleet, fleet.sliced_stream(_FOUR))
+    return live.read_alerts(fleet.spark).drop("batch")
+
+
+def _stream_rollup(fleet: Fleet) -> DataFrame:
+    base = scratch_path(fleet.spark, "stream-rollup")
+    ingest.rollup_stream(fleet.sliced_stream(_FOUR), f"{base}/sums", f"{base}/checkpoint").awaitTermination()
+    return ingest.read_rollup(fleet.spark, f"{base}/sums")
+
+
+def _csv_telemetry(fleet: Fleet) -> DataFrame:
+    """Telemetry written as CSV, columns in another order, some modes new and some fields broken, and loaded."""
+    path = scratch_path(fleet.spark, "telemetry-csv")
+    odd = fleet.telemetry.select(
+        "error_code",
+        F.expr("CASE WHEN reading_id % 7 = 0 THEN 'HIGH_LOAD' ELSE operating_mode END").alias("OPERATING_MODE"),
+        F.expr("CASE WHEN reading_id % 97 = 0 THEN 'n/a' ELSE CAST(power_kw AS STRING) END").alias("power_kw"),
+        F.col("reading_ts").cast("string").alias("Reading_TS"),
+        "machine_id",
+        "vibration_mm_s",
+        "temperature_c",
+    )
+    text.write_csv(odd, path)
+    loaded, _ = text.load_telemetry(fleet.spark, path)
+    return loaded.select(
+        "machine_id", "reading_ts", "temperature_c", "vibration_mm_s", "power_kw", "operating_mode",
+        "error_code", "pressure_bar", F.col("load_ts").isNotNull().alias("has_load_ts"),
+    )
+
+
+def _csv_registry(fleet: Fleet) -> DataFrame:
+    """The registry as an upper-cased CSV with blanks, broken dates and repeated machines: what is loaded
+    and what is rejected why."""
+    path = scratch_path(fleet.spark, "registry-csv")
+    number = F.substring("machine_id", 5, 6).cast("int")
+    odd = as_text(fleet.registry).withColumns(
+        {
+            "install_date": F.when(number % 60 == 1, "someday").otherwise(F.col("install_date")),
+            "criticality_class": F.when(number % 4 != 0, F.col("criticality_class")),
+        }
+    )
+    odd = odd.unionByName(odd.filter(number % 50 == 0))
+    text.write_csv(upper_names(odd.select(*reversed(odd.columns))), path)
+    loaded, rejected = text.load_registry(fleet.spark, path)
+    return loaded.select(
+        "machine_id", "plant_id", "install_date", "criticality_class", F.lit(None).cast("string").alias("faults")
+    ).unionByName(
+        rejected.select(
+            "machine_id", "plant_id", F.lit(None).cast("date").alias("install_date"),
+            F.lit(None).cast("string").alias("criticality_class"), "faults",
+        )
+    )
+
+
+def _full_rescore(fleet: Fleet) -> DataFrame:
+    """The scored table replaced twice and read once."""
+    path = scratch_path(fleet.spark, "full-rescore")
+    for _ in range(2):
+        tables.write_fact(fleet.scored, path)
+    return tables.read_fact(fleet.spark, path).select(*fleet.scored.columns)
+
+
+def _overview_export(fleet: Fleet) -> DataFrame:
+    """The overview as an upper-cased CSV, read again as text."""
+    path = scratch_path(fleet.spark, "overview-csv")
+    text.write_csv(upper_names(serving.overview(fleet.latest, CHOICE)), path)
+    return text.read_raw(fleet.spark, path).withColumn("SCORE", F.col("SCORE").cast("double"))
+
+
+def _machine_check(fleet: Fleet) -> DataFrame:
+    return fleet.registry.filter(
+        F.col("machine_id") == serving.check_machine(fleet.registry, f" {MACHINE} ")
+    ).select("machine_id", "plant_id")
+
+
 def _orphans(fleet: Fleet) -> DataFrame:
     """Readings of machines outside the registry of supplier-maintained machines."""
     vendor = fleet.table("supplier").select(
@@ -218,8 +336,8 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     "tier_distribution": lambda f: summary.tier_distribution(f.scored),
     "latest_risk": lambda f: f.latest,
     "latest_incremental": _latest_incremental,
-    "worst_recent_risk": lambda f: summary.worst_recent_risk(f.scored, f.registry),
-    "risk_trend_24h": lambda f: summary.risk_trend(f.scored, f.registry),
+    "worst_recent_risk": lambda f: summary.worst_recent_risk(f.recent(144), f.registry, f.now),
+    "risk_trend_24h": lambda f: summary.risk_trend(f.recent(24), f.registry, f.now),
     "actionable_queue": lambda f: f.queue,
     "top5_actionable": lambda f: serving.top_actionable(f.queue),
     "top5_filtered": lambda f: serving.top_actionable(f.queue, CHOICE),
@@ -265,7 +383,12 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
         TELEMETRY,
         [c for c in TELEMETRY.names if c not in ("runtime_hours", "load_ts")],
     ),
-    "domain_violations": lambda f: quality.domain_violations(as_text(f.registry), REGISTRY),
+    "domain_violations": lambda f: quality.domain_violations(
+        as_text(f.registry).withColumn(
+            "install_date", F.expr("CASE WHEN machine_id LIKE '%3' THEN 'soon' ELSE install_date END")
+        ),
+        REGISTRY,
+    ),
     "quarantined_readings": lambda f: quality.split_valid(f.raw_readings, TELEMETRY)[1].select(
         "reading_id", "machine_id", "power_kw", "faults"
     ),
@@ -280,7 +403,7 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
         order=READING_ORDER,
     ),
     "tier_transitions": lambda f: history.tier_changes(f.scored, order=READING_ORDER),
-    "risk_slope": lambda f: history.risk_slope(f.scored, summary.newest_time(f.scored)),
+    "risk_slope": lambda f: history.risk_slope(f.recent(168), f.now),
     "mean_drift": lambda f: anomaly.mean_drift(features.features(f.telemetry, f.registry)),
     "robust_deviation": lambda f: anomaly.robust_deviation(f.telemetry, f.registry, _GAP_COLUMNS),
     "anomaly_scores": lambda f: forest.anomaly_scores(
@@ -288,7 +411,7 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     ).select("reading_id", "machine_id", "reading_ts", "anomaly_score"),
     "hourly_rollup": lambda f: history.hourly_rollup(f.telemetry),
     "retained_readings": lambda f: _telemetry_columns(
-        history.retained(f.telemetry, summary.newest_time(f.telemetry), days=14)
+        history.retained(f.telemetry, newest_time(f.telemetry), days=14)
     ),
     "alert_quality": _alert_quality,
     "incremental_score": _incremental_score,
@@ -296,11 +419,23 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
         scoring.score_readings(f.stream(), f.registry), "stream-score"
     ),
     "stream_dedup": _stream_dedup,
-    "stream_hourly_rollup": lambda f: f.drained(
-        ingest.hourly_rollup_stream(f.stream()), "stream-rollup"
-    ),
+    "stream_hourly_rollup": _stream_rollup,
     "live_alerts": lambda f: _live(f).read_alerts(f.spark).drop("batch"),
     "live_latest": lambda f: _live(f).read_latest(f.spark).drop("reading_id"),
+    "live_conflicts": _live_conflicts,
+    "live_late": _live_late,
+    "csv_telemetry": _csv_telemetry,
+    "csv_registry": _csv_registry,
+    "full_rescore": _full_rescore,
+    "overview_export": _overview_export,
+    "empty_selection": lambda f: serving.overview(f.latest, serving.Selection(plants=[], tiers=[])),
+    "machine_check": _machine_check,
+    "unknown_modes": lambda f: quality.unknown_modes(
+        f.telemetry.withColumn(
+            "operating_mode",
+            F.expr("CASE WHEN reading_id % 7 = 0 THEN 'TRIAL' ELSE operating_mode END"),
+        )
+    ),
 }
 
 

@@ -1,136 +1,91 @@
-"""Isolation forest over sensor features, fitted on a bounded sample and scored in place.
+"""Anomaly scores from a forest of half-space trees over all readings, in native expressions.
 
-Short average paths to isolation mark unusual readings. Trees are grown by Spark tasks from
-at most ``sample_rows`` rows each, so the whole forest has a fixed upper size whatever the data.
+Each tree halves two sensors' fixed ranges a few times, after a shift of its own, so a
+reading's leaf follows from integer arithmetic alone. A leaf's mass is the count of all
+readings in it; readings that share their leaves with few others are unusual. Nothing is
+sampled, no row is left out, and what is broadcast is bounded by trees and depth.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NODES = "tree INT, node INT, feature INT, cut DOUBLE, lower INT, upper INT, path DOUBLE"
-
-
-def expected_path(rows: int) -> float:
-    """Average path length of an unsuccessful search in a binary tree of ``rows`` keys."""
-    if rows <= 1:
-        return 0.0
-    harmonic = math.fsum(1.0 / k for k in range(1, rows))
-    return 2.0 * harmonic - 2.0 * (rows - 1) / rows
-
-
-def _sampled(points: DataFrame, key: list[str], trees: int, sample_rows: int, seed: int) -> DataFrame:
-    """(tree, feature vector) rows; a pure function of the keys, so a retry draws the same rows."""
-    total = points.count()
-    pool = trees * sample_rows * 2
-    draw = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1_000_000_007))
-    share = min(1.0, pool / max(total, 1))
-    few = points.filter(draw < int(share * 1_000_000_007))
-    spread = few.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    lot = F.xxhash64(*key, "tree", F.lit(seed))
-    pick = Window.partitionBy("tree").orderBy(lot, *key)
-    return spread.withColumn("_n", F.row_number().over(pick)).filter(F.col("_n") <= sample_rows)
-
-
-def fit_forest(
-    points: DataFrame,
-    features: list[str],
-    *,
-    key: tuple[str, ...] = ("machine_id", "reading_ts"),
-    trees: int = 100,
-    sample_rows: int = 256,
-    seed: int = 1,
-) -> DataFrame:
-    """Node table of the forest: at most ``trees * (2 * sample_rows - 1)`` rows."""
-    deepest = math.ceil(math.log2(sample_rows))
-
-    def grow(sample: pd.DataFrame) -> pd.DataFrame:
-        tree = int(sample["tree"].iloc[0])
-        ordered = sample.sort_values("_n")
-        values = ordered[features].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        nodes: list[tuple] = []
-        waiting = [(0, values, 0)]
-        free = 1
-        while waiting:
-            node, rows, depth = waiting.pop()
-            low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (None, None)
-            usable = np.flatnonzero(high > low) if len(rows) else []
-            if depth >= deepest or len(rows) <= 1 or len(usable) == 0:
-                nodes.append((tree, node, -1, 0.0, -1, -1, depth + expected_path(len(rows))))
-                continue
-            feature = int(rng.choice(usable))
-            cut = float(rng.uniform(low[feature], high[feature]))
-            below = rows[:, feature] < cut
-            nodes.append((tree, node, feature, cut, free, free + 1, 0.0))
-            waiting += [(free, rows[below], depth + 1), (free + 1, rows[~below], depth + 1)]
-            free += 2
-        return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "lower", "upper", "path"])
-
-    sampled = _sampled(points.select(*key, *features), list(key), trees, sample_rows, seed)
-    return sampled.groupBy("tree").applyInPandas(grow, _NODES)
-
-
-def score_forest(
-    points: DataFrame, forest: DataFrame, features: list[str], *, sample_rows: int = 256
-) -> DataFrame:
-    """Add ``anomaly_score`` in (0, 1); values well above 0.5 are unusual."""
-    # The node table is bounded by the forest's parameters, not by the data.
-    nodes = forest.toPandas().sort_values(["tree", "node"])
-    if nodes.empty:
-        return points.withColumn("anomaly_score", F.lit(None).cast("double"))
-    per_tree = [
-        {c: group[c].to_numpy() for c in ("feature", "cut", "lower", "upper", "path")}
-        for _, group in nodes.groupby("tree")
+# A sensor's deviation is a whole number from 0 to SPAN - 1; its baseline is in the middle.
+SPAN = 8192
+SENSORS = 4
+
+
+def positions() -> list[Column]:
+    """Deviation of temperature (0.01 units), vibration (0.001 units), pressure and power (share
+    of the baseline) as whole numbers in the fixed range; NULL where a value is missing."""
+
+    def apart(value: str, baseline: str, scale: int) -> str:
+        return f"CAST(({value} - {baseline}) * {scale} AS BIGINT) + {SPAN // 2}"
+
+    def share(value: str, baseline: str) -> str:
+        return (
+            f"CAST({value} * 100 AS BIGINT) * {SPAN // 2} DIV nullif(CAST({baseline} * 100 AS BIGINT), 0)"
+        )
+
+    raw = [
+        apart("temperature_c", "baseline_temp_c", 100),
+        apart("vibration_mm_s", "baseline_vibration", 1000),
+        share("pressure_bar", "baseline_pressure_bar"),
+        share("power_kw", "baseline_power_kw"),
     ]
-    usual = expected_path(sample_rows)
-
-    @F.pandas_udf("double")
-    def anomaly(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in batches:
-            values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            rows = np.arange(len(values))
-            total = np.zeros(len(values))
-            for tree in per_tree:
-                at = np.zeros(len(values), dtype=int)
-                while True:
-                    feature = tree["feature"][at]
-                    inner = feature >= 0
-                    if not inner.any():
-                        break
-                    below = values[rows, np.where(inner, feature, 0)] < tree["cut"][at]
-                    at = np.where(inner, np.where(below, tree["lower"][at], tree["upper"][at]), at)
-                total += tree["path"][at]
-            yield pd.Series(np.power(2.0, -(total / len(per_tree)) / usual))
-
-    return points.withColumn("anomaly_score", anomaly(*features))
-
-
-def anomaly_scores(feature_rows: DataFrame, **options) -> DataFrame:
-    """Forest scores of readings that have every sensor, over deviations from their baselines.
-
-    Deviations make machines comparable, so one forest serves the fleet.
+    # greatest and least skip NULLs, so a missing value has to be let through by name.
+    return [F.expr(f"CASE WHEN ({r}) IS NOT NULL THEN greatest(0, least({SPAN - 1}, {r})) END") for r in raw]
+
+
+def tree_shape(tree: int, depth: int) -> tuple[int, int, int, int, int, int]:
+    """(first sensor, second sensor, halvings of each, shift of each) of a tree."""
+    first = tree % SENSORS
+    second = (first + 1 + tree // SENSORS % (SENSORS - 1)) % SENSORS
+    halvings = depth // 2 - 1 + tree % 3
+    shifts = [(tree * 7919 + k * 104729 + 12345) % SPAN for k in (1, 2)]
+    return first, second, halvings, depth - halvings, *shifts
+
+
+def leaves(trees: int, depth: int) -> Column:
+    """The leaf of each tree, numbered over the whole forest; NULL if the tree asks a missing sensor."""
+
+    def half_space(sensor: int, halvings: int, shift: int) -> str:
+        return f"(_at{sensor} + {shift}) * {1 << halvings} DIV {2 * SPAN}"
+
+    found = []
+    for tree in range(trees):
+        first, second, k1, k2, s1, s2 = tree_shape(tree, depth)
+        inside = f"({half_space(first, k1, s1)}) * {1 << k2} + {half_space(second, k2, s2)}"
+        found.append(F.expr(f"CAST({tree << depth} + {inside} AS INT)"))
+    return F.array(*found)
+
+
+def bit_length(count: str) -> Column:
+    return F.length(F.bin(F.col(count).cast("bigint")))
+
+
+def anomaly_scores(feature_rows: DataFrame, *, trees: int = 36, depth: int = 6) -> DataFrame:
+    """``anomaly_score`` of every reading, from 0 (like all others) towards 1 (alone in each leaf).
+
+    Deviations from the baselines make machines comparable, so one forest serves the
+    fleet. A reading is judged by the trees whose sensors it has; with fewer than two
+    sensors no tree fits and the score is NULL. The score is one minus the mean bit
+    length of the leaf masses, as a share of the bit length of the number of readings.
     """
-    points = feature_rows.select(
-        *[c for c in ("reading_id",) if c in feature_rows.columns],
-        "machine_id",
-        "reading_ts",
-        F.expr("CAST(temperature_c - baseline_temp_c AS DOUBLE)").alias("temperature"),
-        F.expr("CAST(vibration_mm_s - baseline_vibration AS DOUBLE)").alias("vibration"),
-        F.expr(
-            "try_divide(CAST(pressure_bar - baseline_pressure_bar AS DOUBLE), CAST(baseline_pressure_bar AS DOUBLE))"
-        ).alias("pressure"),
-        F.expr(
-            "try_divide(CAST(power_kw - baseline_power_kw AS DOUBLE), CAST(baseline_power_kw AS DOUBLE))"
-        ).alias("power"),
-    ).dropna(subset=["temperature", "vibration", "pressure", "power"])
-    sensors = ["temperature", "vibration", "pressure", "power"]
-    sample_rows = options.get("sample_rows", 256)
-    forest = fit_forest(points, sensors, **options)
-    return score_forest(points, forest, sensors, sample_rows=sample_rows)
+    key = [c for c in ("reading_id", "machine_id", "reading_ts") if c in feature_rows.columns]
+    at = [f"_at{n}" for n in range(SENSORS)]
+    placed = feature_rows.select(*key, *[p.alias(n) for n, p in zip(at, positions())])
+    rows = placed.select(*key, F.filter(leaves(trees, depth), lambda x: x.isNotNull()).alias("_leaves"))
+
+    # At most trees * 2**depth groups, summed where the rows are before they are sent.
+    masses = rows.select(F.explode("_leaves").alias("leaf")).groupBy("leaf").agg(F.count("*").alias("n"))
+    every = feature_rows.sparkSession.range(trees << depth).select(F.col("id").cast("int").alias("leaf"))
+    ordered = F.array_sort(F.collect_list(F.struct("leaf", F.coalesce(bit_length("n"), F.lit(0)).alias("bits"))))
+    table = every.join(masses, "leaf", "left").agg(F.transform(ordered, lambda s: s["bits"]).alias("bits"))
+    most = placed.agg(F.count("*").alias("n")).select(bit_length("n"))
+    total = F.aggregate("_leaves", F.lit(0), lambda acc, leaf: acc + F.get(F.col("_bits"), leaf))
+    return rows.withColumn("_bits", table.scalar()).select(
+        *key,
+        (F.lit(1.0) - F.try_divide(total.cast("double"), F.size("_leaves") * most.scalar())).alias("anomaly_score"),
+    )

@@ -21,9 +21,19 @@ from millwatch.operators.sizing import slice_seconds
 DAY_SECONDS = 86_400
 
 
+def repeat_order(columns: list[str]) -> list[Column]:
+    """Total order of repeats: first loaded, then the most complete, then by every value."""
+    sensors = [c for c in ("temperature_c", "vibration_mm_s", "pressure_bar", "power_kw") if c in columns]
+    missing = sum((F.col(c).isNull().cast("int") for c in sensors), F.lit(0))
+    loaded = [F.asc_nulls_last("load_ts")] if "load_ts" in columns else []
+    rest = sorted(c for c in columns if c not in ("machine_id", "reading_ts", "load_ts"))
+    rest.sort(key=lambda c: c != "reading_id")
+    return [*loaded, missing, *[F.asc_nulls_last(c) for c in rest]]
+
+
 def drop_repeats(pings: DataFrame, order: list[Column] | None = None) -> DataFrame:
     """Keep one ping per (machine_id, reading_ts): the first loaded unless told otherwise."""
-    return first_per_key(pings, ["machine_id", "reading_ts"], order or [F.asc("load_ts")])
+    return first_per_key(pings, ["machine_id", "reading_ts"], order or repeat_order(pings.columns))
 
 
 def carry_last(
@@ -195,6 +205,36 @@ def tier_changes(
     )
 
 
+def revised_changes(
+    scored: DataFrame, *, order: tuple[str, ...] = ("reading_ts",), slice_rows: int = SLICE_ROWS
+) -> DataFrame:
+    """The state of alert of each late reading (``_late``) and of the reading after it.
+
+    As ``tier_changes``, with ``revision`` set and ``withdrawn`` where the tier does not differ.
+    """
+    previous = F.struct(
+        F.col("risk_tier").alias("tier"),
+        F.col("reading_ts").alias("at"),
+        F.col("risk_score").alias("score"),
+        F.col("_late").alias("late"),
+    )
+    rows = scored.select("machine_id", *dict.fromkeys([*order, "reading_ts", "risk_score", "risk_tier", "_late"]))
+    carried = carry_last(rows, {"_before": previous}, order=list(order), slice_rows=slice_rows)
+    tier, before = F.col("risk_tier"), F.col("_before.tier")
+    return carried.filter(F.col("_late") | F.coalesce("_before.late", F.lit(False))).select(
+        "machine_id",
+        "reading_ts",
+        F.col("_before.at").alias("previous_ts"),
+        before.alias("previous_tier"),
+        "risk_tier",
+        F.col("_before.score").alias("previous_score"),
+        "risk_score",
+        (severity("risk_tier") > severity("_before.tier")).alias("escalated"),
+        F.coalesce(tier == before, F.lit(True)).alias("withdrawn"),
+        F.lit(True).alias("revision"),
+    )
+
+
 def risk_slope(scored: DataFrame, as_of: Column, *, within_hours: int = 168) -> DataFrame:
     """Least-squares slope of the score per day over each machine's last hours.
 
@@ -226,31 +266,45 @@ def risk_slope(scored: DataFrame, as_of: Column, *, within_hours: int = 168) ->
     )
 
 
+def hourly_sums(readings: DataFrame) -> DataFrame:
+    """Exact sums, counts and maxima per machine and hour, which add up over batches."""
+    return readings.groupBy("machine_id", hour_of("reading_ts").alias("hour_start")).agg(
+        F.count("*").alias("readings"),
+        F.sum(scaled("temperature_c", 2)).alias("_t"),
+        F.count("temperature_c").alias("_tn"),
+        F.max("temperature_c").alias("max_temperature_c"),
+        F.sum(scaled("vibration_mm_s", 3)).alias("_v"),
+        F.count("vibration_mm_s").alias("_vn"),
+        F.max("vibration_mm_s").alias("max_vibration_mm_s"),
+        F.count(F.when(F.trim("error_code") != "", 1)).alias("errors"),
+    )
+
+
+def added_sums(parts: DataFrame) -> DataFrame:
+    """Hourly sums of several batches as one row per machine and hour."""
+    most = ("max_temperature_c", "max_vibration_mm_s")
+    added = [c for c in parts.columns if c not in ("machine_id", "hour_start", *most)]
+    return parts.groupBy("machine_id", "hour_start").agg(
+        *[F.sum(c).alias(c) for c in added], *[F.max(c).alias(c) for c in most]
+    )
+
+
+def hourly_means(sums: DataFrame) -> DataFrame:
+    return sums.select(
+        "machine_id",
+        "hour_start",
+        "readings",
+        mean_of(F.col("_t"), F.col("_tn"), 2).alias("avg_temperature_c"),
+        "max_temperature_c",
+        mean_of(F.col("_v"), F.col("_vn"), 3).alias("avg_vibration_mm_s"),
+        "max_vibration_mm_s",
+        "errors",
+    )
+
+
 def hourly_rollup(readings: DataFrame) -> DataFrame:
     """Tumbling hourly summary; partial sums are formed before the shuffle."""
-    return (
-        readings.groupBy("machine_id", hour_of("reading_ts").alias("hour_start"))
-        .agg(
-            F.count("*").alias("readings"),
-            F.sum(scaled("temperature_c", 2)).alias("_t"),
-            F.count("temperature_c").alias("_tn"),
-            F.max("temperature_c").alias("max_temperature_c"),
-            F.sum(scaled("vibration_mm_s", 3)).alias("_v"),
-            F.count("vibration_mm_s").alias("_vn"),
-            F.max("vibration_mm_s").alias("max_vibration_mm_s"),
-            F.count(F.when(F.trim("error_code") != "", 1)).alias("errors"),
-        )
-        .select(
-            "machine_id",
-            "hour_start",
-            "readings",
-            mean_of(F.col("_t"), F.col("_tn"), 2).alias("avg_temperature_c"),
-            "max_temperature_c",
-            mean_of(F.col("_v"), F.col("_vn"), 3).alias("avg_vibration_mm_s"),
-            "max_vibration_mm_s",
-            "errors",
-        )
-    )
+    return hourly_means(hourly_sums(readings))
 
 
 def retained(readings: DataFrame, as_of: Column, *, days: int) -> DataFrame:

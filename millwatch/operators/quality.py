@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millwatch.operators.joins import keys_missing, rows_with_keys
 from millwatch.schema import Column as Declared
-from millwatch.schema import Contract
+from millwatch.schema import KNOWN_MODES, Contract
 
 
 def _long_counts(df: DataFrame, checks: dict[tuple[str, str], Column]) -> DataFrame:
@@ -66,15 +66,32 @@ def domain_violations(raw: DataFrame, contract: Contract) -> DataFrame:
     return _long_counts(raw, checks)
 
 
-def split_valid(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Typed rows that keep the contract, and the raw rest with the names of broken columns."""
+def unknown_modes(readings: DataFrame) -> DataFrame:
+    """Warning, not a fault: how often each mode occurs that is not a known one."""
+    mode = F.col("operating_mode")
+    return readings.filter(~mode.isin(*KNOWN_MODES)).groupBy("operating_mode").agg(F.count("*").alias("readings"))
+
+
+def split_valid(
+    raw: DataFrame, contract: Contract, *, unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Typed rows that keep the contract, and the raw rest with the names of broken columns.
+
+    ``unique`` also rejects every row whose key occurs more than once: none of them can be
+    told to be the right one, and each would double the facts that join it.
+    """
     present = [c for c in contract.columns if c.name in raw.columns]
     faults = [
         F.when(breach, F.lit(f"{c.name}:{rule}"))
         for c in present
         for rule, breach in _breaches(c).items()
     ] + [F.when(F.col(c.name).isNull(), F.lit(f"{c.name}:required")) for c in present if c.required]
-    checked = raw.withColumn("faults", F.concat_ws(",", *faults))
+    if unique:
+        copies = F.count("*").over(Window.partitionBy(*contract.key))
+        present_key = F.coalesce(*[F.col(k) for k in contract.key]).isNotNull()
+        raw = raw.withColumn("_copies", copies)
+        faults.append(F.when((F.col("_copies") > 1) & present_key, F.lit(f"{contract.key[0]}:repeated")))
+    checked = raw.withColumn("faults", F.concat_ws(",", *faults)).drop("_copies")
     typed = checked.filter("faults = ''").select(
         *[F.expr(f"try_cast({c.name} AS {_type_name(c)})").alias(c.name) for c in present]
     )

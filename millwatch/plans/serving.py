@@ -84,7 +84,7 @@ def kpi_by_tier(
         selected(latest, selection, rule)
         .groupBy(derived_tier(rule=rule).alias("risk_tier"))
         .agg(
-            F.countDistinct("machine_id").alias("machine_count"),
+            F.count("*").alias("machine_count"),  # one row per machine
             mean_score().alias("avg_score"),
             F.max("risk_score").alias("_worst"),
         )
@@ -105,7 +105,7 @@ def kpi_cards(
     per_tier = (
         selected(latest, selection, rule)
         .groupBy(derived_tier(rule=rule).alias("_tier"))
-        .agg(F.countDistinct("machine_id").alias("_n"))
+        .agg(F.count("*").alias("_n"))
     )
     # At most four rows are left to be turned into columns.
     cards = [f"coalesce(sum(CASE WHEN _tier = '{t}' THEN _n END), 0) AS {t.lower()}" for t in TIERS]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.config import BROADCAST_ROWS, DATA_LOSS, DEFAULT_RULE, RiskRule
-from millwatch.functions.columns import derived_tier, hours, mean_score, reason
+from millwatch.functions.columns import derived_tier, hours, mean_score, newest_time, reason
 from millwatch.operators.joins import attach
 from millwatch.operators.ranking import first_per_key, newest_order, ranked
 from millwatch.operators.sizing import row_count
@@ -18,13 +18,6 @@ ATTRIBUTES = ("plant_id", "machine_type", "location_zone", "criticality_class")
 VERDICT = ("risk_score", "risk_tier", "top_signal", "recommended_action", "model_version")
 
 
-def newest_time(rows: DataFrame, as_of=None) -> Column:
-    """The moment "now" stands for: given, or else the newest reading (a scalar subquery)."""
-    if as_of is None:
-        return rows.select(F.max("reading_ts")).scalar()
-    return as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("timestamp_ntz")
-
-
 def with_attributes(rows: DataFrame, registry: DataFrame, *, per_machine: bool) -> DataFrame:
     """Add registry attributes; ``per_machine`` says that rows are one per machine already."""
     return attach(
@@ -138,7 +131,8 @@ def tier_machine_list(
         F.expr("listagg(machine_id, ', ') WITHIN GROUP (ORDER BY machine_id)").alias("machine_ids")
     )
     tiers = latest.groupBy("risk_tier").agg(
-        F.countDistinct("machine_id").alias("machines"),
+        # One row per machine, so rows are machines.
+        F.count("*").alias("machines"),
         mean_score().alias("avg_score"),
         F.max("risk_score").alias("_worst"),
     )

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -24,9 +26,22 @@ def local_session(app: str, cores: str = "*", memory: str = "8g") -> SparkSessio
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see. Falls back to a local one only where none is named."""
+    """The folder all executors see, from ``spark.checkpoint.dir``.
+
+    In a local session, where driver and executors are one process, an unset folder is
+    replaced by a temporary one. On a cluster that would scatter files over machines, so it raises.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="millwatch-")
+    if configured:
+        return configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _local_dir()
+
+
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="millwatch-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millwatch.operators.ranking import first_per_key
 from millwatch.schema import Contract
 
 DATE = "reading_date"
@@ -43,21 +46,33 @@ def replace_dates(df: DataFrame, path: str) -> int:
     return _counted_write(df, path, "overwrite", partitionOverwriteMode="dynamic")
 
 
-def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id", "reading_ts")) -> int:
-    """Append rows whose key the table does not hold yet; returns how many.
+def stored_rows(df: DataFrame, path: str) -> DataFrame | None:
+    """Rows the table holds on the dates of ``df``, with its columns; None where there is no table or date.
 
-    Only the dates of ``df`` are read back. A retry finds the rows already there and adds none.
+    At most one entry per calendar day is listed; a late reading adds its day, not the days between.
     """
     spark = df.sparkSession
+    if not table_exists(spark, path):
+        return None
     dated = df.withColumn(DATE, F.to_date("reading_ts"))
-    if table_exists(spark, path):
-        # At most one entry per calendar day; a late reading adds its day, not the days between.
-        dates = [r[0] for r in dated.select(DATE).distinct().collect()]
-        if not dates:
-            return 0
-        stored = spark.read.schema(dated.schema).parquet(path).filter(F.col(DATE).isin(dates))
-        dated = dated.join(stored.select(*keys), list(keys), "left_anti")
-    return _counted_write(dated.drop(DATE), path, "append")
+    dates = [r[0] for r in dated.select(DATE).distinct().collect()]
+    if not dates:
+        return None
+    return spark.read.schema(dated.schema).parquet(path).filter(F.col(DATE).isin(dates))
+
+
+def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id", "reading_ts")) -> int:
+    """Append rows whose key the table does not hold yet; returns how many.
+
+    Of rows of one call that share a key one is appended, the same whichever way the rows
+    are cut or ordered. A retry finds the rows already there and adds none.
+    """
+    rest = [F.asc_nulls_last(c) for c in df.columns if c not in keys]
+    rows = first_per_key(df, list(keys), rest) if rest else df.distinct()
+    stored = stored_rows(df, path)
+    if stored is not None:
+        rows = rows.join(stored.select(*keys), list(keys), "left_anti")
+    return _counted_write(rows, path, "append")
 
 
 def create_empty(spark: SparkSession, contract: Contract, path: str) -> None:
@@ -92,8 +107,19 @@ def since_date(df: DataFrame, bound) -> DataFrame:
     return kept.filter(F.col(DATE) >= F.to_date(bound)) if DATE in df.columns else kept
 
 
-def drop_old_dates(spark: SparkSession, source: str, target: str, as_of, *, days: int) -> int:
-    """Retention: write the dates young enough to keep to a new table."""
-    oldest = F.to_date(F.lit(as_of)) - F.expr(f"INTERVAL {days} DAYS")
-    kept = read_fact(spark, source).filter(F.col(DATE) >= F.to_date(oldest))
-    return write_fact(kept.drop(DATE), target)
+def drop_old_dates(spark: SparkSession, path: str, as_of, *, days: int) -> int:
+    """Retention: remove the date folders that are older than ``days``; no file is rewritten.
+
+    Returns how many dates were removed. A table that is not laid out by date is refused.
+    """
+    oldest = dt.datetime.fromisoformat(str(as_of)).date() - dt.timedelta(days=days)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {s.getPath().getName(): s.getPath() for s in fs.listStatus(folder) if s.isDirectory()}
+    dates = {n.removeprefix(f"{DATE}="): at for n, at in found.items() if n.startswith(f"{DATE}=")}
+    if len(dates) < len([n for n in found if not n.startswith(("_", "."))]) or not dates:
+        raise ValueError(f"{path} is not partitioned by {DATE}")
+    old = [at for day, at in dates.items() if day != "__HIVE_DEFAULT_PARTITION__" and dt.date.fromisoformat(day) < oldest]
+    for at in old:
+        fs.delete(at, True)
+    return len(old)

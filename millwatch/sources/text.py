@@ -40,19 +40,27 @@ def with_defaults(df: DataFrame, contract: Contract) -> DataFrame:
     return filled.select(*contract.names)
 
 
-def load_csv(spark: SparkSession, path: str, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(typed rows with defaults, quarantined raw rows with their faults)."""
+def load_csv(
+    spark: SparkSession, path: str, contract: Contract, *, unique: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(typed rows with defaults, quarantined raw rows with their faults).
+
+    Header names match without regard to case, so upper-cased exports load as well.
+    """
     raw = read_raw(spark, path)
+    declared = {name.lower(): name for name in contract.names}
+    raw = raw.toDF(*[declared.get(c.lower(), c) for c in raw.columns])
     known = raw.select(*[c for c in contract.names if c in raw.columns])
     missing = [c.name for c in contract.columns if c.required and c.name not in raw.columns]
     if missing:
         raise ValueError(f"{path}: required columns not in the header: {', '.join(missing)}")
-    typed, quarantined = split_valid(known, contract)
+    typed, quarantined = split_valid(known, contract, unique=unique)
     return with_defaults(typed, contract), quarantined
 
 
 def load_registry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    return load_csv(spark, path, REGISTRY)
+    """A machine listed twice is quarantined, since it would double its readings."""
+    return load_csv(spark, path, REGISTRY, unique=True)
 
 
 def load_telemetry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

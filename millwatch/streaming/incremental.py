@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millwatch.config import BROADCAST_ROWS, DEFAULT_RULE, RiskRule
 from millwatch.functions.columns import hours
-from millwatch.operators.history import drop_repeats, tier_changes
+from millwatch.operators.history import drop_repeats, revised_changes, tier_changes
+from millwatch.operators.ranking import first_per_key
 from millwatch.operators.sizing import row_count
 from millwatch.plans.features import features
 from millwatch.plans.scoring import score_readings, stamped
 from millwatch.plans.summary import latest_scores, merge_latest
-from millwatch.sources.tables import append_new, replace_dates, table_exists
+from millwatch.sources.tables import DATE, append_new, replace_dates, stored_rows, table_exists
 
 
 def score_new(
@@ -33,22 +35,24 @@ def affected_dates(fresh: DataFrame, *, window_hours: int = 24) -> DataFrame:
     return fresh.select(F.explode(touched).alias("reading_date")).distinct()
 
 
+def on_dates(rows: DataFrame, dates: set[dt.date]) -> DataFrame:
+    """Rows of some dates; prunes partitions where the table has the date column."""
+    day = F.col(DATE) if DATE in rows.columns else F.to_date("reading_ts")
+    return rows.filter(day.isin(sorted(dates)))
+
+
 def refresh_features(
     telemetry: DataFrame, registry: DataFrame, fresh: DataFrame, features_path: str
 ) -> int:
     """Recompute the feature dates touched by ``fresh`` from the telemetry and replace them.
 
-    ``telemetry`` holds ``fresh`` already. It is read from one window before the first
-    touched date, so unchanged dates are neither computed nor rewritten.
+    ``telemetry`` holds ``fresh`` already. Only the touched dates and the day before each are
+    read, so a reading that is a year late costs four dates, not a year.
     """
     dates = [r[0] for r in affected_dates(fresh).collect()]  # a handful of calendar dates
     if not dates:
         return 0
-    first = F.lit(min(dates)).cast("timestamp_ntz") - hours(24)
-    last = F.lit(max(dates))
-    needed = telemetry.filter(
-        (F.col("reading_ts") >= first) & (F.to_date("reading_ts") <= last)
-    )
+    needed = on_dates(telemetry, {d - dt.timedelta(days=n) for d in dates for n in (0, 1)})
     rows = features(needed, registry).filter(F.to_date("reading_ts").isin(dates))
     return replace_dates(rows, features_path)
 
@@ -73,55 +77,98 @@ class LiveTables:
     def checkpoint(self) -> str:
         return f"{self.base}/checkpoint"
 
-    def read_latest(self, spark: SparkSession, before: int = 1 << 62) -> DataFrame | None:
-        """The newest complete latest-per-machine table of a batch below ``before``."""
+    def _complete(self, spark: SparkSession, before: int) -> list[int]:
+        """Batches below ``before`` whose latest table is complete; at most a few are kept."""
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/latest")
         fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
         if not fs.exists(folder):
-            return None
+            return []
         batches = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder)]
-        complete = [
-            b for b in batches if b < before and table_exists(spark, f"{self.latest(b)}/_SUCCESS")
-        ]
-        return spark.read.parquet(self.latest(max(complete))) if complete else None
+        return sorted(b for b in batches if b < before and table_exists(spark, f"{self.latest(b)}/_SUCCESS"))
 
-    def read_alerts(self, spark: SparkSession) -> DataFrame:
+    def read_latest(self, spark: SparkSession, before: int = 1 << 62) -> DataFrame | None:
+        """The newest complete latest-per-machine table of a batch below ``before``."""
+        complete = self._complete(spark, before)
+        return spark.read.parquet(self.latest(complete[-1])) if complete else None
+
+    def drop_superseded(self, spark: SparkSession, batch_id: int) -> None:
+        """Remove latest tables older than the one before ``batch_id``, which a retry would need."""
+        for batch in self._complete(spark, batch_id)[:-1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(self.latest(batch))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def read_alert_log(self, spark: SparkSession) -> DataFrame:
+        """Every alert and revision as it was raised."""
         return spark.read.parquet(f"{self.base}/alerts")
 
+    def read_alerts(self, spark: SparkSession) -> DataFrame:
+        """Alerts that stand: the last word on each reading, without withdrawn ones."""
+        log = self.read_alert_log(spark)
+        last = first_per_key(log, ["machine_id", "reading_ts"], [F.desc("batch"), F.desc("revision")])
+        return last.filter("NOT withdrawn").drop("withdrawn", "revision")
+
 
 def keep_current(
     batch: DataFrame, batch_id: int, registry: DataFrame, tables: LiveTables, rule: RiskRule
 ) -> None:
-    """One micro-batch: new scores, tier alerts, latest states.
+    """One micro-batch: new scores, tier alerts, latest states, all from the same rows.
 
-    Scores are appended by key; alerts and latest states go to a folder of this batch that a
-    retry overwrites. Alerts cover readings newer than their machine's stored state. A late
-    reading is scored but raises none; ``tier_changes`` over the scored table has the full record.
+    Repeats inside the batch leave the most complete reading; readings that an earlier batch
+    scored are dropped once, before anything is derived. So the three tables always tell the
+    same story: that of the reading seen first. Scores carry their batch id, by which a retry
+    knows its own rows; alerts and latest states go to a folder of the batch that it overwrites.
     """
     spark = batch.sparkSession
-    order = [F.asc(c) for c in ("load_ts", "reading_id") if c in batch.columns]
-    unique = drop_repeats(batch, order or [F.asc("temperature_c")])
-    fresh = score_readings(unique, registry, rule).persist()
-    append_new(stamped(fresh), tables.scored)
-
-    previous = tables.read_latest(spark, before=batch_id)
+    scored = score_readings(drop_repeats(batch), registry, rule)
+    own = F.lit(batch_id).cast("bigint").alias("batch_id")
+    held = stored_rows(scored.select("*", own), tables.scored)
+    if held is not None:
+        others = held.filter(F.col("batch_id") != batch_id).select("machine_id", "reading_ts")
+        scored = scored.join(others, ["machine_id", "reading_ts"], "left_anti")
+    fresh = scored.persist()
+    try:
+        append_new(stamped(fresh).select("*", own), tables.scored)
+        previous = tables.read_latest(spark, before=batch_id)
+        alerts = _alerts(fresh, previous, registry, tables, spark)
+        alerts.write.mode("overwrite").parquet(tables.alerts(batch_id))
+        current = latest_scores(fresh) if previous is None else merge_latest(previous, fresh)
+        current.write.mode("overwrite").parquet(tables.latest(batch_id))
+    finally:
+        fresh.unpersist()
+    tables.drop_superseded(spark, batch_id)
+
+
+def _alerts(
+    fresh: DataFrame, previous: DataFrame | None, registry: DataFrame, tables: LiveTables, spark: SparkSession
+) -> DataFrame:
+    """Tier changes that the fresh readings bring, and revisions where they arrive late.
+
+    A reading newer than its machine's state is compared with that state, for which only the
+    states of the batch's machines are read. A late one stands between two stored readings:
+    its own change and that of its successor are stated anew from the machine's stored
+    scores; a successor that no longer differs has its alert withdrawn.
+    """
+    flags = [F.lit(False).alias("withdrawn"), F.lit(False).alias("revision")]
     if previous is None:
-        in_order, known = fresh, fresh.limit(0)
-    else:
-        known = previous
-        since = previous.select("machine_id", F.col("reading_ts").alias("_since"))
-        if row_count(registry) <= BROADCAST_ROWS:  # at most one row per registered machine
-            since = F.broadcast(since)
-        in_order = (
-            fresh.join(since, "machine_id", "left")
-            .filter("_since IS NULL OR reading_ts > _since")
-            .drop("_since")
-        )
-    changes = tier_changes(known.unionByName(in_order.select(*known.columns)))
-    changes.write.mode("overwrite").parquet(tables.alerts(batch_id))
-    current = latest_scores(fresh) if previous is None else merge_latest(previous, fresh)
-    current.write.mode("overwrite").parquet(tables.latest(batch_id))
-    fresh.unpersist()
+        return tier_changes(fresh).select("*", *flags)
+    machines = fresh.select("machine_id").distinct()
+    few = row_count(registry) <= BROADCAST_ROWS  # at most one row per registered machine
+    known = previous.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi")
+    since = known.select("machine_id", F.col("reading_ts").alias("_since"))
+    placed = fresh.join(F.broadcast(since) if few else since, "machine_id", "left")
+    in_order = placed.filter("_since IS NULL OR reading_ts > _since").drop("_since")
+    late = placed.filter("reading_ts <= _since").drop("_since")
+    on_time = tier_changes(known.unionByName(in_order.select(*known.columns))).select("*", *flags)
+    late_machines = late.select("machine_id").distinct()
+    history = spark.read.parquet(tables.scored).join(
+        F.broadcast(late_machines) if few else late_machines, "machine_id", "left_semi"
+    )
+    marks = late.select("machine_id", "reading_ts", F.lit(True).alias("_late"))
+    marked = history.join(marks, ["machine_id", "reading_ts"], "left")
+    upto = known.select("machine_id", F.col("reading_ts").alias("_since"))
+    # Readings newer than the old state are alerted on above.
+    marked = marked.join(F.broadcast(upto) if few else upto, "machine_id").filter("reading_ts <= _since")
+    return on_time.unionByName(revised_changes(marked.withColumn("_late", F.coalesce("_late", F.lit(False)))))
 
 
 def run_live(

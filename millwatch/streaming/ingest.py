@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millwatch.functions.columns import mean_of, scaled
+from millwatch.operators.history import added_sums, hourly_means, hourly_sums
 
-# How late a reading may arrive and still be matched with its repeats or its hour.
+# How late a reading may arrive and still be matched with its repeats.
 DELAY = "2 hours"
 
 
@@ -59,27 +59,32 @@ def drop_repeats_stream(stream: DataFrame, *, delay: str = DELAY) -> DataFrame:
     return marked.dropDuplicatesWithinWatermark(["machine_id", "reading_ts"]).drop("_event_time")
 
 
-def hourly_rollup_stream(stream: DataFrame, *, delay: str = DELAY) -> DataFrame:
-    """Hourly summary; an hour is emitted once, when the watermark has passed its end."""
+def rollup_stream(
+    stream: DataFrame, path: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Keep hourly sums of a stream: every reading counts when it arrives, late ones included.
+
+    A micro-batch adds one row per machine and hour it touches, in a folder of its own that a
+    retry overwrites; ``read_rollup`` adds them up.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        hourly_sums(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        _with_event_time(stream, delay)
-        .groupBy("machine_id", F.window("_event_time", "1 hour").alias("_w"))
-        .agg(
-            F.count("*").alias("readings"),
-            F.sum(scaled("temperature_c", 2)).alias("_t"),
-            F.count("temperature_c").alias("_tn"),
-            F.max("vibration_mm_s").alias("max_vibration_mm_s"),
-        )
-        .select(
-            "machine_id",
-            F.col("_w.start").cast("timestamp_ntz").alias("hour_start"),
-            "readings",
-            mean_of(F.col("_t"), F.col("_tn"), 2).alias("avg_temperature_c"),
-            "max_vibration_mm_s",
-        )
+        stream.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
     )
 
 
+def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+    """The hourly summary of all batches so far, open hours included."""
+    return hourly_means(added_sums(spark.read.parquet(path).drop("batch")))
+
+
 def write_stream(
     stream: DataFrame, path: str, checkpoint: str, *, every: str | None = None
 ) -> StreamingQuery:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 MACHINE = "MCH_000007"
 
+# Action, reason, tier and signal texts below are fixed values of the result contract.
+
 BASE = """
 registry AS (
   SELECT concat('MCH_', lpad(CAST(c.c_custkey AS VARCHAR), 6, '0')) AS machine_id,
@@ -256,10 +258,38 @@ def _domain() -> str:
         f"SELECT '{c}', 'type', count(*) FILTER (TRY_CAST(CAST({c} AS VARCHAR) AS {t}) IS NULL) FROM dated"
         for c, t in REGISTRY_TYPED.items()
     ]
-    dated = "dated AS (SELECT *, DATE '2020-01-01' AS install_date FROM registry)"
+    broken = "CASE WHEN machine_id LIKE '%3' THEN 'soon' ELSE '2020-01-01' END"
+    dated = f"dated AS (SELECT *, {broken} AS install_date FROM registry)"
     return f"{_with(BASE, dated)} {' UNION ALL '.join(parts)}"
 
 
+def _anomaly() -> str:
+    """Every reading in every tree, leaf masses by a window, no packed tables."""
+
+    def whole(value: str, scale: int) -> str:
+        return f"CAST({value} * {scale} AS BIGINT)"
+
+    def clamped(value: str) -> str:
+        return f"CASE WHEN ({value}) IS NOT NULL THEN greatest(0, least(8191, {value})) END"
+
+    spots = [
+        f"{whole('(temperature_c - baseline_temp_c)', 100)} + 4096",
+        f"{whole('(vibration_mm_s - baseline_vibration)', 1000)} + 4096",
+        f"{whole('pressure_bar', 100)} * 4096 // nullif({whole('baseline_pressure_bar', 100)}, 0)",
+        f"{whole('power_kw', 100)} * 4096 // nullif({whole('baseline_power_kw', 100)}, 0)",
+    ]
+    return f"""{_F}, spots AS (SELECT reading_id, machine_id, reading_ts, [{', '.join(map(clamped, spots))}] AS p FROM features),
+        trees AS (SELECT t, t % 4 AS a, (t % 4 + 1 + t // 4 % 3) % 4 AS b, 2 + t % 3 AS ka, 4 - t % 3 AS kb,
+          (t * 7919 + 117074) % 8192 AS sa, (t * 7919 + 221803) % 8192 AS sb FROM range(36) r(t)),
+        placed AS (SELECT s.*, t, (p[a + 1] + sa) * (1 << ka) // 16384 AS x, (p[b + 1] + sb) * (1 << kb) // 16384 AS y
+          FROM spots s CROSS JOIN trees),
+        massed AS (SELECT *, CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN
+          length(bin(count(*) OVER (PARTITION BY t, x, y))) END AS bits FROM placed)
+        SELECT reading_id, machine_id, reading_ts, 1e0 - CAST(sum(bits) AS DOUBLE)
+          / nullif(CAST(count(bits) * length(bin((SELECT count(*) FROM spots))) AS DOUBLE), 0) AS anomaly_score
+        FROM massed GROUP BY reading_id, machine_id, reading_ts"""
+
+
 def oracle_sql() -> dict[str, str]:
     feature_columns = (
         f"{_TELEMETRY_COLUMNS}, z_temp, z_vibration, hours_since_service, plant_id, machine_type, criticality_class, "
@@ -295,6 +325,11 @@ def oracle_sql() -> dict[str, str]:
         FROM scored s JOIN registry r USING (machine_id)"""
     hourly_base = f"""machine_id, date_trunc('hour', reading_ts) AS hour_start, count(*) AS readings,
         {_mean('temperature_c', 100)} AS avg_temperature_c"""
+    hourly = f"""{_B} SELECT {hourly_base}, CAST(max(temperature_c) AS DOUBLE) AS max_temperature_c,
+        {_mean('vibration_mm_s', 1000)} AS avg_vibration_mm_s,
+        CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s,
+        count(*) FILTER (trim(error_code) <> '') AS errors
+        FROM telemetry GROUP BY machine_id, hour_start"""
     return {
         "features": f"{_F} SELECT {feature_columns}, {rolling} FROM features",
         "rolling_24h": f"{_B} SELECT reading_id, machine_id, reading_ts, {rolling} FROM telemetry",
@@ -338,6 +373,15 @@ def oracle_sql() -> dict[str, str]:
             criticality_class, {_TIER} AS risk_tier, CAST(risk_score AS DOUBLE) AS score, top_signal,
             recommended_action, strftime(reading_ts, '%Y-%m-%d %H:%M') AS last_reading
             FROM latest WHERE machine_type IN ('PUMP', 'TURBINE')""",
+        "overview_export": f"""{_L} SELECT machine_id AS "MACHINE", plant_id AS "PLANT", machine_type AS "MACHINE_TYPE",
+            location_zone AS "LOCATION_ZONE", criticality_class AS "CRITICALITY_CLASS", {_TIER} AS "RISK_TIER",
+            CAST(risk_score AS DOUBLE) AS "SCORE", top_signal AS "TOP_SIGNAL",
+            recommended_action AS "RECOMMENDED_ACTION", strftime(reading_ts, '%Y-%m-%d %H:%M') AS "LAST_READING"
+            FROM latest WHERE {_PLANT_TIER}""",
+        "empty_selection": f"""{_L} SELECT machine_id AS machine, plant_id AS plant, machine_type, location_zone,
+            criticality_class, {_TIER} AS risk_tier, CAST(risk_score AS DOUBLE) AS score, top_signal,
+            recommended_action, strftime(reading_ts, '%Y-%m-%d %H:%M') AS last_reading
+            FROM latest WHERE FALSE""",
         "full_trend": f"{_S} {trend}",
         "full_trend_filtered": f"""{_S} {trend} WHERE upper(trim(r.plant_id)) IN ('EUROPE', 'ASIA')
             AND {DERIVED.format(s='s.risk_score')} IN ('CRITICAL', 'HIGH')""",
@@ -408,6 +452,29 @@ def oracle_sql() -> dict[str, str]:
             FROM telemetry""",
         "tier_transitions": changes,
         "live_alerts": changes,
+        "live_late": changes,
+        "live_conflicts": f"""{_L} SELECT machine_id, reading_ts, CAST(risk_score AS DOUBLE) AS risk_score, risk_tier,
+            top_signal, recommended_action, model_version, CAST(risk_score AS DOUBLE) AS stored_score,
+            risk_tier AS stored_tier FROM latest""",
+        "full_rescore": score_all,
+        "machine_check": f"{_B} SELECT machine_id, plant_id FROM registry WHERE machine_id = '{MACHINE}'",
+        "unknown_modes": f"""{_B} SELECT 'TRIAL' AS operating_mode, count(*) AS readings FROM telemetry
+            WHERE reading_id % 7 = 0 HAVING count(*) > 0""",
+        "csv_telemetry": f"""{_B} SELECT machine_id, reading_ts, CAST(temperature_c AS DOUBLE) AS temperature_c,
+            CAST(vibration_mm_s AS DOUBLE) AS vibration_mm_s, CAST(power_kw AS DOUBLE) AS power_kw,
+            CASE WHEN reading_id % 7 = 0 THEN 'HIGH_LOAD' ELSE operating_mode END AS operating_mode,
+            nullif(trim(error_code), '') AS error_code, CAST(NULL AS DOUBLE) AS pressure_bar, TRUE AS has_load_ts
+            FROM telemetry WHERE reading_id % 97 <> 0""",
+        "csv_registry": f"""{_B}, numbered AS (
+              SELECT *, CAST(substr(machine_id, 5, 6) AS INT) AS n FROM registry),
+            sent AS (SELECT * FROM numbered UNION ALL SELECT * FROM numbered WHERE n % 50 = 0),
+            judged AS (SELECT *, concat_ws(',',
+                CASE WHEN length(plant_id) > 10 THEN 'plant_id:length' END,
+                CASE WHEN n % 60 = 1 THEN 'install_date:type' END,
+                CASE WHEN n % 50 = 0 THEN 'machine_id:repeated' END) AS faults FROM sent)
+            SELECT machine_id, plant_id, CASE WHEN faults = '' THEN DATE '2020-01-01' END AS install_date,
+              CASE WHEN faults = '' THEN CASE WHEN n % 4 = 0 THEN 'STANDARD' ELSE criticality_class END END AS criticality_class,
+              nullif(faults, '') AS faults FROM judged""",
         "live_latest": f"""{_L} SELECT machine_id, reading_ts, CAST(risk_score AS DOUBLE) AS risk_score, risk_tier,
             top_signal, recommended_action, model_version FROM latest""",
         "risk_slope": f"""{_S} , points AS (
@@ -436,11 +503,7 @@ def oracle_sql() -> dict[str, str]:
               CAST(temperature_c - mt AS DOUBLE) / nullif(CAST(dt AS DOUBLE) * 1.4826e0, 0) AS temperature_c_robust_z,
               CAST(vibration_mm_s - mv AS DOUBLE) / nullif(CAST(dv AS DOUBLE) * 1.4826e0, 0) AS vibration_mm_s_robust_z
             FROM telemetry JOIN mad USING (machine_id)""",
-        "hourly_rollup": f"""{_B} SELECT {hourly_base}, CAST(max(temperature_c) AS DOUBLE) AS max_temperature_c,
-            {_mean('vibration_mm_s', 1000)} AS avg_vibration_mm_s,
-            CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s,
-            count(*) FILTER (trim(error_code) <> '') AS errors
-            FROM telemetry GROUP BY machine_id, hour_start""",
+        "hourly_rollup": hourly,
         "retained_readings": f"""{_B} SELECT {_TELEMETRY_COLUMNS} FROM telemetry
             WHERE reading_ts >= (SELECT max(reading_ts) FROM telemetry) - INTERVAL 14 DAYS""",
         "alert_quality": f"""{_S} , alerts AS (
@@ -458,8 +521,6 @@ def oracle_sql() -> dict[str, str]:
         "incremental_score": score_all,
         "stream_score": score_all,
         "stream_dedup": f"{_B} SELECT {_TELEMETRY_COLUMNS} FROM telemetry",
-        "stream_hourly_rollup": f"""{_B} SELECT {hourly_base}, CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s
-            FROM telemetry GROUP BY machine_id, hour_start
-            HAVING date_trunc('hour', min(reading_ts)) + INTERVAL 1 HOUR
-                   <= (SELECT max(reading_ts) FROM telemetry) - INTERVAL 2 HOURS""",
+        "stream_hourly_rollup": hourly,
+        "anomaly_scores": _anomaly(),
     }

@@ -1,67 +1,60 @@
-"""The forest against a plain walk over its node table."""
+"""Half-space anomaly scores against a plain count of leaf masses."""
 
 from __future__ import annotations
 
-import datetime as dt
-import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from millwatch.operators.forest import expected_path, fit_forest, score_forest
+from millwatch.operators import forest
 from millwatch.plans import features
-from millwatch.operators import forest as forests
-
-NAMES = ["x", "y"]
-START = dt.datetime(2024, 1, 1)
 
 
 @pytest.fixture(scope="module")
-def points(spark):
-    rng = random.Random(3)
-    rows = [("M", START + dt.timedelta(minutes=i), rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(600)]
-    rows += [("M", START + dt.timedelta(days=9), 12.0, -12.0), ("M", START + dt.timedelta(days=10), 5.0, 5.0)]
-    return spark.createDataFrame(rows, "machine_id STRING, reading_ts TIMESTAMP_NTZ, x DOUBLE, y DOUBLE").cache()
-
-
-def test_expected_path():
-    assert expected_path(1) == 0.0
-    assert expected_path(2) == pytest.approx(1.0)
-    assert expected_path(256) == pytest.approx(10.2487, abs=1e-4)
-
-
-def test_scores_equal_a_plain_walk_and_find_the_outlier(points):
-    options = {"trees": 20, "sample_rows": 64}
-    nodes = fit_forest(points, NAMES, **options)
-    table = {(r["tree"], r["node"]): r for r in nodes.collect()}
-    assert {t for t, _ in table} == set(range(20)) and len(table) <= 20 * 127
-    scored = score_forest(points, nodes, NAMES, sample_rows=64).collect()
-
-    def walk(row, tree):
-        node = table[(tree, 0)]
-        while node["feature"] >= 0:
-            lower = row[NAMES[node["feature"]]] < node["cut"]
-            node = table[(tree, node["lower"] if lower else node["upper"])]
-        return node["path"]
-
-    for row in scored:
-        mean = sum(walk(row, t) for t in range(20)) / 20
-        assert row["anomaly_score"] == pytest.approx(2 ** (-mean / expected_path(64)))
-    assert max(scored, key=lambda r: r["anomaly_score"])["x"] in (12.0, 5.0)
-
-
-def test_same_data_gives_the_same_forest(points):
-    a, b = (
-        {tuple(r) for r in fit_forest(p, NAMES, trees=5, sample_rows=32).collect()}
-        for p in (points, points.repartition(7))
-    )
-    assert a == b
-
-
-def test_fleet_scores_cover_every_complete_reading(fleet):
-    rows = features.features(fleet.telemetry, fleet.registry, rolling=False)
-    complete = rows.filter("temperature_c IS NOT NULL AND vibration_mm_s IS NOT NULL AND pressure_bar IS NOT NULL")
-    scored = forests.anomaly_scores(rows, trees=10, sample_rows=32)
-    assert scored.count() == complete.count()
-    low, high = scored.agg(F.min("anomaly_score"), F.max("anomaly_score")).first()
-    assert 0.0 < low < high < 1.0
+def rows(fleet):
+    return features.features(fleet.telemetry, fleet.registry, rolling=False)
+
+
+def test_scores_equal_plain_counting(rows):
+    trees, depth = 12, 6
+    placed = rows.select("reading_id", *[p.alias(f"p{n}") for n, p in enumerate(forest.positions())]).collect()
+    got = {r["reading_id"]: r["anomaly_score"] for r in forest.anomaly_scores(rows, trees=trees, depth=depth).collect()}
+    assert len(got) == len(placed)
+
+    def leaf(row, tree):
+        a, b, ka, kb, sa, sb = forest.tree_shape(tree, depth)
+        if row[f"p{a}"] is None or row[f"p{b}"] is None:
+            return None
+        bins = [((row[f"p{n}"] + s) << k) // (2 * forest.SPAN) for n, k, s in ((a, ka, sa), (b, kb, sb))]
+        return tree, *bins
+
+    mass = Counter(leaf(r, t) for r in placed for t in range(trees))
+    for r in placed:
+        found = [leaf(r, t) for t in range(trees) if leaf(r, t)]
+        if not found:
+            assert got[r["reading_id"]] is None
+            continue
+        bits = sum(mass[x].bit_length() for x in found)
+        assert got[r["reading_id"]] == 1.0 - bits / (len(found) * len(placed).bit_length())
+
+
+def test_every_reading_is_scored_and_outliers_stand_out(rows):
+    odd = rows.filter("temperature_c IS NOT NULL AND pressure_bar IS NOT NULL").limit(1).select(
+        *[F.lit(-1).cast("bigint").alias(c) if c == "reading_id"
+          else F.lit(900).cast("decimal(7,2)").alias(c) if c in ("temperature_c", "pressure_bar") else F.col(c)
+          for c in rows.columns]
+    )
+    scored = forest.anomaly_scores(rows.unionByName(odd))
+    assert scored.count() == rows.count() + 1
+    best = scored.orderBy(F.desc_nulls_last("anomaly_score")).limit(20).collect()
+    assert -1 in [r["reading_id"] for r in best]
+
+
+def test_no_python_and_bounded_broadcast(rows):
+    plan = forest.anomaly_scores(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_empty_input(rows):
+    assert forest.anomaly_scores(rows.limit(0)).collect() == []
