@@ -179,3 +179,45 @@ def test_error_groups_aggregate_before_the_registry_join(fleet):
 
 def test_repeated_scoring_is_the_same(fleet):
     assert spark_rows(fleet.scored) == spark_rows(fleet.scored.repartition(5))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_time_filters_reach_the_scan(spark):
+    """Recent scores filter events by time before the rule runs."""
+    import __spark_entry__ as driver
+
+    for name in ("risk_trend_24h", "worst_recent_risk", "risk_slope"):
+        df = driver.queries()[name](spark, "/root/testdata/sf0.001")
+        lines = [x for x in _plan(df).splitlines() if "FileScan parquet" in x and "event_id" in x]
+        assert any("DataFilters: [" in x and "ts#" in x.split("DataFilters:")[1] for x in lines), name
+
+
+def test_hot_keys_are_salted_when_too_many_to_broadcast(spark):
+    from millwatch.operators.joins import attach
+
+    fact = spark.range(4000).selectExpr("concat('M', id % 7) AS machine_id", "id AS reading_id")
+    fact = fact.unionByName(spark.range(4000).selectExpr("'M1' AS machine_id", "id AS reading_id"))
+    dim = spark.range(7).selectExpr("concat('M', id) AS machine_id", "id * 10 AS base")
+    plain = sorted(map(tuple, fact.join(dim, "machine_id").collect()))
+    for limit in (0, 1, 100):
+        got = attach(fact, dim, broadcast_rows=limit, hot_rows=300)
+        assert sorted(map(tuple, got.select("machine_id", "reading_id", "base").collect())) == plain
+
+
+def test_local_scratch_only_in_local_sessions(spark):
+    from types import SimpleNamespace
+
+    import pytest as _pytest
+
+    from millwatch.session import shared_dir
+
+    for master, fine in (("local[8]", True), ("local", True), ("spark://host:7077", False), ("local-cluster[3,2,1024]", False)):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master))
+        if fine:
+            assert shared_dir(fake)
+        else:
+            with _pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                shared_dir(fake)
