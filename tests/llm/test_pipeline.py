@@ -6,7 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from test_operators import FOLDER, awkward, brute_components, brute_targets, empty
+from test_llm_operators import FOLDER, awkward, brute_components, brute_targets, empty
 
 import corpus_pipeline
 from millwatch.llm import common, packing
