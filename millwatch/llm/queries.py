@@ -147,8 +147,31 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM g
 """
 
+# Every pair that shares a shingle, counted; then everything reachable.
+_NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY u, v),
+links AS (
+  SELECT u, v FROM common JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM w
+  UNION SELECT l.v, r.other FROM reach r JOIN (SELECT u, v FROM links UNION ALL SELECT v, u FROM links) l ON l.u = r.doc_id)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = w.doc_id GROUP BY w.doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": _DEDUP,
     "op2_url_filters": _URLS,
+    "op3_ngram_jaccard": _NEAR,
     "op7_warc": _WARC,
 }
