@@ -57,13 +57,14 @@ def carry_last(
     """
     seconds = seconds or slice_seconds(df, key, ts, slice_rows)
     direction = F.desc if backwards else F.asc
-    rows = df.withColumn("_slice", time_slice(ts, seconds))
     slots = [f"_slot{n}" for n in range(len(items))]
+    # Dealt out once: the slices' ends and the rows themselves are taken from the same shuffle.
+    dealt = df.withColumn("_slice", time_slice(ts, seconds)).repartition(key, "_slice")
 
     # One row per (key, slice): the value each slice ends with, then what its follower starts with.
     newest = F.min if backwards else F.max
     place = F.struct(*order)
-    ends = rows.groupBy(F.col(key).alias("_key"), "_slice").agg(
+    ends = dealt.groupBy(F.col(key), "_slice").agg(
         *[
             newest(F.when(item.isNotNull(), F.struct(place.alias("at"), item.alias("v"))))
             .getField("v")
@@ -71,35 +72,22 @@ def carry_last(
             for slot, item in zip(slots, items.values())
         ]
     )
-    starts = (
-        _slice_starts(ends, slots, seconds, backwards)
-        .withColumnRenamed("_key", key)
-        .withColumn("_is_row", F.lit(False))
-    )
+    starts = _slice_starts(
+        ends.select(F.col(key).alias("_key"), F.col("_slice"), *slots), slots, seconds, backwards
+    ).withColumnRenamed("_key", key)
 
-    # Shuffled here, before the window asks for it, so that only the rows themselves travel
-    # and the items are taken from them afterwards.
-    everything = (
-        rows.withColumn("_is_row", F.lit(True))
-        .unionByName(starts, allowMissingColumns=True)
-        .repartition(key, "_slice")
-    )
-    window = Window.partitionBy(key, "_slice").orderBy("_is_row", *[direction(c) for c in order])
+    window = Window.partitionBy(key, "_slice").orderBy(*[direction(c) for c in order])
     if inclusive:
         window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     else:
         window = window.rowsBetween(Window.unboundedPreceding, -1)
-    carried = everything.select(
-        "_is_row",
+    return dealt.join(starts, [key, "_slice"], "left").select(
         *df.columns,
         *[
-            F.last(F.when(F.col("_is_row"), item).otherwise(F.col(slot)), ignorenulls=True)
-            .over(window)
-            .alias(name)
+            F.coalesce(F.last(item, ignorenulls=True).over(window), F.col(slot)).alias(name)
             for slot, (name, item) in zip(slots, items.items())
         ],
     )
-    return carried.filter("_is_row").drop("_is_row")
 
 
 def _slice_starts(ends: DataFrame, slots: list[str], seconds: int, backwards: bool) -> DataFrame:

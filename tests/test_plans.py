@@ -221,3 +221,13 @@ def test_local_scratch_only_in_local_sessions(spark):
         else:
             with _pytest.raises(ValueError, match="spark.checkpoint.dir"):
                 shared_dir(fake)
+
+
+def test_carried_values_scan_their_input_once(spark):
+    import __spark_entry__ as driver
+
+    for name, scans in (("tier_transitions", 1), ("gap_fill", 1), ("alert_quality", 2)):
+        df = driver.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert sum("event_id" in x and "FileScan" in x for x in final.splitlines()) == scans, name
