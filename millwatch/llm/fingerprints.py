@@ -1,7 +1,7 @@
 """Document fingerprints by a homomorphic multiset hash, native expressions only.
 
-A text is the multiset of its paragraphs (lines; a line of more than ``LINE_WORDS`` words
-is cut after that many). Each paragraph hashes to a wide vector, the fingerprint is the
+A text is the multiset of its paragraphs (lines; a line of more than ``LINE_CHARS``
+characters is cut after that many). Each paragraph hashes to a wide vector, the fingerprint is the
 sum of the vectors modulo powers of two: ``DENSE`` lanes of 32 bits that every paragraph
 adds to, for equality, and ``SPARSE`` lanes of 16 bits of which a paragraph adds to one,
 for likeness. Sums do not depend on order, and adding or subtracting a paragraph's vector
@@ -17,15 +17,21 @@ from millwatch.llm.common import whole_text, written
 
 DENSE, DENSE_BITS = 4, 32
 SPARSE, SPARSE_BITS = 128, 16
-LINE_WORDS = 40
+LINE_CHARS = 240
 # Cells of the id range, and documents a neighbour bucket aims at.
 CELLS, BUCKET_DOCS = 1 << 16, 1_000
 
 
 def paragraphs(text: Column) -> Column:
-    """Non-empty lines, long ones in pieces of LINE_WORDS words."""
-    cut = F.regexp_replace(text, rf"((?:[^\x20\n]*\x20){{{LINE_WORDS}}})", "$1\n")
-    return F.filter(F.split(cut, "\n"), lambda p: p != "")
+    """Non-empty lines, long ones in pieces of LINE_CHARS characters."""
+
+    def pieces(line: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(line), F.lit(LINE_CHARS))
+        cut = F.transform(starts, lambda at: F.substr(line, at, F.lit(LINE_CHARS)))
+        return F.when(F.length(line) > LINE_CHARS, cut).otherwise(F.array(line))
+
+    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
+    return F.flatten(F.transform(lines, pieces))
 
 
 def _with(value: Column, body) -> Column:
@@ -33,8 +39,21 @@ def _with(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _entries(units: Column) -> Column:
+    """Sums by lane of (lane, add) pairs, as lane * 2**SPARSE_BITS + sum in lane order; zero sums drop out."""
+    low, zero = (1 << SPARSE_BITS) - 1, F.lit(0).cast("bigint")
+
+    def summed(lane: Column) -> Column:
+        mine = F.filter(units, lambda u: u["lane"] == lane)
+        total = F.aggregate(mine, zero, lambda acc, u: (acc + u["add"]).bitwiseAND(low))
+        return F.shiftleft(lane, SPARSE_BITS) + total
+
+    lanes = F.array_sort(F.array_distinct(F.transform(units, lambda u: u["lane"])))
+    return F.filter(F.transform(lanes, summed), lambda e: e.bitwiseAND(low) != 0)
+
+
 def vector_of(text: Column) -> Column:
-    """The summed lanes of a text: dense ones, then sparse ones; longs below 2**32."""
+    """The summed lanes of a text: the dense ones, then an entry for each sparse one that is not zero."""
     mask, low = (1 << DENSE_BITS) - 1, (1 << SPARSE_BITS) - 1
     zero = F.lit(0).cast("bigint")
 
@@ -42,43 +61,61 @@ def vector_of(text: Column) -> Column:
         add = lambda h: F.xxhash64(h, F.lit(k)).bitwiseAND(mask)
         return F.aggregate(units, zero, lambda acc, h: (acc + add(h)).bitwiseAND(mask))
 
-    def sparse_lane(units: Column, i: Column) -> Column:
-        mine = F.filter(units, lambda h: F.shiftrightunsigned(h, SPARSE_BITS).bitwiseAND(SPARSE - 1) == i)
-        return F.aggregate(mine, zero, lambda acc, h: (acc + h.bitwiseAND(low)).bitwiseAND(low))
+    def pair(h: Column) -> Column:
+        lane = F.shiftrightunsigned(h, SPARSE_BITS).bitwiseAND(SPARSE - 1)
+        return F.struct(lane.alias("lane"), h.bitwiseAND(low).alias("add"))
 
     def lanes(units: Column) -> Column:
-        every = F.sequence(zero, F.lit(SPARSE - 1).cast("bigint"))
-        sparse = F.transform(every, lambda i: sparse_lane(units, i))
-        return F.concat(F.array(*[dense_lane(units, k) for k in range(DENSE)]), sparse)
+        dense = F.array(*[dense_lane(units, k) for k in range(DENSE)])
+        return F.concat(dense, _with(F.transform(units, pair), _entries))
 
     return _with(F.transform(paragraphs(text), lambda p: F.xxhash64(p)), lanes)
 
 
+def _dense(vector: Column) -> Column:
+    return F.slice(vector, 1, DENSE)
+
+
+def _sparse(vector: Column) -> Column:
+    return F.slice(vector, DENSE + 1, F.size(vector) - DENSE)
+
+
 def inserted(vector: Column, paragraph: Column, sign: int = 1) -> Column:
     """The vector with one paragraph more (or, with ``sign=-1``, one less)."""
-    change = vector_of(paragraph)
-    return F.transform(
-        F.arrays_zip(vector.alias("a"), change.alias("b")),
-        lambda p, i: (p["a"] + sign * p["b"]).bitwiseAND(
-            F.when(i < DENSE, F.lit((1 << DENSE_BITS) - 1)).otherwise(F.lit((1 << SPARSE_BITS) - 1))
-        ),
-    )
+    mask, low = (1 << DENSE_BITS) - 1, (1 << SPARSE_BITS) - 1
+
+    def pairs(entries: Column, sign: int) -> Column:
+        def pair(e: Column) -> Column:
+            add = (e.bitwiseAND(low) * sign).bitwiseAND(low)
+            return F.struct(F.shiftright(e, SPARSE_BITS).alias("lane"), add.alias("add"))
+
+        return F.transform(entries, pair)
+
+    def added(change: Column) -> Column:
+        both = F.arrays_zip(_dense(vector).alias("a"), _dense(change).alias("b"))
+        dense = F.transform(both, lambda p: (p["a"] + sign * p["b"]).bitwiseAND(mask))
+        sparse = F.concat(pairs(_sparse(vector), 1), pairs(_sparse(change), sign))
+        return F.concat(dense, _with(sparse, _entries))
+
+    return _with(vector_of(paragraph), added)
 
 
 def as_hex(vector: Column) -> Column:
+    """Eight digits a dense lane, then six an entry: two of the lane, four of its sum."""
     digits = F.transform(
-        vector, lambda v, i: F.lower(F.lpad(F.hex(v), F.when(i < DENSE, F.lit(8)).otherwise(F.lit(4)), F.lit("0")))
+        vector, lambda v, i: F.lower(F.lpad(F.hex(v), F.when(i < DENSE, F.lit(8)).otherwise(F.lit(6)), F.lit("0")))
     )
     return F.array_join(digits, "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal sparse lanes among those used by either; 1 for equal vectors."""
-    lanes = F.arrays_zip(
-        F.slice(a, DENSE + 1, SPARSE).alias("a"), F.slice(b, DENSE + 1, SPARSE).alias("b")
-    )
-    used = F.size(F.filter(lanes, lambda p: (p["a"] != 0) | (p["b"] != 0)))
-    same = F.size(F.filter(lanes, lambda p: (p["a"] == p["b"]) & (p["a"] != 0)))
+
+    def lanes(v: Column) -> Column:
+        return F.transform(_sparse(v), lambda e: F.shiftright(e, SPARSE_BITS))
+
+    used = F.size(F.array_union(lanes(a), lanes(b)))
+    same = F.size(F.array_intersect(_sparse(a), _sparse(b)))
     return F.when(a == b, F.lit(1.0)).when(used == 0, F.lit(0.0)).otherwise(same / used)
 
 
