@@ -5,13 +5,14 @@ record's header line; a record is that line, then as many bytes as the line decl
 The converter synthesises what WARC asks for and ARC lacks: record ids, ISO time stamps,
 record types and payload digests. Records with equal payloads become one response and
 revisits of it. Files are written by Spark's text writer (a record is one row, the
-separator follows from the format), so any file system that Spark knows will do; they are
-read as binary files of bounded size.
+separator follows from the format) with gzip, so any file system that Spark knows will do;
+they are read as binary files of bounded size.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 import uuid
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map
+from millwatch.llm.common import BROADCAST_IDS, arrow_map, written
 from millwatch.session import scratch_path
 
 # Header fields of the two ARC versions (fixed by the format).
@@ -37,6 +38,11 @@ FILE_BYTES = 4 << 20
 MIN_PAYLOAD = 0
 
 
+def gunzip(content: bytes) -> bytes:
+    """A compressed archive's bytes; plain archives pass."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+
+
 def payload_digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -204,7 +210,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1) -> None:
 
     size = rows.agg(F.sum(F.length("payload") + 200)).first()[0] or 0
     lines = _text_rows(_dealt(rows, size), make, lambda name: arc_version_block(name, version), "arc")
-    lines.write.option("lineSep", "\n").text(path)
+    lines.write.option("lineSep", "\n").option("compression", "gzip").text(path)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
@@ -226,7 +232,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for fields, block in parse_arc(content.as_py()):
+                for fields, block in parse_arc(gunzip(content.as_py())):
                     head, payload = split_http(block)
                     page = head.get("x-page-id")
                     rows.append(
@@ -248,22 +254,24 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, min_payload: int
     of the largest page id is the response, the others revisit it; null ids are smallest, and
     rows that repeat the largest id are all responses.
 
-    Only groups of two or more enter the join that tells revisits from responses. It is a
-    shuffled join on the digest whose hot groups adaptive execution splits.
+    Only groups of two or more enter the join that tells revisits from responses. Up to a
+    counted size they are broadcast, so that payloads are not shuffled; beyond it the join
+    shuffles on the digest, and adaptive execution splits its hot groups.
     """
     records = read_arc(spark, arc_path)
     narrow = records.select("page_id", "payload_bytes", "payload_digest").filter(F.col("payload_bytes") >= min_payload)
     groups = narrow.groupBy(F.col("payload_digest").alias("of")).agg(F.max("page_id").alias("keep_id"), F.count("*").alias("n"))
+    groups = written(groups.filter("n > 1").drop("n"), "equal-payloads")
+    groups = F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups.hint("merge")
     typed = records.join(
-        groups.filter("n > 1").drop("n").hint("merge"),
+        groups,
         (F.col("payload_digest") == F.col("of")) & (F.col("payload_bytes") >= min_payload), "left",
     ).drop("of")
     is_revisit = F.col("keep_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep_id"))
     typed = typed.withColumn("is_revisit", is_revisit)
-    # File lengths come from the listing, no file is read for them.
-    size = _files(spark, arc_path).agg(F.sum("length")).first()[0] or 0
-    lines = _text_rows(_dealt(typed, size), warc_from, warc_info, "warc")
-    lines.write.option("lineSep", "\r\n\r\n").text(warc_path)
+    # A file for each ARC file, or for each part of the join.
+    lines = _text_rows(typed, warc_from, warc_info, "warc")
+    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(warc_path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -280,7 +288,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, block in parse_warc(content.as_py()):
+                for headers, block in parse_warc(gunzip(content.as_py())):
                     kind = headers["WARC-Type"]
                     if kind == "warcinfo":
                         continue
