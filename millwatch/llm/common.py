@@ -81,49 +81,83 @@ def sorted_groups(
         yield current, pa.concat_tables(pending)
 
 
+# Links that one task contracts: 16 bytes each as they come, some 300 bytes a node while it works.
+LINKS_PER_TASK = 1_000_000
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of one task as stars: each node with the smallest node it is connected to."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while (up := parent.get(root, root)) != root:
+            root = up
+        while x != root:
+            parent[x], x = root, parent.get(x, root)
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = [x for x in parent if find(x) != x]
+    for start in range(0, len(nodes), 50_000):
+        some = nodes[start : start + 50_000]
+        roots = [find(x) for x in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(roots, pa.int64())], ["u", "v"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph: (node, component), its smallest node.
 
-    ``edges`` has long columns ``u`` and ``v``. Large-star and small-star steps alternate
-    until no edge changes; each halves the depth of the trees. All sums are per node and
-    pre-aggregated, the joins can split hot nodes, and every round is a written table.
-    Nodes without an edge to another node do not appear.
+    ``edges`` has long columns ``u`` and ``v``. Tasks of up to LINKS_PER_TASK links contract
+    their own links to stars, without a shuffle key, until one task's worth is left or
+    nothing moves. Where that does not halve the links (components spread over many tasks),
+    a round of large-star and small-star steps joins the stars of different tasks: sums per
+    node are pre-aggregated, and the joins can split hot nodes. Every step is a written
+    table. Nodes without a link to another node do not appear.
     """
-    lower, upper = F.least("u", "v"), F.greatest("u", "v")
-    edges = edges.filter("u <> v").select(lower.alias("v"), upper.alias("u")).distinct()
-    edges = written(edges, "links")
-    before = None
+    edges = edges.filter("u <> v").select("u", "v")
+    size, state = edges.count(), None
     while True:
-        both = edges.select("u", "v").unionByName(
-            edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        )
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (
-            both.filter("v > u")
-            .join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.filter("m < u").select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        # Here every v < u. Small star: all lower neighbours of u move to the lowest of them.
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(lowest, "u")
-            .filter("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(lowest.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        edges = written(small, "links")
-        # Both sums wrap alike in the two hash halves, so equal pairs mean equal edge sets.
-        state = edges.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF)),
-            F.sum(F.shiftrightunsigned(F.xxhash64("u", "v"), 32)),
-        ).first()
-        if state == before:
+        parts = max(1, -(-size // LINKS_PER_TASK))
+        edges = written(arrow_map(edges.repartition(parts), _forest, "u bigint, v bigint"), "links")
+        if parts == 1:
             break
-        before = state
-    # A fixed point is a set of stars: each node points at the smallest of its component.
+        before, size = size, edges.count()
+        if size > before // 2:
+            edges = written(_star_round(edges), "links")
+            # Both halves of a hash are summed, so equal sums mean equal links: nothing moves any more.
+            pair = F.xxhash64("u", "v")
+            sums = edges.agg(F.count("*"), F.sum(pair.bitwiseAND(0xFFFFFFFF)), F.sum(F.shiftrightunsigned(pair, 32)))
+            before, state = state, sums.first()
+            if state == before:
+                break
+            size = state[0]
+    # Stars: each node points at the smallest of its component.
     centres = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres)
+
+
+def _star_round(edges: DataFrame) -> DataFrame:
+    """Larger neighbours of a node, then smaller ones, move to the smallest node it knows of."""
+    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    large = (
+        both.filter("v > u")
+        .join(least, "u")
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .unionByName(least.filter("m < u").select("u", F.col("m").alias("v")))
+        .distinct()
+    )
+    # Here every v < u.
+    lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+    return (
+        large.join(lowest, "u")
+        .filter("v <> m")
+        .select(F.col("v").alias("u"), F.col("m").alias("v"))
+        .unionByName(lowest.select("u", F.col("m").alias("v")))
+        .distinct()
+    )

@@ -240,7 +240,10 @@ def test_parts_never_miss_a_link(sets):
     assert names(found) == names(near)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("links_per_task", [1_000_000, 40])
+def test_components_of_chains_and_stars(spark, monkeypatch, links_per_task):
+    """With few links a task, stars of different tasks have to be joined in rounds."""
+    monkeypatch.setattr(common, "LINKS_PER_TASK", links_per_task)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(1, i) for i in range(2, 60)]
     df = spark.createDataFrame(chain + star + [(7, 7), (900, 901), (901, 900)], "u bigint, v bigint")
