@@ -20,6 +20,7 @@ round. Copies of a set travel as one, and no list of pairs is made.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,7 +36,7 @@ from millwatch.llm.common import arrow_map, components, join_ids, sorted_groups,
 BLOCK = 160
 FANOUT = 8
 BITS = 4096
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 500_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -86,16 +87,29 @@ class SizeClasses:
             self.starts.append(self.starts[-1] * self.den // self.num + 1)
         return int(np.searchsorted(self.starts, n, side="right")) - 1
 
-    def n_parts(self, c: int) -> int:
-        """One more than the elements that two linked sets of at most the class's size differ in."""
+    @lru_cache(maxsize=4096)  # noqa: B019  one object per task
+    def n_parts(self, c: int) -> tuple[int, int]:
+        """(parts, spare ones) of a class.
+
+        One part more than the elements that two linked sets of at most the class's size
+        differ in, and as many spare ones as the smaller set will hardly leave empty. So of the parts that agree
+        one is not empty, unless both sets leave more than the spare ones empty.
+        """
         while len(self.starts) < c + 2:
             self.starts.append(self.starts[-1] * self.den // self.num + 1)
-        most = self.starts[c + 1] - 1
-        return (self.den - self.num) * 2 * most // (self.den + self.num) + 1
+        most, least = self.starts[c + 1] - 1, self.starts[max(0, c - 1)]
+        differ = (self.den - self.num) * 2 * most // (self.den + self.num)
+        if not differ:
+            return 1, 0
+        spare = 0
+        for _ in range(4):
+            empty = (differ + 1 + spare) * math.exp(-least / (differ + 1 + spare))
+            spare = math.ceil(empty + 3 * math.sqrt(empty))
+        return differ + 1 + spare, spare
 
     @lru_cache(maxsize=4096)  # noqa: B019  one object per task
     def bounds(self, c: int) -> np.ndarray:
-        k = self.n_parts(c)
+        k, _ = self.n_parts(c)
         return np.array([(p << 64) // k for p in range(1, k)], dtype=np.uint64)
 
     def keys(self, values: np.ndarray) -> np.ndarray:
@@ -104,12 +118,16 @@ class SizeClasses:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(values), dtype=np.uint64)])
         out = []
         for c in (own, own + 1):
-            k = self.n_parts(c)
+            k, spare = self.n_parts(c)
             if k == 1:  # linked sets of this size are equal, which the digest shows
                 continue
             at = np.concatenate([[0], np.searchsorted(values, self.bounds(c)), [len(values)]])
             tag = np.arange(k, dtype=np.uint64) * _B + np.uint64(c * int(_A) & 0xFFFFFFFFFFFFFFFF)
-            out.append(mixed(mixed(sums[at[1:]] - sums[at[:-1]]) + tag))
+            keys = mixed(mixed(sums[at[1:]] - sums[at[:-1]]) + tag)
+            filled = at[1:] > at[:-1]
+            # Empty parts agree everywhere and would join all documents; they are only sent
+            # by a set that leaves more of them empty than there are spare ones.
+            out.append(keys[filled] if len(keys) - filled.sum() <= spare else keys)
         return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
