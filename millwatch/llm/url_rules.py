@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millwatch.llm.common import BROADCAST_IDS, written
+
 RULES = [
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
@@ -94,6 +96,10 @@ def judge_urls(
             F.least(F.ceil(F.coalesce("n", F.lit(0)) * buckets / total), F.ceil(F.col("n") / F.col("n_rules"))),
         ).cast("int").alias("salts"),
     )
+    # As many rows as labels with rules: broadcast up to a counted size, else joined by shuffle.
+    spread = written(spread, "rule-labels")
+    if spread.count() <= BROADCAST_IDS:
+        spread = F.broadcast(spread)
     # Urls whose label has no rule are spread over all buckets.
     placed = urls.withColumn("label", first_label("key")).join(spread, "label", "left")
     salt = F.pmod(F.xxhash64("page_id", "path"), F.coalesce("salts", F.lit(buckets))).cast("int")
@@ -115,7 +121,10 @@ def judge_urls(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     slot = F.struct("key", "host", "paths")
-    swept = url_events.unionByName(rule_events).select(
+    # Dealt by both columns by name: rows that a join has put together by label alone would
+    # else count as dealt already, and a hot label would stay in one task.
+    dealt = url_events.unionByName(rule_events).repartition("label", "salt")
+    swept = dealt.select(
         "*",
         *[
             F.last(F.when((F.col("kind") == 0) & (F.col("depth") == d), slot), ignorenulls=True).over(sweep).alias(f"at{d}")
