@@ -3,7 +3,8 @@
 Entropy part: candidates are maximal runs of token characters. A window of ``WINDOW``
 characters slides over a candidate; the entropy follows from the counts of the characters
 in the window, updated for the one character that leaves and the one that enters. The
-highest window decides, against the threshold of the candidate's character class.
+highest window decides, against the threshold of the character class. A candidate is
+tested as a whole and by its runs without separators, so a name in front hides no key.
 Candidates that an allow-list pattern matches are suppressed. Everything is per row: no
 shuffle, so a hot source or a huge group of copies is spread like the input files are.
 """
@@ -28,12 +29,17 @@ MIN_VALUE = 12
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 # Character classes, tested in this order, with the least entropy in bits of a 20-character
-# window. Runs of letters alone are words of some language and have no class.
+# window. Every candidate has one; words of a language and names made of them reach some 3.9
+# bits, so what has no digit next to a letter needs more.
 CLASSES = [
     ("hex", r"\A[0-9a-fA-F]+\z", 3.0),
     ("alnum", r"\A(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9]+\z", 3.6),
     ("token", r"\A(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+\z", 3.6),
+    ("groups", r"[0-9][A-Za-z]|[A-Za-z][0-9]", 3.6),
+    ("other", r"", 4.0),
 ]
+# What is tested of a candidate besides the whole.
+RUN = r"[A-Za-z0-9]{20,}"
 ALLOW_LIST = [
     r"(?i)example|sample|placeholder|dummy|changeme|your[_-]",
     r"\A[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z",  # UUID
@@ -103,15 +109,21 @@ def max_entropy(value: Column) -> Column:
     return F.lit(log_window) - F.floor(least / WINDOW)
 
 
-def suspicious(value: Column) -> Column:
-    """Whether a candidate passes the threshold of its class and no allow-list pattern."""
+def passes(value: Column) -> Column:
+    """Whether a value of WINDOW characters or more passes the threshold of its class and no allow-list pattern."""
     limit = F.lit(None).cast("long")
     for _, pattern, bits in reversed(CLASSES):
         limit = F.when(value.rlike(pattern), F.lit(round(bits * _SCALE))).otherwise(limit)
     allowed = F.lit(False)
     for pattern in ALLOW_LIST:
         allowed = allowed | value.rlike(pattern)
-    return F.when(limit.isNull() | allowed, F.lit(False)).otherwise(max_entropy(value) >= limit)
+    return F.when(allowed, F.lit(False)).otherwise(max_entropy(value) >= limit)
+
+
+def suspicious(value: Column) -> Column:
+    """Whether a candidate, or a run of letters and digits in it, passes."""
+    runs = F.regexp_extract_all(value, F.lit(RUN), F.lit(0))
+    return F.exists(F.array_distinct(F.concat(F.array(value), runs)), passes)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

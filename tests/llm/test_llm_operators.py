@@ -300,6 +300,25 @@ def test_entropy_is_that_of_the_best_window(spark):
     assert all(abs(r["h"] / 1e6 - brute_entropy(r["v"])) < 1e-5 for r in got)
 
 
+def entropy_found(spark, texts):
+    """Places of the texts in which the entropy part finds something."""
+    got = secrets.scan_secrets(docs_of(spark, texts, first=0)).select("doc_id", "added").collect()
+    return [k for k in range(len(texts)) if any(r["added"] for r in got if r["doc_id"] == k)]
+
+
+def test_every_class_of_secrets_is_scored(spark):
+    keys = [
+        "auth=3ax6xnjp29jd6fds4gc373sgvjxteol0", "key-3ax6xnjp29jd6fds4gc373sgvjxteol0", "JBSWY3DP-EHPK3PXP-Q7R9TGBN-2LWXC4VD",
+        "3ax6xnjp29jd6fds4gc373sgvjxteol0", "q7Rz-9TgBn_2LwXc+4Vd8Kp/Jm5Hs1Fy==", "bXqRwZtKpLmVnHsGdJfCyUeA", "QK-ZVXW_JHPGFMB-TYDRLNCSUE",
+        "X_3AX6XNJP29JD6FDS4GC373SGVJXTEOL0",
+    ]
+    words = [
+        "thereareonlylettersinthisword", "Donaudampfschifffahrtsgesellschaft", "a_long_name_of_words_and_bars", "the-best-of-2024-and-beyond",
+        "get_all_values_from_the_list", "====================", "---------------------------", "TABLE_OF_THE_LAST_VALUES",
+    ]
+    assert entropy_found(spark, keys + words) == list(range(len(keys)))
+
+
 # mixing ------------------------------------------------------------------------------------------
 
 
