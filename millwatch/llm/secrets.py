@@ -4,8 +4,9 @@ Entropy part: candidates are maximal runs of token characters. A window of ``WIN
 characters slides over a candidate; the entropy follows from the counts of the characters
 in the window, updated for the one character that leaves and the one that enters. The
 highest window decides, against the threshold of the character class. A candidate is
-tested as a whole and by its runs without separators, so a name in front hides no key.
-Candidates that an allow-list pattern matches are suppressed. Everything is per row: no
+tested as a whole and in parts (runs without separators, path segments, what allowed parts
+leave), so a name in front hides no key. An allow-list pattern suppresses the value it
+matches, not the parts beside the match. Everything is per row: no
 shuffle, so a hot source or a huge group of copies is spread like the input files are.
 """
 
@@ -36,16 +37,27 @@ CLASSES = [
     ("alnum", r"\A(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9]+\z", 3.6),
     ("token", r"\A(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[A-Za-z0-9+/_=-]+\z", 3.6),
     ("groups", r"[0-9][A-Za-z]|[A-Za-z][0-9]", 3.6),
-    ("other", r"", 4.0),
+    ("letters", r"\A[^0-9]+\z", 4.0),
+    ("other", r"", 4.2),  # numbers beside words, such as '12345678/how-do-i'
 ]
-# What is tested of a candidate besides the whole.
-RUN = r"[A-Za-z0-9]{20,}"
+UUID = (
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![A-Za-z0-9])"
+)
+TIME = (
+    r"(?<![A-Za-z0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])"
+    r"(?:[T_-](?:[0-9]{2}(?:-?[0-9]{2}){0,2}(?:[_-][0-9]{1,9})?Z?)(?![A-Za-z0-9]))?"
+)
 ALLOW_LIST = [
     r"(?i)example|sample|placeholder|dummy|changeme|your[_-]",
-    r"\A[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z",  # UUID
+    UUID,
     r"(?i)/(?:[a-z_-]+/){2}",  # file or url path of words
-    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}",  # time stamp
+    TIME,
 ]
+# What is tested of a candidate besides the whole: runs without separators, and what is left
+# when allowed parts are cut out, path segments apart and words of a path (or names before '=') left out.
+RUN = r"[A-Za-z0-9]{20,}"
+WORD = r"(?<![^/=])(?:[A-Za-z]?[a-z_-]*|[A-Z_-]*)[0-9]{0,4}(?![^/=])"
+ALLOWED_PARTS = rf"{UUID}|{TIME}"
 KINDS = ["assign", "access", "hex", "entropy"]
 # c * log2(c) in millionths of a bit: whole numbers, so sums do not depend on their order.
 _SCALE = 1_000_000
@@ -121,9 +133,14 @@ def passes(value: Column) -> Column:
 
 
 def suspicious(value: Column) -> Column:
-    """Whether a candidate, or a run of letters and digits in it, passes."""
+    """Whether a candidate, or a part of it that stands beside what is allowed, passes."""
     runs = F.regexp_extract_all(value, F.lit(RUN), F.lit(0))
-    return F.exists(F.array_distinct(F.concat(F.array(value), runs)), passes)
+    cut = F.regexp_replace(value, ALLOWED_PARTS, "\x20")
+    parts = F.flatten(
+        F.array(F.split(cut, r"[\x20/=]+"), F.split(F.regexp_replace(cut, WORD, "\x20"), r"[+/_=-]*\x20[+/_=\x20-]*"))
+    )
+    long_parts = F.filter(parts, lambda p: F.length(p) >= WINDOW)
+    return F.exists(F.array_distinct(F.concat(F.array(value), runs, long_parts)), passes)
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -132,7 +149,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     A span is (start, end, rank, value), places in code points, end exclusive, rank the
     position in ``KINDS``. Null and empty texts have no spans; repeated rows repeat their
     result; other columns are not read. Base spans of different kinds may overlap. An
-    entropy span that overlaps a base span is left out, the base span says it already.
+    entropy span never overlaps a base span, which says it already: of such a candidate, what
+    the base spans leave is tested.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
 
@@ -144,16 +162,28 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans(F.col("text"), ACCESS, 1),
         spans(F.col("text"), HEX, 2),
     )
-    found = rows.select(
-        "doc_id",
-        base.alias("base"),
-        spans(F.col("text"), CANDIDATE, 3, suspicious).alias("candidates"),
-    )
-    apart = F.filter(
-        "candidates",
-        lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])),
-    )
-    return found.select("doc_id", "base", apart.alias("added"))
+    found = rows.select("doc_id", base.alias("base"), spans(F.col("text"), CANDIDATE, 3).alias("candidates"))
+
+    def left(c: Column) -> Column:
+        over = F.filter("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+
+        def blank(value: Column, b: Column) -> Column:
+            start = F.greatest(b["start"] - c["start"], F.lit(0))
+            n = F.least(b["end"], c["end"]) - c["start"] - start
+            return F.overlay(value, F.repeat(F.lit(" "), n), start + 1, n)
+
+        return F.struct(c["start"].alias("at"), F.aggregate(over, c["value"], blank).alias("value"))
+
+    def placed(c: Column) -> Column:
+        return F.transform(
+            spans(c["value"], CANDIDATE, 3, suspicious),
+            lambda s: F.struct(
+                (c["at"] + s["start"]).alias("start"), (c["at"] + s["end"]).alias("end"), s["rank"], s["value"]
+            ),
+        )
+
+    added = F.flatten(F.transform(F.transform("candidates", left), placed))
+    return found.select("doc_id", "base", added.alias("added"))
 
 
 def joined(found: Column) -> Column:

@@ -319,6 +319,26 @@ def test_every_class_of_secrets_is_scored(spark):
     assert entropy_found(spark, keys + words) == list(range(len(keys)))
 
 
+def test_allow_list_suppresses_the_allowed_part_only(spark):
+    key, parted, slashed = "q7Rz9TgBn2LwXc4Vd8KpJm5Hs1Fy", "q7Rz-9TgBn_2LwXc-4Vd8KpJm5Hs1Fy", "q7Rz9TgBn2/LwXc4Vd8Kp/Jm5Hs1Fy3Qa"
+    uuid = "550e8400-e29b-41d4-a716-446655440000"
+    found = [
+        f"https://discord.com/api/webhooks/112233445566778899/{key}", f"2024-01-02_{key}", f"sample/{key}", f"sample/{parted}",
+        f"/api/v1/webhooks/{parted}", f"log=2024-01-02T10-20-30_{parted}", f"{uuid}/{key}", f"{uuid}_{parted}", f"sample/{slashed}",
+        f"example_{key}", f"a/b/{key}/c/d/e", f"/some/path/{slashed}",
+    ]
+    allowed = [
+        uuid, f"id={uuid}", f"objects/{uuid}", f"{uuid}_{uuid.upper()}", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "your-api-key-q7Rz9TgBn2",
+        "/usr/share/lib/python3/dist-packages/yaml", "2024-01-02-release-notes-of-version", "2024-01-02T10-20-30-123456Z", f"{key}Example",
+        "com/questions/12345678/how-do-i-parse-a-file",
+    ]
+    assert entropy_found(spark, found + allowed) == list(range(len(found)))
+    # The digits are a base span; the key beside it is found where it stands.
+    row = secrets.scan_secrets(docs_of(spark, found[:1])).first()
+    assert [s["value"].lstrip("/") for s in row["added"]] == [key]
+    assert all(found[0][s["start"] : s["end"]] == s["value"] for s in row["added"] + row["base"])
+
+
 # mixing ------------------------------------------------------------------------------------------
 
 
