@@ -24,7 +24,8 @@ SEED = 17
 # A length's documents are counted and chosen in this many seeded parts, so that a length
 # which holds a third of all rows is spread over as many tasks.
 PARTS = 256
-# Words the dynamic programme fits at most; what exceeds it is first taken greedily.
+# The dynamic programme fits the last so many words, or the longest free document if that is
+# longer; what exceeds them is first taken greedily.
 DP_WORDS = 1 << 14
 
 
@@ -62,8 +63,9 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
     """How many documents of each length to take so that their words come closest to ``budget``
     from below.
 
-    An even share of each length first, then one more of the longest that fit while more
-    than DP_WORDS are missing, then exact subset sums over the counts left.
+    An even share of each length first, then more of the longest while more than DP_WORDS (and
+    than the longest free document) stay missing, then exact subset sums over the counts left
+    for all that is missing. What stays missing is less than the shortest free document.
     """
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
@@ -73,15 +75,17 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
     taken = np.floor(counts * (budget / total)).astype(counts.dtype)
     left = budget - int((lengths * taken).sum())
     order = np.argsort(-lengths, kind="stable")
+    exact = max(DP_WORDS, int(lengths[counts > taken].max(initial=0)))
     for i in order:
-        if left <= DP_WORDS:
+        if left <= exact:
             break
         if lengths[i]:
-            more = min(int(counts[i] - taken[i]), (left - DP_WORDS) // int(lengths[i]))
+            more = min(int(counts[i] - taken[i]), (left - exact) // int(lengths[i]))
             taken[i] += more
             left -= more * int(lengths[i])
     # Bit s of ``reach`` says whether s words can be made; each length enters as 1, 2, 4, ... copies.
-    left, mask = min(left, DP_WORDS), (1 << (min(left, DP_WORDS) + 1)) - 1
+    # ``left`` is now below ``exact`` plus the shortest free length. Copies that make no new sum are not kept.
+    mask = (1 << (left + 1)) - 1
     reach, layers = 1, []
     for i in order:
         n = int(lengths[i])
@@ -89,8 +93,10 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         power = 1
         while free > 0 and not reach >> left & 1:
             copies = min(power, free)
-            layers.append((i, copies, reach))
-            reach |= (reach << copies * n) & mask
+            more = reach | (reach << copies * n) & mask
+            if more != reach:
+                layers.append((i, copies, reach))
+            reach = more
             free -= copies
             power *= 2
     at = reach.bit_length() - 1

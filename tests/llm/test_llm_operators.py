@@ -395,6 +395,32 @@ def test_subset_sums_are_best_for_small_budgets(histogram, budget):
     assert int((lengths * taken).sum()) == max(s for s in sums if s <= max(budget, min(sums)))
 
 
+def test_documents_longer_than_the_programme_are_fitted():
+    taken = mixing.fit_lengths(np.array([20_000, 21_000]), np.array([1, 1]), 36_000)
+    assert taken.tolist() == [0, 1]
+
+
+@settings(max_examples=80, deadline=None)
+@given(
+    st.dictionaries(st.integers(1, 60_000), st.integers(1, 4), min_size=1, max_size=9), st.integers(0, 700_000)
+)
+def test_less_than_the_shortest_free_document_is_missing(histogram, budget):
+    lengths, counts = np.array(list(histogram)), np.array(list(histogram.values()))
+    taken = mixing.fit_lengths(lengths, counts, budget)
+    missing = budget - int((lengths * taken).sum())
+    assert ((taken >= 0) & (taken <= counts)).all() and missing >= 0
+    free = lengths[taken < counts]
+    assert not free.size or missing < free.min()
+    # Up to the longest free document, the fit is the best one over the even share.
+    even = np.floor(counts * min(1, budget / int((lengths * counts).sum()))).astype(int)
+    left = budget - int((lengths * even).sum())
+    if free.size and left <= max(mixing.DP_WORDS, int(lengths[even < counts].max())):
+        sums = {0}
+        for n, c in zip(lengths.tolist(), (counts - even).tolist(), strict=True):
+            sums = {s + k * n for s in sums for k in range(c + 1) if s + k * n <= left}
+        assert missing == left - max(sums)
+
+
 # language model ----------------------------------------------------------------------------------
 
 
