@@ -3,9 +3,11 @@
 A text is the multiset of its paragraphs (lines; a line of more than ``LINE_CHARS``
 characters is cut after that many). Each paragraph hashes to a wide vector, the fingerprint is the
 sum of the vectors modulo powers of two: ``DENSE`` lanes of 32 bits that every paragraph
-adds to, for equality, and ``SPARSE`` lanes of 16 bits of which a paragraph adds to one,
-for likeness. Sums do not depend on order, and adding or subtracting a paragraph's vector
-inserts or deletes it.
+adds to, for equality, and ``SPARSE`` lanes of 32 bits of which a paragraph counts in one,
+for likeness. Only lanes in use are stored, so there are enough of them to keep different
+paragraphs apart in the longest texts, and a vector grows with the distinct paragraphs.
+Sums do not depend on order, and adding or subtracting a paragraph's vector inserts or
+deletes it.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from millwatch.llm.common import whole_text, written
 
 DENSE, DENSE_BITS = 4, 32
-SPARSE, SPARSE_BITS = 128, 16
+SPARSE, SPARSE_BITS = 1 << 24, 32
 LINE_CHARS = 240
 # Cells of the id range, and documents a neighbour bucket aims at.
 CELLS, BUCKET_DOCS = 1 << 16, 1_000
@@ -40,30 +42,50 @@ def _with(value: Column, body) -> Column:
 
 
 def _entries(units: Column) -> Column:
-    """Sums by lane of (lane, add) pairs, as lane * 2**SPARSE_BITS + sum in lane order; zero sums drop out."""
+    """Sums by lane of (lane, add) pairs, as lane * 2**SPARSE_BITS + sum in lane order; zero sums drop out.
+
+    Pairs are first dealt to as many parts as the square root of their number, so that the
+    work does not grow with its square.
+    """
     low, zero = (1 << SPARSE_BITS) - 1, F.lit(0).cast("bigint")
 
-    def summed(lane: Column) -> Column:
-        mine = F.filter(units, lambda u: u["lane"] == lane)
-        total = F.aggregate(mine, zero, lambda acc, u: (acc + u["add"]).bitwiseAND(low))
-        return F.shiftleft(lane, SPARSE_BITS) + total
+    def sums(mine: Column) -> Column:
+        def summed(lane: Column) -> Column:
+            total = F.aggregate(
+                F.filter(mine, lambda u: u["lane"] == lane), zero, lambda acc, u: (acc + u["add"]).bitwiseAND(low)
+            )
+            return F.shiftleft(lane, SPARSE_BITS) + total
+
+        return F.transform(F.array_distinct(F.transform(mine, lambda u: u["lane"])), summed)
+
+    def dealt(parts: Column) -> Column:
+        one = lambda i: _with(F.filter(units, lambda u: F.pmod(u["lane"], parts) == i), sums)
+        return F.flatten(F.transform(F.sequence(F.lit(0), parts - 1), one))
+
+    parts = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(units))).cast("int"))
+    return F.array_sort(F.filter(_with(parts, dealt), lambda e: e.bitwiseAND(low) != 0))
+
+
+def _pairs(entries: Column, sign: int) -> Column:
+    low = (1 << SPARSE_BITS) - 1
 
-    lanes = F.array_sort(F.array_distinct(F.transform(units, lambda u: u["lane"])))
-    return F.filter(F.transform(lanes, summed), lambda e: e.bitwiseAND(low) != 0)
+    def pair(e: Column) -> Column:
+        add = (e.bitwiseAND(low) * sign).bitwiseAND(low)
+        return F.struct(F.shiftright(e, SPARSE_BITS).alias("lane"), add.alias("add"))
+
+    return F.transform(entries, pair)
 
 
 def vector_of(text: Column) -> Column:
     """The summed lanes of a text: the dense ones, then an entry for each sparse one that is not zero."""
-    mask, low = (1 << DENSE_BITS) - 1, (1 << SPARSE_BITS) - 1
-    zero = F.lit(0).cast("bigint")
+    mask, zero = (1 << DENSE_BITS) - 1, F.lit(0).cast("bigint")
 
     def dense_lane(units: Column, k: int) -> Column:
         add = lambda h: F.xxhash64(h, F.lit(k)).bitwiseAND(mask)
         return F.aggregate(units, zero, lambda acc, h: (acc + add(h)).bitwiseAND(mask))
 
     def pair(h: Column) -> Column:
-        lane = F.shiftrightunsigned(h, SPARSE_BITS).bitwiseAND(SPARSE - 1)
-        return F.struct(lane.alias("lane"), h.bitwiseAND(low).alias("add"))
+        return F.struct(h.bitwiseAND(SPARSE - 1).alias("lane"), F.lit(1).cast("bigint").alias("add"))
 
     def lanes(units: Column) -> Column:
         dense = F.array(*[dense_lane(units, k) for k in range(DENSE)])
@@ -82,41 +104,43 @@ def _sparse(vector: Column) -> Column:
 
 def inserted(vector: Column, paragraph: Column, sign: int = 1) -> Column:
     """The vector with one paragraph more (or, with ``sign=-1``, one less)."""
-    mask, low = (1 << DENSE_BITS) - 1, (1 << SPARSE_BITS) - 1
-
-    def pairs(entries: Column, sign: int) -> Column:
-        def pair(e: Column) -> Column:
-            add = (e.bitwiseAND(low) * sign).bitwiseAND(low)
-            return F.struct(F.shiftright(e, SPARSE_BITS).alias("lane"), add.alias("add"))
-
-        return F.transform(entries, pair)
+    mask = (1 << DENSE_BITS) - 1
 
     def added(change: Column) -> Column:
         both = F.arrays_zip(_dense(vector).alias("a"), _dense(change).alias("b"))
         dense = F.transform(both, lambda p: (p["a"] + sign * p["b"]).bitwiseAND(mask))
-        sparse = F.concat(pairs(_sparse(vector), 1), pairs(_sparse(change), sign))
+        sparse = F.concat(_pairs(_sparse(vector), 1), _pairs(_sparse(change), sign))
         return F.concat(dense, _with(sparse, _entries))
 
     return _with(vector_of(paragraph), added)
 
 
 def as_hex(vector: Column) -> Column:
-    """Eight digits a dense lane, then six an entry: two of the lane, four of its sum."""
+    """Eight digits a dense lane, then 14 an entry: six of the lane, eight of its sum."""
     digits = F.transform(
-        vector, lambda v, i: F.lower(F.lpad(F.hex(v), F.when(i < DENSE, F.lit(8)).otherwise(F.lit(6)), F.lit("0")))
+        vector, lambda v, i: F.lower(F.lpad(F.hex(v), F.when(i < DENSE, F.lit(8)).otherwise(F.lit(14)), F.lit("0")))
     )
     return F.array_join(digits, "")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal sparse lanes among those used by either; 1 for equal vectors."""
+    """Paragraphs that both have over those that either has, repeats counted; 1 for equal vectors.
 
-    def lanes(v: Column) -> Column:
-        return F.transform(_sparse(v), lambda e: F.shiftright(e, SPARSE_BITS))
+    The counts of the vectors and of their difference give it; it is exact but for different
+    paragraphs that share one of the SPARSE lanes.
+    """
+    low, half, zero = (1 << SPARSE_BITS) - 1, 1 << (SPARSE_BITS - 1), F.lit(0).cast("bigint")
+
+    def count(entries: Column) -> Column:
+        size = lambda n: F.when(n < half, n).otherwise((low + 1) - n)
+        return F.aggregate(entries, zero, lambda acc, e: acc + size(e.bitwiseAND(low)))
 
-    used = F.size(F.array_union(lanes(a), lanes(b)))
-    same = F.size(F.array_intersect(_sparse(a), _sparse(b)))
-    return F.when(a == b, F.lit(1.0)).when(used == 0, F.lit(0.0)).otherwise(same / used)
+    apart = count(_with(F.concat(_pairs(_sparse(a), 1), _pairs(_sparse(b), -1)), _entries))
+    share = _with(
+        F.struct((count(_sparse(a)) + count(_sparse(b))).alias("all"), apart.alias("apart")),
+        lambda n: (n["all"] - n["apart"]) / (n["all"] + n["apart"]),
+    )
+    return F.when(a == b, F.lit(1.0)).otherwise(share)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

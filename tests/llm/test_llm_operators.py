@@ -539,6 +539,28 @@ def test_fingerprints_are_homomorphic(spark):
     assert row["order_free"] and row["inserts"] and row["deletes"] and row["near"] == 1.0 and row["far"] == 0.0
 
 
+def test_likeness_is_the_overlap_of_long_texts(spark):
+    rng = np.random.default_rng(5)
+    line = lambda k: f"line {k} " + "x" * int(rng.integers(0, 300))
+    data = []
+    for n, changes in ((3, 1), (40, 10), (800, 380), (3000, 1500)):
+        old = [line(k) for k in rng.integers(0, n, n)]
+        new = list(old)
+        for k in rng.choice(n, changes, replace=False):
+            new[k] = f"other {k}"
+        data.append(("\n".join(old), "\n".join(new)))
+    data += [("a\n" * 70_000, "a\n" * 35_000), ("a\na\nb", "a\nb\nb"), ("", "a")]
+
+    def pieces(text):
+        return Counter(p[i : i + 240] for p in text.split("\n") for i in range(0, len(p), 240))
+
+    df = spark.createDataFrame(data, "a string, b string")
+    df = df.select("a", "b", fingerprints.vector_of(F.col("a")).alias("va"), fingerprints.vector_of(F.col("b")).alias("vb"))
+    for r in df.select("a", "b", fingerprints.likeness(F.col("va"), F.col("vb")).alias("near")).collect():
+        a, b = pieces(r["a"]), pieces(r["b"])
+        assert r["near"] == pytest.approx((a & b).total() / (a | b).total(), abs=0.005)
+
+
 def test_edited_halves(spark):
     df = spark.createDataFrame([("abcde😀", "12"), ("abc", "xyz"), ("", "x"), ("a", "b")], "t string, n string")
     assert [r[0] for r in df.select(fingerprints.edited(F.col("t"), F.col("n"))).collect()] == ["abc12", "abx", "", "a"]
