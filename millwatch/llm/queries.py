@@ -12,6 +12,7 @@ from millwatch.llm import (
     exact_dedup,
     fingerprints,
     langid,
+    lexical_search,
     lm_scoring,
     mixing,
     ngram_join,
@@ -86,6 +87,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,7 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_url_filters, op3_ngram_jaccard, op4_secret_scans, op5_mixing, op6_lm_scoring,
-        op7_warc, op8_fingerprints, op9_packing, op10_language_id, pipeline,
+        op7_warc, op8_fingerprints, op9_packing, op10_language_id, op13_lexical_search, pipeline,
     )
 }
 
@@ -169,9 +174,35 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS
 FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
+# Terms of all documents cut out and joined with those of the items; scores in 64-bit integers.
+_SEARCH = r"""
+WITH lowered AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+sized AS (SELECT doc_id, len(ts)::BIGINT AS n, ts, row_number() OVER () AS r FROM lowered WHERE len(ts) > 0),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sized),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM sized) SEMI JOIN wanted USING (term) GROUP BY r, term),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, whole GROUP BY term, docs),
+gain AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))) AS g
+  FROM tf JOIN weight USING (term) JOIN sized USING (r), whole),
+score AS (SELECT item_id, r, doc_id, CAST(sum(g) AS BIGINT) AS score FROM gain JOIN wanted USING (term) GROUP BY item_id, r, doc_id),
+placed AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM score WHERE score > 0)
+SELECT doc_id, item_id, rank, score FROM placed WHERE rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": _DEDUP,
     "op2_url_filters": _URLS,
     "op3_ngram_jaccard": _NEAR,
     "op7_warc": _WARC,
+    "op13_lexical_search": _SEARCH,
 }
