@@ -18,6 +18,7 @@ from millwatch.llm import (
     ngram_join,
     packing,
     secrets,
+    spelling,
     url_rules,
 )
 from millwatch.llm.common import crc_of_id, table
@@ -87,6 +88,10 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -101,7 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_url_filters, op3_ngram_jaccard, op4_secret_scans, op5_mixing, op6_lm_scoring,
-        op7_warc, op8_fingerprints, op9_packing, op10_language_id, op13_lexical_search, pipeline,
+        op7_warc, op8_fingerprints, op9_packing, op10_language_id, op11_spelling_variants, op13_lexical_search, pipeline,
     )
 }
 
@@ -174,6 +179,49 @@ SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS
 FROM w LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = w.doc_id GROUP BY w.doc_id
 """
 
+# The hash is folded byte by byte; words meet where they agree but for one character.
+_SPELLING = r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+low AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low, count(*) AS c
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (
+  SELECT low, c, flatten(list_transform(string_split(id || ':' || low, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [unicode(x)] ELSE [192 + (unicode(x) >> 6), 128 + (unicode(x) & 63)] END)) AS bytes
+  FROM low),
+hashed AS (
+  SELECT low, c, xor(list_reduce(list_prepend(4294967295, CAST(bytes AS BIGINT[])),
+    lambda s, b: xor(t[CAST((xor(s, b) & 255) + 1 AS INTEGER)], s >> 8)), 4294967295) AS h
+  FROM coded, crc_table),
+damaged AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(low, CAST(h % length(low) AS INTEGER)) || substr(low, CAST(h % length(low) AS INTEGER) + 2)
+    ELSE low END AS word, c FROM hashed),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM damaged WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+less AS (SELECT word, n, i, left(word, CAST(i AS INTEGER) - 1) || substr(word, CAST(i AS INTEGER) + 1) AS rest FROM places),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(m) AS m, min(other) FILTER (m = top) AS other
+  FROM (SELECT *, max(m) OVER (PARTITION BY word) AS top FROM pairs) GROUP BY word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 5 * n THEN other END AS form, CASE WHEN m >= 5 * n THEN m END AS form_n
+  FROM words LEFT JOIN near USING (word)),
+chain(word, root) AS (
+  SELECT word, word FROM words
+  UNION ALL SELECT chain.word, judged.form FROM chain JOIN judged ON judged.word = chain.root WHERE judged.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.root FROM chain JOIN judged ON judged.word = chain.root WHERE judged.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)
+"""
+
 # Terms of all documents cut out and joined with those of the items; scores in 64-bit integers.
 _SEARCH = r"""
 WITH lowered AS (
@@ -204,5 +252,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_url_filters": _URLS,
     "op3_ngram_jaccard": _NEAR,
     "op7_warc": _WARC,
+    "op11_spelling_variants": _SPELLING,
     "op13_lexical_search": _SEARCH,
 }
