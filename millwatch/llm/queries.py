@@ -20,6 +20,7 @@ from millwatch.llm import (
     secrets,
     spelling,
     url_rules,
+    vector_graph,
 )
 from millwatch.llm.common import crc_of_id, table
 
@@ -92,6 +93,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, folder, "documents"))
 
 
+def op12_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graph.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -106,7 +111,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_exact_dedup, op2_url_filters, op3_ngram_jaccard, op4_secret_scans, op5_mixing, op6_lm_scoring,
-        op7_warc, op8_fingerprints, op9_packing, op10_language_id, op11_spelling_variants, op13_lexical_search, pipeline,
+        op7_warc, op8_fingerprints, op9_packing, op10_language_id, op11_spelling_variants,
+        op12_embedding_dedup, op13_lexical_search, pipeline,
     )
 }
 
