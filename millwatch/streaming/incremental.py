@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,16 +57,32 @@ def refresh_features(
     return replace_dates(rows, features_path)
 
 
+# Buckets of the latest-state table; a batch rewrites those of its machines only.
+LATEST_BUCKETS = 64
+
+
 @dataclass(frozen=True)
 class LiveTables:
-    """Where one live run keeps its tables."""
+    """Where one live run keeps its tables.
+
+    The latest states are hashed into buckets by machine. A batch writes the buckets it
+    touches into a folder of its own; the state of a bucket is its newest version in a
+    complete folder. So a batch costs what it touches, not the fleet, and a retry finds the
+    versions before it untouched.
+    """
 
     base: str
+    buckets: int = LATEST_BUCKETS
 
     @property
     def scored(self) -> str:
         return f"{self.base}/scored"
 
+    @property
+    def seen(self) -> str:
+        """Log of all accepted readings, scored or not, by date."""
+        return f"{self.base}/seen"
+
     def latest(self, batch: int) -> str:
         return f"{self.base}/latest/batch={batch}"
 
@@ -77,25 +93,41 @@ class LiveTables:
     def checkpoint(self) -> str:
         return f"{self.base}/checkpoint"
 
-    def _complete(self, spark: SparkSession, before: int) -> list[int]:
-        """Batches below ``before`` whose latest table is complete; at most a few are kept."""
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/latest")
-        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        batches = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder)]
-        return sorted(b for b in batches if b < before and table_exists(spark, f"{self.latest(b)}/_SUCCESS"))
-
-    def read_latest(self, spark: SparkSession, before: int = 1 << 62) -> DataFrame | None:
-        """The newest complete latest-per-machine table of a batch below ``before``."""
-        complete = self._complete(spark, before)
-        return spark.read.parquet(self.latest(complete[-1])) if complete else None
-
-    def drop_superseded(self, spark: SparkSession, batch_id: int) -> None:
-        """Remove latest tables older than the one before ``batch_id``, which a retry would need."""
-        for batch in self._complete(spark, batch_id)[:-1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(self.latest(batch))
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64("machine_id"), F.lit(self.buckets)).cast("int")
+
+    def versions(self, spark: SparkSession) -> dict[int, list[int]]:
+        """Per bucket the batches that wrote it and are complete, oldest first; at most a few are kept."""
+        found: dict[int, list[int]] = {}
+        for batch in sorted(int(name) for name in _entries(spark, f"{self.base}/latest", "batch=")):
+            if table_exists(spark, f"{self.latest(batch)}/_SUCCESS"):
+                for name in _entries(spark, self.latest(batch), "bucket="):
+                    found.setdefault(int(name), []).append(batch)
+        return found
+
+    def read_latest(
+        self, spark: SparkSession, before: int = 1 << 62, buckets: set[int] | None = None
+    ) -> DataFrame | None:
+        """The latest-per-machine states as batches below ``before`` left them, all buckets or some."""
+        paths = []
+        for bucket, batches in sorted(self.versions(spark).items()):
+            older = [b for b in batches if b < before]
+            if older and (buckets is None or bucket in buckets):
+                paths.append(f"{self.latest(older[-1])}/bucket={bucket}")
+        return spark.read.parquet(*paths) if paths else None
+
+    def write_latest(self, spark: SparkSession, states: DataFrame, batch_id: int) -> None:
+        """Write the given buckets whole and remove versions that no retry of this batch needs."""
+        placed = states.withColumn("bucket", self.bucket()).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(self.latest(batch_id))
+        for bucket, batches in self.versions(spark).items():
+            needed = [b for b in batches if b < batch_id][-1:]
+            for batch in batches:
+                if batch < batch_id and batch not in needed:
+                    _remove(spark, f"{self.latest(batch)}/bucket={bucket}")
+        for name in _entries(spark, f"{self.base}/latest", "batch="):
+            if int(name) < batch_id and not _entries(spark, self.latest(int(name)), "bucket="):
+                _remove(spark, self.latest(int(name)))
 
     def read_alert_log(self, spark: SparkSession) -> DataFrame:
         """Every alert and revision as it was raised."""
@@ -108,34 +140,62 @@ class LiveTables:
         return last.filter("NOT withdrawn").drop("withdrawn", "revision")
 
 
+def _entries(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names below a folder that start with ``prefix``, without it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def accept(batch: DataFrame, batch_id: int, seen_path: str) -> DataFrame:
+    """Readings of a batch that no other batch brought before, logged as seen.
+
+    Repeats inside the batch leave the most complete reading. The log holds every accepted
+    reading, also those that are never scored, with its batch, by which a retry knows its own.
+    """
+    readings = drop_repeats(batch)
+    own = F.lit(batch_id).cast("bigint").alias("batch_id")
+    keys = readings.select("machine_id", "reading_ts", own)
+    held = stored_rows(keys, seen_path)
+    if held is not None:
+        others = held.filter(F.col("batch_id") != batch_id).select("machine_id", "reading_ts")
+        readings = readings.join(others, ["machine_id", "reading_ts"], "left_anti")
+    append_new(readings.select("machine_id", "reading_ts", own), seen_path)
+    return readings
+
+
 def keep_current(
     batch: DataFrame, batch_id: int, registry: DataFrame, tables: LiveTables, rule: RiskRule
 ) -> None:
     """One micro-batch: new scores, tier alerts, latest states, all from the same rows.
 
-    Repeats inside the batch leave the most complete reading; readings that an earlier batch
-    scored are dropped once, before anything is derived. So the three tables always tell the
-    same story: that of the reading seen first. Scores carry their batch id, by which a retry
-    knows its own rows; alerts and latest states go to a folder of the batch that it overwrites.
+    Readings that an earlier batch brought are dropped once, before anything is derived,
+    whether they were scored or not. So the tables always tell the same story: that of the
+    reading seen first. Scores and the log of seen readings carry their batch id, by which a
+    retry knows its own rows; alerts and latest states go to a folder of the batch that it
+    overwrites.
     """
     spark = batch.sparkSession
-    scored = score_readings(drop_repeats(batch), registry, rule)
+    accepted = accept(batch, batch_id, tables.seen)
     own = F.lit(batch_id).cast("bigint").alias("batch_id")
-    held = stored_rows(scored.select("*", own), tables.scored)
-    if held is not None:
-        others = held.filter(F.col("batch_id") != batch_id).select("machine_id", "reading_ts")
-        scored = scored.join(others, ["machine_id", "reading_ts"], "left_anti")
-    fresh = scored.persist()
+    fresh = score_readings(accepted, registry, rule).persist()
     try:
         append_new(stamped(fresh).select("*", own), tables.scored)
-        previous = tables.read_latest(spark, before=batch_id)
+        # At most as many as there are buckets.
+        touched = {r[0] for r in fresh.select(tables.bucket()).distinct().collect()}
+        previous = tables.read_latest(spark, before=batch_id, buckets=touched)
         alerts = _alerts(fresh, previous, registry, tables, spark)
         alerts.write.mode("overwrite").parquet(tables.alerts(batch_id))
         current = latest_scores(fresh) if previous is None else merge_latest(previous, fresh)
-        current.write.mode("overwrite").parquet(tables.latest(batch_id))
+        tables.write_latest(spark, current, batch_id)
     finally:
         fresh.unpersist()
-    tables.drop_superseded(spark, batch_id)
 
 
 def _alerts(
@@ -146,7 +206,7 @@ def _alerts(
     A reading newer than its machine's state is compared with that state, for which only the
     states of the batch's machines are read. A late one stands between two stored readings:
     its own change and that of its successor are stated anew from the machine's stored
-    scores; a successor that no longer differs has its alert withdrawn.
+    scores around it; a successor that no longer differs has its alert withdrawn.
     """
     flags = [F.lit(False).alias("withdrawn"), F.lit(False).alias("revision")]
     if previous is None:
@@ -157,13 +217,12 @@ def _alerts(
     since = known.select("machine_id", F.col("reading_ts").alias("_since"))
     placed = fresh.join(F.broadcast(since) if few else since, "machine_id", "left")
     in_order = placed.filter("_since IS NULL OR reading_ts > _since").drop("_since")
-    late = placed.filter("reading_ts <= _since").drop("_since")
+    late = placed.filter("reading_ts <= _since").select("machine_id", "reading_ts")
     on_time = tier_changes(known.unionByName(in_order.select(*known.columns))).select("*", *flags)
-    late_machines = late.select("machine_id").distinct()
-    history = spark.read.parquet(tables.scored).join(
-        F.broadcast(late_machines) if few else late_machines, "machine_id", "left_semi"
-    )
-    marks = late.select("machine_id", "reading_ts", F.lit(True).alias("_late"))
+    if late.isEmpty():
+        return on_time
+    history = _around(spark.read.parquet(tables.scored), late, few)
+    marks = late.withColumn("_late", F.lit(True))
     marked = history.join(marks, ["machine_id", "reading_ts"], "left")
     upto = known.select("machine_id", F.col("reading_ts").alias("_since"))
     # Readings newer than the old state are alerted on above.
@@ -171,6 +230,40 @@ def _alerts(
     return on_time.unionByName(revised_changes(marked.withColumn("_late", F.coalesce("_late", F.lit(False)))))
 
 
+def _around(scored: DataFrame, late: DataFrame, few: bool) -> DataFrame:
+    """Stored scores of the late readings' machines on enough dates to hold the neighbours of each.
+
+    The days around a late reading are widened until a score lies on either side of it, or
+    the table ends; so a fleet that reports daily costs three dates a late one, not its history.
+    """
+    machines = late.select("machine_id").distinct()
+    mine = scored.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi")
+    stored = sorted(r[0] for r in scored.select(DATE).distinct().collect())  # calendar dates, from folder names
+    wanted: set[dt.date] = set()
+    # The first and last late reading of a day have a neighbour if all of that day have one.
+    ends = F.min("reading_ts").alias("_first"), F.max("reading_ts").alias("_last")
+    missing, days = late.groupBy("machine_id", F.to_date("reading_ts").alias("_day")).agg(*ends), 1
+    while True:
+        asked = [r[0] for r in missing.select("_day").distinct().collect()]
+        wanted |= {d for d in stored if any(abs((d - a).days) <= days for a in asked)}
+        rows = on_dates(mine, wanted)
+        if len(wanted) == len(stored):
+            return rows
+        spans = rows.groupBy("machine_id", F.to_date("reading_ts").alias("_on")).agg(
+            F.min("reading_ts").alias("_from"), F.max("reading_ts").alias("_to")
+        )
+        near = missing.join(spans, "machine_id").filter(F.abs(F.datediff("_on", "_day")) <= days)
+        sides = near.groupBy("machine_id", "_day", "_first", "_last").agg(
+            F.max(F.col("_from") < F.col("_first")).alias("_before"), F.max(F.col("_to") > F.col("_last")).alias("_after")
+        )
+        open_before = ~F.col("_before") & (F.date_sub("_day", days) > F.lit(stored[0]))
+        open_after = ~F.col("_after") & (F.date_add("_day", days) < F.lit(stored[-1]))
+        missing = sides.filter(open_before | open_after).drop("_before", "_after")
+        if missing.isEmpty():
+            return rows
+        days *= 4
+
+
 def run_live(
     stream: DataFrame,
     registry: DataFrame,

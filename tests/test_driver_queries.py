@@ -30,3 +30,13 @@ def test_query(spark, con, name):
     columns, expected = duck_rows(con, driver.oracle_sql()[name])
     assert sorted(df.columns) == columns
     assert spark_rows(df) == expected
+
+
+LARGER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(driver.QUERIES) if n.startswith(("live_", "stream_"))])
+def test_stream_query_over_more_rows(spark, name):
+    """Streams meet repeats of unscored readings, and late ones, only in larger tables."""
+    columns, expected = duck_rows(duck(LARGER), driver.oracle_sql()[name])
+    assert spark_rows(driver.queries()[name](spark, LARGER)) == expected

@@ -77,7 +77,8 @@ def test_late_readings_revise_the_alerts(spark, fleet, tmp_path):
     alerts = history.tier_changes(fleet.scored, order=("reading_ts", "reading_id"))
     assert spark_rows(live.read_alerts(spark).select(*alerts.columns)) == spark_rows(alerts)
     assert not live.read_alert_log(spark).filter("revision").isEmpty()
-    assert len(list((tmp_path / "late" / "latest").glob("batch=*"))) == 2
+    # At most two versions of a bucket are kept: the newest one and the one that a retry would start from.
+    assert all(len(batches) <= 2 for batches in live.versions(spark).values())
 
 
 def test_a_reading_sent_again_with_other_values_changes_nothing(spark, fleet, tmp_path):
@@ -93,6 +94,47 @@ def test_a_reading_sent_again_with_other_values_changes_nothing(spark, fleet, tm
     assert spark_rows(live.read_latest(spark).select(*newest.columns)) == spark_rows(newest)
 
 
+def test_an_unscored_reading_is_seen_too(spark, fleet, tmp_path):
+    """A repeat of a reading in maintenance, sent as a running one, must not become the latest state."""
+    live = incremental.LiveTables(str(tmp_path / "unscored"))
+    some = fleet.telemetry.filter("machine_id IN ('MCH_000001', 'MCH_000002')").drop("reading_id")
+    newest = some.agg(F.max("reading_ts")).first()[0] + dt.timedelta(hours=1)
+    later = some.limit(1).withColumn("reading_ts", F.lit(newest))
+    service = later.withColumn("operating_mode", F.lit("MAINTENANCE"))
+    for batch_id, batch in enumerate([some, service, later.withColumn("operating_mode", F.lit("RUNNING"))]):
+        incremental.keep_current(batch, batch_id, fleet.registry, live, incremental.DEFAULT_RULE)
+    expected = summary.latest_scores(scoring.score_readings(some, fleet.registry))
+    assert spark_rows(live.read_latest(spark).select(*expected.columns)) == spark_rows(expected)
+    assert spark.read.parquet(live.seen).count() == some.count() + 1
+
+
+def test_a_batch_leaves_the_buckets_of_other_machines_alone(spark, fleet, tmp_path):
+    live = incremental.LiveTables(str(tmp_path / "buckets"))
+    old = fleet.telemetry.filter("reading_id < 500")
+    mine = fleet.telemetry.filter("reading_id >= 500 AND machine_id = 'MCH_000007'")
+    incremental.keep_current(old, 0, fleet.registry, live, incremental.DEFAULT_RULE)
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "buckets" / "latest").glob("*/bucket=*/*.parquet")}
+    incremental.keep_current(mine, 1, fleet.registry, live, incremental.DEFAULT_RULE)
+    bucket = mine.select(live.bucket()).first()[0]
+    versions = live.versions(spark)
+    assert len(versions) > 5 and {b for b, batches in versions.items() if 1 in batches} == {bucket}
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "buckets" / "latest").glob("*/bucket=*/*.parquet")}
+    assert before.items() <= after.items()
+    expected = summary.latest_scores(scoring.score_readings(old.unionByName(mine), fleet.registry))
+    assert spark_rows(live.read_latest(spark).select(*expected.columns)) == spark_rows(expected)
+
+
+def test_neighbours_of_a_late_reading_are_found_across_gaps(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("A", start + dt.timedelta(days=d)) for d in (0, 40, 80)] + [("B", start + dt.timedelta(days=d)) for d in range(81)]
+    scored = spark.createDataFrame(rows, "machine_id STRING, reading_ts TIMESTAMP_NTZ")
+    tables.write_fact(scored, str(tmp_path / "scored"))
+    stored = tables.read_fact(spark, str(tmp_path / "scored"))
+    around = lambda late: incremental._around(stored, spark.createDataFrame(late, scored.schema), True)
+    assert {r["reading_ts"].day for r in around([rows[13]]).collect()} == {rows[k][1].day for k in (12, 13, 14)}
+    assert around([rows[1]]).filter("machine_id = 'A'").count() == 3
+
+
 def test_of_two_pings_in_one_batch_the_complete_one_counts(spark, fleet, tmp_path):
     live = incremental.LiveTables(str(tmp_path / "pings"))
     some = fleet.telemetry.filter("reading_id < 60 AND temperature_c IS NOT NULL AND vibration_mm_s IS NOT NULL").drop("reading_id")
