@@ -48,6 +48,29 @@ def join_ids(big: DataFrame, ids: DataFrame, key: str, how: str = "left_semi") -
     return big.join(ids, key, how)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have (names are told apart as Spark does, without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def same_columns(df: DataFrame, like: DataFrame) -> DataFrame:
+    return df.select(*[F.col(quoted(c)) for c in like.columns])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids``; rows without id stay."""
+    key = unused(docs, "_mw_id")
+    marked = docs.withColumn(key, F.col(quoted(id_col)).cast("bigint"))
+    return same_columns(join_ids(marked, ids.toDF(key), key, "left_anti"), docs)
+
+
 def arrow_map(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:

@@ -1,21 +1,23 @@
 """N-gram Jaccard join with signature trees.
 
-Documents become sets of hashed word n-grams. Two steps keep the trees small and lose no link:
+Documents become sets of hashed word n-grams; copies of a set travel as one. Three steps, of
+which none loses a link and none sees all pairs:
 
 1. Routing. Sets are divided into size classes such that linked sets lie in one class or
    in neighbouring ones, and for a class the hash range is cut into one part more than the
-   elements two linked sets can differ in. So linked sets agree on some whole part. Parts
-   are hashed, equal ones next to each other in a sort link their documents, and the
-   connected components of these links are the groups outside of which no link exists.
-   A part covers several elements, so a frequent word or passage alone joins nothing.
-2. Signature trees. A group's distinct sets are the leaves of a tree whose nodes hold the
-   OR of their leaves' token bitmaps and the range of their sizes. A dual traversal prunes
-   node pairs whose greatest possible overlap is too small, and pairs that are connected
-   already; leaf pairs that remain are compared exactly.
-
-A group of more than BLOCK sets is cut into blocks, each with the group's first set. Sets
-that are then outside of the group's largest component meet the group's blocks in a second
-round. Copies of a set travel as one, and no list of pairs is made.
+   elements two linked sets can differ in. So linked sets agree on some whole part, and the
+   sets that share a part are a group: only inside of groups can links exist. Parts that
+   the same sets share are one group.
+2. Signature trees. A set's signature is the bitmap of its tokens, as wide as the set is
+   large, and its size. The signatures of a group are the leaves of a tree whose nodes hold
+   the OR of the bitmaps below and the range of sizes. A dual traversal prunes node pairs
+   whose greatest possible overlap is too small and pairs that are connected already; the
+   leaf pairs that remain, at most one less than there are sets, are the candidates.
+3. Verification. Only the texts of candidates are fetched, once a set, and compared exactly.
+   Groups where a candidate failed go through their trees again, with what is connected by
+   then, and propose more pairs each time, until they have nothing left to propose.
+
+A group of more than BLOCK sets is cut into blocks, which meet pairwise, as signatures.
 """
 
 from __future__ import annotations
@@ -27,15 +29,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, components, join_ids, sorted_groups, written
+from millwatch.llm.common import arrow_map, components, join_ids, sorted_groups, without_ids, written
 
-# Leaves of one tree, at most (the second round doubles it).
-BLOCK = 160
+# Leaves of one tree, at most (two blocks that meet make twice as many).
+BLOCK = 2048
 FANOUT = 8
-BITS = 4096
+# Bits of a signature for each element of its set, at least.
+WIDTH = 4
+# Text that one bucket of part keys comes from, and buckets at least.
+BUCKET_BYTES, BUCKETS = 32_000_000, 64
 CACHED_WORDS = 500_000
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 
@@ -71,10 +76,6 @@ def shingles(text: bytes, n: int) -> np.ndarray:
     return np.unique(h)
 
 
-def set_digest(values: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(values.tobytes())
-
-
 class SizeClasses:
     """Size classes of the threshold num/den, and the parts of each class."""
 
@@ -131,75 +132,129 @@ class SizeClasses:
         return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
-def _route(n: int, num: int, den: int):
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("other", pa.int64()), ("info", pa.binary())])
+def set_id(values: np.ndarray) -> int:
+    """A set's name: a hash of its elements, as a signed long."""
+    return xxhash.xxh3_64_intdigest(values.tobytes()) - (1 << 63)
+
+
+def signature(values: np.ndarray) -> bytes:
+    """The least element, by which alike sets lie near each other, and the bitmap of the set."""
+    bits = 1 << max(8, (WIDTH * len(values) - 1).bit_length())
+    bitmap = np.zeros(bits, dtype=bool)
+    bitmap[(values & np.uint64(bits - 1)).astype(np.int64)] = True
+    return values[:1].astype("<u8").tobytes() + np.packbits(bitmap).tobytes()
+
+
+_ROUTED = pa.schema(
+    [("bucket", pa.int32()), ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("parts", pa.binary())]
+)
+_ROUTED_DDL = "bucket int, doc_id bigint, sid bigint, n bigint, sig binary, parts binary"
+
 
+def _pack(key: np.ndarray, owner: np.ndarray, sids: np.ndarray) -> bytes:
+    """Keys of one bucket with their sets, some six bytes a key."""
+    used, place = np.unique(owner, return_inverse=True)
+    head = np.array([len(used), len(key)], dtype="<u4")
+    return b"".join(x.tobytes() for x in (head, sids[used].astype("<i8"), key.astype("<u4"), place.astype("<u2")))
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    sets, keys = np.frombuffer(packed, "<u4", 2)
+    at = 8 + 8 * int(sets)
+    sids = np.frombuffer(packed, "<i8", int(sets), 8)
+    return np.frombuffer(packed, "<u4", int(keys), at), sids[np.frombuffer(packed, "<u2", int(keys), at + 4 * int(keys))]
+
+
+def _route(n: int, num: int, den: int, buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = SizeClasses(num, den)
         for whole in batches:
             for first in range(0, whole.num_rows, 4000):
                 batch = whole.slice(first, 4000)
-                infos, ids = [], batch.column(0).to_pylist()
-                owner_of: dict[bytes, int] = {}
-                same_u, same_v, keys, owners = [], [], [], []
-                for doc_id, text in zip(ids, batch.column(1), strict=True):
+                sids, sizes, sigs, fresh, keys, owners = [], [], [], {}, [], []
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                     values = shingles(text.as_py() or b"", n)
-                    digest = set_digest(values) if len(values) else b""
-                    infos.append(len(values).to_bytes(8, "little") + digest)
-                    if doc_id is None or not len(values):
-                        continue
-                    owner = owner_of.setdefault(digest, doc_id)
-                    if owner != doc_id:
-                        same_u.append(doc_id)
-                        same_v.append(owner)
-                        continue
-                    found = np.append(classes.keys(values), np.frombuffer(digest[:8], "<u8"))
-                    keys.append(found)
-                    owners.append(np.full(len(found), doc_id, dtype=np.int64))
-                # Documents: dealt by their place, they only pass through.
-                place = mixed(np.arange(len(ids), dtype=np.uint64) + np.uint64(first)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(place), batch.column(0), pa.nulls(len(ids), pa.int64()), pa.array(infos, pa.binary())],
-                    schema=schema,
-                )
-                if not keys:
+                    sizes.append(len(values))
+                    sid = set_id(values) if doc_id is not None and len(values) else None
+                    sids.append(sid)
+                    sigs.append(signature(values) if sid is not None else None)
+                    if sid is not None and sid not in fresh:
+                        found = classes.keys(values)
+                        keys.append(found)
+                        owners.append(np.full(len(found), len(fresh)))
+                        fresh[sid] = None
+                # Documents only pass through, dealt by their place.
+                place = (mixed(np.arange(len(sids), dtype=np.uint64) + np.uint64(first)) % np.uint64(buckets)).astype(np.int32)
+                nothing = pa.nulls(len(sids), pa.binary())
+                columns = [pa.array(place), batch.column(0), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(sigs, pa.binary()), nothing], schema=_ROUTED)
+                if not any(map(len, keys)):
                     continue
                 key, owner = np.concatenate(keys), np.concatenate(owners)
-                order = np.argsort(key, kind="stable")
-                key, owner = key[order], owner[order]
-                again = np.flatnonzero(key[1:] == key[:-1]) + 1
-                # A key goes out once for the batch, its other documents link to the one before.
-                pairs = np.stack([np.append(owner[again], same_u), np.append(owner[again - 1], same_v)])
-                pairs = np.unique(pairs.astype(np.int64), axis=1)
-                once = np.ones(len(key), dtype=bool)
-                once[again] = False
-                key, owner = key[once], owner[once]
-                empty = pa.nulls(len(key), pa.binary())
+                bucket = (key >> np.uint64(32)) % np.uint64(buckets)
+                order = np.argsort(bucket, kind="stable")
+                key, owner, bucket = key[order] & np.uint64(0xFFFFFFFF), owner[order], bucket[order]
+                names, starts = np.unique(bucket, return_index=True)
+                ends = np.append(starts[1:], len(key))
+                named = np.array(list(fresh), dtype=np.int64)
+                packed = [_pack(key[i:j], owner[i:j], named) for i, j in zip(starts, ends, strict=True)]
+                blank = [pa.nulls(len(names), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(owner), pa.nulls(len(key), pa.int64()), empty], schema=schema
-                )
-                links = pairs.shape[1]
-                place = mixed(pairs[0].view(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(place), pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(links, pa.binary())], schema=schema
+                    [pa.array(names.astype(np.int32)), *blank, pa.array(packed, pa.binary())], schema=_ROUTED
                 )
 
     return work
 
 
+_SHARED = pa.schema(
+    [("gid", pa.int64()), ("sid", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary())]
+)
+
+
+def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents as they come, and per bucket the groups: sets that share a part, named by their members."""
+    for _, rows in sorted_groups(batches, ["bucket"]):
+        is_doc = rows["parts"].is_null()
+        docs = rows.filter(is_doc)
+        blank = pa.chunked_array([pa.nulls(docs.num_rows, pa.int64())])
+        yield from pa.Table.from_arrays([blank, *(docs[c] for c in _SHARED.names[1:])], schema=_SHARED).to_batches()
+        packed = [_unpack(p.as_py()) for p in rows["parts"].drop_null()]
+        if not packed:
+            continue
+        key, sid = (np.concatenate(c) for c in zip(*packed, strict=True))
+        order = np.lexsort((sid, key))
+        key, sid = key[order], sid[order]
+        again = np.append(False, (key[1:] == key[:-1]) & (sid[1:] == sid[:-1]))
+        key, sid = key[~again], sid[~again]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        counts = np.diff(np.append(starts, len(key)))
+        shared = counts > 1
+        if not shared.any():
+            continue
+        sums = np.add.reduceat(mixed(sid.view(np.uint64)), starts)
+        gids, firsts = np.unique(mixed(sums + counts.astype(np.uint64))[shared], return_index=True)
+        at, many = starts[shared][firsts], counts[shared][firsts]
+        member = np.repeat(at - np.append(0, np.cumsum(many)[:-1]), many) + np.arange(many.sum())
+        gid = np.repeat(gids.view(np.int64), many)
+        for i in range(0, len(gid), 100_000):
+            part = slice(i, i + 100_000)
+            m = len(gid[part])
+            empty = [pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(gid[part]), pa.array(sid[member[part]]), *empty], schema=_SHARED)
+
+
 class SignatureTree:
-    """Levels of nodes over leaves; level 0 are the leaves themselves."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        sizes = np.array([len(s) for s in sets])
-        bitmaps = np.zeros((len(sets), BITS), dtype=bool)
-        for k, s in enumerate(sets):
-            bitmaps[k, (s % np.uint64(BITS)).astype(np.int64)] = True
-        packed = np.packbits(bitmaps, axis=1).view(np.uint64)
+    """Levels of nodes over leaves; level 0 are the leaves themselves, in the order given."""
+
+    def __init__(self, sizes: np.ndarray, bitmaps: list[bytes]):
+        # Sets of a group are of nearly one size; wider bitmaps fold into narrower ones.
+        width = min(map(len, bitmaps))
+        folded = [np.bitwise_or.reduce(np.frombuffer(b, np.uint8).reshape(-1, width), axis=0) for b in bitmaps]
+        packed = np.stack(folded).view(np.uint64)
+        self.count = len(sizes)
         self.bits, self.least, self.most = [packed], [sizes], [sizes]
         # Elements beyond one per bit: at most these can hide behind the bits two sets share.
-        self.slack = [sizes - bitmaps.sum(axis=1)]
+        self.slack = [sizes - np.bitwise_count(packed).sum(axis=1, dtype=np.int64)]
         while len(self.bits[-1]) > 1:
             cut = np.arange(0, len(self.bits[-1]), FANOUT)
             self.bits.append(np.bitwise_or.reduceat(self.bits[-1], cut, axis=0))
@@ -226,7 +281,7 @@ class SignatureTree:
 
     def leaves(self, level: int, node: int) -> range:
         width = FANOUT**level
-        return range(node * width, min((node + 1) * width, len(self.sets)))
+        return range(node * width, min((node + 1) * width, self.count))
 
 
 def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -239,15 +294,21 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * common >= num * (len(a) + len(b) - common)
 
 
-def tree_links(sets: list[np.ndarray], component: list[int], num: int, den: int) -> list[tuple[int, int]]:
-    """Links (positions of leaves) that connect what is connected; at most one less than leaves.
+def propose(
+    sizes: list[int], signatures: list[bytes], component: list[int], num: int, den: int,
+    tested: set[tuple[int, int]] = frozenset(), each: int = 0,
+) -> list[tuple[int, int]]:
+    """Pairs of leaves (positions, smaller first) that may be linked and are not known to be connected.
 
-    ``component`` says what is known to be connected already.
+    With ``each`` 0 a proposed pair counts as connected, so at most one less than leaves are
+    proposed. Otherwise up to ``each`` pairs are proposed for any two components, and
+    ``tested`` pairs are left out.
     """
-    order = sorted(range(len(sets)), key=lambda k: (len(sets[k]), sets[k][0] if len(sets[k]) else 0))
-    tree = SignatureTree([sets[k] for k in order])
+    order = sorted(range(len(sizes)), key=lambda k: (sizes[k], signatures[k][:8]))
+    tree = SignatureTree(np.array([sizes[k] for k in order]), [signatures[k][8:] for k in order])
     names: dict[int, int] = {}
     parent = [names.setdefault(component[k], i) for i, k in enumerate(order)]
+    spent: dict[tuple[int, int], int] = {}
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -259,13 +320,19 @@ def tree_links(sets: list[np.ndarray], component: list[int], num: int, den: int)
     stack = [(len(tree.bits) - 1, 0, 0)]
     while stack:
         level, i, j = stack.pop()
-        roots = {find(x) for x in tree.leaves(level, i)} | {find(x) for x in tree.leaves(level, j)}
-        if len(roots) == 1:
-            continue
         if level == 0:
-            if linked(tree.sets[i], tree.sets[j], num, den):
-                parent[find(j)] = find(i)
-                out.append((order[i], order[j]))
+            a, b = find(i), find(j)
+            pair = min(order[i], order[j]), max(order[i], order[j])
+            between = min(a, b), max(a, b)
+            if a == b or pair in tested or (each and spent.get(between, 0) >= each):
+                continue
+            out.append(pair)
+            spent[between] = spent.get(between, 0) + 1
+            if not each:
+                parent[max(a, b)] = min(a, b)
+            continue
+        root = find(tree.leaves(level, i)[0])
+        if all(find(x) == root for x in tree.leaves(level, i)) and all(find(x) == root for x in tree.leaves(level, j)):
             continue
         pairs = [(a, b) for a in tree.children(level, i) for b in tree.children(level, j) if i != j or a <= b]
         if level == 1:
@@ -278,23 +345,58 @@ def tree_links(sets: list[np.ndarray], component: list[int], num: int, den: int)
     return out
 
 
-def _verify(n: int, num: int, den: int):
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+def _candidates(num: int, den: int, each: int):
+    schema = pa.schema([("gid", pa.int64()), ("shard", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for (gid, shard), rows in sorted_groups(batches, ["gid", "shard"]):
+            members = rows.filter(rows["other"].is_null())
+            sids = members["sid"].to_pylist()
+            place = {sid: k for k, sid in enumerate(sids)}
+            known = rows.filter(rows["other"].is_valid())
+            tested = {
+                (min(place[u], place[v]), max(place[u], place[v]))
+                for u, v in zip(known["sid"].to_pylist(), known["other"].to_pylist(), strict=True)
+            }
+            parts = members["n"].to_pylist(), members["sig"].to_pylist(), members["component"].to_pylist()
+            for a, b in propose(*parts, num, den, tested, each):
+                out.append((gid, shard, min(sids[a], sids[b]), max(sids[a], sids[b])))
+            if len(out) > 50_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
+
+    return work
+
+
+def _pick(n: int):
+    """The texts of the sets that are asked for; rows of one id may hold others."""
+    schema = pa.schema([("sid", pa.int64()), ("text", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out_u, out_v = [], []
-        for _, rows in sorted_groups(batches, ["gid", "shard"]):
-            leaves: dict[int, tuple[int, np.ndarray]] = {}
-            for r in rows.select(["rep", "sh", "component", "text"]).to_pylist():
-                values = shingles(r["text"] or b"", n)
-                # An id that several rows share stands for the row whose set was chosen.
-                if r["rep"] not in leaves and set_digest(values) == r["sh"]:
-                    leaves[r["rep"]] = (r["component"], values)
-            ids = list(leaves)
-            for a, b in tree_links([leaves[k][1] for k in ids], [leaves[k][0] for k in ids], num, den):
-                out_u.append(ids[a])
-                out_v.append(ids[b])
-        yield pa.RecordBatch.from_pydict({"u": out_u, "v": out_v}, schema)
+        for batch in batches:
+            out = []
+            for text, asked in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                text = text.as_py() or b""
+                sid = set_id(shingles(text, n))
+                if sid in asked:
+                    out.append((sid, text))
+            sids, texts = zip(*out, strict=True) if out else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(texts, pa.binary())], schema=schema)
+
+    return work
+
+
+def _compare(n: int, num: int, den: int):
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64()), ("ok", pa.bool_())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = zip(batch.column(2), batch.column(3), strict=True)
+            ok = [linked(shingles(a.as_py(), n), shingles(b.as_py(), n), num, den) for a, b in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], schema=schema)
 
     return work
 
@@ -310,118 +412,99 @@ def ngram_components(
     and blank texts have none and link with nothing, not even with each other. The
     component is named by its smallest id. A row without id has no component (null) and
     links nothing. Rows that repeat an id with other texts have a component each. Other
-    columns are not read; an empty table gives no rows.
+    columns are not read; an empty table gives no rows; texts need not be valid UTF-8.
     """
     narrow = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")
-    )
-    routed = arrow_map(narrow, _route(n, num, den), "key bigint, id bigint, other bigint, info binary")
-    before = F.lag("id").over(Window.partitionBy("key").orderBy("id"))
-    entry = F.col("info").isNull() & F.col("other").isNull()
-    routed = (
-        routed.withColumn("other", F.when(entry, before).otherwise(F.col("other")))
-        .filter((F.col("other").isNotNull() & (F.col("other") != F.col("id"))) | F.col("info").isNotNull())
-        .select("id", "other", "info")
-    )
-    routed = written(routed, "ngram-routes")
-    # Sizes are the first 8 bytes (little-endian), then the digest of a set that is not empty.
-    sets = routed.filter("info IS NOT NULL").select(
-        F.col("id").alias("doc_id"),
-        _little_endian("info").alias("n_shingles"),
-        F.when(F.octet_length("info") > 8, F.substring("info", 9, 16)).alias("sh"),
-    )
-    groups = components(routed.filter("other IS NOT NULL").select(F.col("id").alias("u"), F.col("other").alias("v")))
-    groups = groups.select(F.col("node").alias("doc_id"), F.col("component").alias("gid"))
-    grouped = written(sets.join(groups, "doc_id", "left"), "ngram-groups")
-
-    reps = written(
-        grouped.filter("gid IS NOT NULL AND sh IS NOT NULL").groupBy("gid", "sh").agg(F.min("doc_id").alias("rep")),
-        "ngram-sets",
-    )
-    stats = written(
-        reps.groupBy("gid").agg(F.count("*").alias("m"), F.min("rep").alias("centre")).filter("m > 1"), "ngram-stats"
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").cast("binary").alias("text")
     )
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    members = reps.join(stats, "gid").withColumn("blocks", blocks)
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    members = members.withColumn("own", own)
-    # The group's first set is in every block and so can connect all of them.
-    is_centre = F.col("rep") == F.col("centre")
-    where = F.when(is_centre, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("own"))
-    first = written(
-        members.select("gid", F.explode(where).alias("shard"), "rep", "sh", F.col("rep").alias("component")).withColumn(
-            "shard", F.col("shard").cast("string")
-        ),
-        "ngram-members",
+    size = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    routed = arrow_map(narrow, _route(n, num, den, max(BUCKETS, size // BUCKET_BYTES)), _ROUTED_DDL)
+    dealt = routed.repartition("bucket").sortWithinPartitions("bucket")
+    shared = written(
+        arrow_map(dealt, _share, "gid bigint, sid bigint, doc_id bigint, n bigint, sig binary"), "ngram-shared"
     )
+    rows = shared.filter("gid IS NULL")
+    groups = written(shared.filter("gid IS NOT NULL").select("gid", "sid").distinct(), "ngram-groups")
+    links = _links(narrow, rows.filter("sid IS NOT NULL"), groups, n, num, den, block)
 
-    def verified(placed: DataFrame) -> DataFrame:
-        texts = join_ids(
-            narrow.withColumnRenamed("doc_id", "rep"), placed.select("gid", "shard", "rep", "sh", "component"), "rep", "inner"
-        )
-        dealt = texts.repartition("gid", "shard").sortWithinPartitions("gid", "shard", "rep")
-        return written(arrow_map(dealt, _verify(n, num, den), "u bigint, v bigint"), "ngram-links")
-
-    links = verified(first)
+    sets = rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     joined = components(links)
-    second = _second_round(members, joined, block)
-    if second is not None:
-        links = links.unionByName(verified(second))
-        joined = components(links)
-    named = reps.join(joined, F.col("rep") == F.col("node"), "left").select(
-        F.col("sh"), F.coalesce("component", "rep").alias("component")
-    )
-    named = written(named, "ngram-named")
-    return grouped.join(named, "sh", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
+    # Sets of one document and without a link are their own component and need no name.
+    sets = sets.join(joined, F.col("sid") == F.col("node"), "left").filter("copies > 1 OR component IS NOT NULL")
+    sets = written(sets.select("sid", "rep", F.coalesce("component", "sid").alias("component")), "ngram-sets")
+    names = sets.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = written(sets.join(names, "component").select("sid", "component_id"), "ngram-named")
+    return join_ids(rows.select("sid", "doc_id", "n"), named, "sid", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def _little_endian(column: str):
-    """A long from the first 8 bytes, least significant first."""
-    digits = F.hex(F.substring(column, 1, 8))
-    swapped = F.concat(*[F.substring(digits, 2 * k - 1, 2) for k in range(8, 0, -1)])
-    return F.conv(swapped, 16, 10).cast("bigint")
-
-
-def _second_round(members: DataFrame, joined: DataFrame, block: int) -> DataFrame | None:
-    """Shards of sets outside of their group's largest component with each of its blocks.
-
-    Only groups of several blocks need it. Outsiders are cut into chunks; a shard is one
-    chunk and one block, so outsiders are copied once a block and other sets once a chunk.
-    """
-    large = members.filter("blocks > 1").join(joined, F.col("rep") == F.col("node"), "left")
-    large = written(
-        large.select("gid", "rep", "sh", "blocks", "own", F.coalesce("component", "rep").alias("component")), "ngram-large"
-    )
-    sizes = large.groupBy("gid", "component").agg(F.count("*").alias("n"))
-    core = sizes.groupBy("gid").agg(
-        F.max_by("component", F.struct("n", "component")).alias("core"), F.sum("n").alias("all"), F.max("n").alias("in_core")
-    )
-    core = written(core.filter("all > in_core").withColumn("chunks", F.ceil((F.col("all") - F.col("in_core")) / block)), "ngram-core")
-    if not core.limit(1).count():
-        return None
-    rows = large.join(core.select("gid", "core", "chunks"), "gid")
-    chunk = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("chunks")).cast("int")
-    outsiders = rows.filter("component <> core").select(
-        "gid", "rep", "sh", "component", chunk.alias("chunk"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own")
+def _links(
+    narrow: DataFrame, rows: DataFrame, groups: DataFrame, n: int, num: int, den: int, block: int
+) -> DataFrame:
+    """Verified links (u, v) that connect all that is connected."""
+    asked = written(groups.select("sid").distinct(), "ngram-asked")
+    leaves = join_ids(rows, asked, "sid").groupBy("sid").agg(
+        F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("rep")
     )
-    others = rows.select(
-        "gid", "rep", "sh", "component", F.explode(F.sequence(F.lit(0), F.col("chunks").cast("int") - 1)).alias("chunk"), "own"
+    leaves = written(leaves, "ngram-leaves")
+    pending, tested, links, turn = _sharded(groups, block), None, None, 0
+    while True:
+        members = pending.join(leaves.drop("rep"), "sid").select("gid", "shard", "sid", F.lit(None).cast("bigint").alias("other"), "n", "sig")
+        if links is None:
+            members = members.withColumn("component", F.col("sid"))
+        else:
+            joined = components(links).withColumnRenamed("node", "sid")
+            members = members.join(joined, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+            members = members.unionByName(tested.withColumnsRenamed({"u": "sid", "v": "other"}), allowMissingColumns=True)
+        dealt = members.repartition("gid", "shard").sortWithinPartitions("gid", "shard")
+        found = arrow_map(dealt, _candidates(num, den, 8**turn if turn else 0), "gid bigint, shard bigint, u bigint, v bigint")
+        found = written(found, "ngram-candidates")
+        judged = _judged(narrow, leaves, found.select("u", "v").distinct(), n, num, den)
+        good = judged.filter("ok").select("u", "v")
+        links = good if links is None else links.unionByName(good)
+        failed = written(found.join(judged.filter("NOT ok").select("u", "v"), ["u", "v"]), "ngram-failed")
+        if not failed.limit(1).count():
+            return links
+        again = failed.select("gid", "shard").distinct()
+        tested = failed if tested is None else tested.join(again, ["gid", "shard"], "left_semi").unionByName(failed)
+        pending = written(pending.join(again, ["gid", "shard"], "left_semi"), "ngram-pending")
+        turn += 1
+
+
+def _sharded(groups: DataFrame, block: int) -> DataFrame:
+    """Groups of more than ``block`` sets cut into blocks; a shard is where two of them meet."""
+    large = groups.groupBy("gid").agg(F.count("*").alias("m")).filter(F.col("m") > block)
+    large = written(large.select("gid", F.ceil(F.col("m") / block).cast("int").alias("blocks")), "ngram-large")
+    small = join_ids(groups, large.select("gid"), "gid", "left_anti").withColumn("shard", F.lit(0).cast("bigint"))
+    cut = join_ids(groups, large, "gid", "inner").withColumn("own", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    met = cut.withColumn("met", other).withColumn(
+        "shard", F.least("own", "met").cast("bigint") * F.col("blocks") + F.greatest("own", "met")
     )
-    shards = outsiders.unionByName(others).select(
-        "gid", F.concat_ws("-", "chunk", "own").alias("shard"), "rep", "sh", "component"
+    return small.unionByName(met.select("gid", "sid", "shard"))
+
+
+def _judged(narrow: DataFrame, leaves: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(u, v, ok): whether the sets of a pair are linked, from their whole texts."""
+    pairs = written(pairs, "ngram-pairs")
+    needed = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+    needed = leaves.join(needed, "sid", "left_semi").groupBy("rep").agg(F.collect_set("sid").alias("asked"))
+    asked = written(needed.withColumnRenamed("rep", "doc_id"), "ngram-needed")
+    picked = arrow_map(join_ids(narrow, asked, "doc_id", "inner").select("text", "asked"), _pick(n), "sid bigint, text binary")
+    texts = written(picked.dropDuplicates(["sid"]), "ngram-texts")
+    both = pairs.join(texts.withColumnsRenamed({"sid": "u", "text": "a"}), "u").join(
+        texts.withColumnsRenamed({"sid": "v", "text": "b"}), "v"
     )
-    return written(shards, "ngram-second")
+    return written(arrow_map(both.select("u", "v", "a", "b"), _compare(n, num, den), "u bigint, v bigint, ok boolean"), "ngram-judged")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **method) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest id; rows without id stay."""
+    """``docs`` with one document of each component, that of the smallest id; rows without id stay.
+
+    An id that several rows share stays if any of them does. All columns are kept as they are.
+    """
     found = written(ngram_components(docs, id_col, text_col, **method), "ngram-found")
     kept = F.max(F.col("doc_id") == F.col("component_id"))
     dropped = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(kept.alias("kept")).filter("NOT kept")
-    dropped = written(dropped.select(F.col("doc_id").alias("_mw_id")), "ngram-dropped")
-    marked = docs.withColumn("_mw_id", F.col(id_col).cast("bigint"))
-    return join_ids(marked, dropped, "_mw_id", "left_anti").select(*[F.col(c) for c in docs.columns])
+    return without_ids(docs, written(dropped.select("doc_id"), "ngram-dropped"), id_col)

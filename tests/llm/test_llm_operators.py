@@ -205,13 +205,26 @@ def test_ngram_components(spark, n, num, den):
     data += [(None, pool[9]), (5000, pool[9]), (5000, pool[9])]
     df = spark.createDataFrame([(*r, "clash") for r in data], "doc_id bigint, text string, component_id string").repartition(4)
     expected = brute_components(data, n, num, den)
-    # Small blocks make the second round do its part.
+    # Small blocks have to meet pairwise.
     for block in (ngram_join.BLOCK, 7):
         got = ngram_join.ngram_components(df, n=n, num=num, den=den, block=block)
         assert sorted(rows(got), key=repr) == expected
     assert rows(ngram_join.ngram_components(df.limit(0))) == []
 
 
+def test_two_texts_of_one_id_keep_their_links(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in "ab")
+    data = [(1, one), (1, two), (2, one + " end"), (3, two + " end"), (4, "else")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert sorted(rows(ngram_join.ngram_components(df))) == brute_components(data, 3, 90, 100)
+
+
+def test_columns_with_odd_names_pass_through(spark):
+    data = [(1, "a b c d", 20, "x", "y"), (2, "a b c d", 21, "x", "y"), (3, "else", 22, "x", "y")]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, _mw_id int, `a.b` string, `c``d` string")
+    assert sorted(rows(ngram_join.drop_near_copies(df))) == [data[0], data[2]]
+
+
 def test_drop_near_copies(spark):
     df = awkward(spark)
     got = sorted(rows(ngram_join.drop_near_copies(df, n=5, num=80, den=100).select("doc_id")), key=repr)
@@ -222,14 +235,26 @@ def test_drop_near_copies(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 40), min_size=1, max_size=40, unique=True), min_size=2, max_size=14))
 def test_parts_never_miss_a_link(sets):
-    """Linked sets share a part, and the tree finds the components of a plain double loop."""
+    """Linked sets share a part, and trees of signatures propose what connects the components of a plain double loop."""
     hashed = [np.unique(ngram_join.mixed(np.array(s, dtype=np.uint64))) for s in sets]
     hashed = list({s.tobytes(): s for s in hashed}.values())
     classes = ngram_join.SizeClasses(80, 100)
     keys = [set(classes.keys(s).tolist()) for s in hashed]
     near = [(i, j) for i in range(len(hashed)) for j in range(i) if ngram_join.linked(hashed[i], hashed[j], 80, 100)]
     assert all(keys[i] & keys[j] for i, j in near)
-    found = ngram_join.tree_links(hashed, list(range(len(hashed))), 80, 100)
+    parts = [len(s) for s in hashed], [ngram_join.signature(s) for s in hashed]
+    names_now, tested, found, turn = list(range(len(hashed))), set(), [], 0
+    while True:
+        pairs = ngram_join.propose(*parts, names_now, 80, 100, tested, 8**turn if turn else 0)
+        assert turn or len(pairs) < len(hashed)
+        good = [p for p in pairs if ngram_join.linked(hashed[p[0]], hashed[p[1]], 80, 100)]
+        found += good
+        if len(good) == len(pairs):
+            break
+        tested |= set(pairs) - set(good)
+        for i, j in good:
+            names_now = [names_now[j] if x == names_now[i] else x for x in names_now]
+        turn += 1
 
     def names(links):
         name = list(range(len(hashed)))
