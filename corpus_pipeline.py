@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwatch.llm import exact_dedup, langid, mixing, ngram_join, packing
-from millwatch.llm.common import join_ids, table, written
+from millwatch.llm.common import join_ids, quoted, same_columns, table, unused, without_ids, written
 
 # Near copies: five-word shingles, a similarity of 0.8 or more.
 NEAR = {"n": 5, "num": 80, "den": 100}
@@ -22,16 +22,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit_model(docs)
     judged = langid.identify(docs, model).filter("doc_id IS NOT NULL")
     rejected = judged.groupBy("doc_id").agg(F.min("rejected").alias("all_rejected")).filter("all_rejected")
-    return without(docs, written(rejected.select(F.col("doc_id").alias("_mw_id")), "rejected-ids"))
+    return without_ids(docs, written(rejected.select("doc_id"), "rejected-ids"))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each text."""
+    """One row of each text, that of the smallest id; null counts as the empty text, which is one text too.
+
+    Of rows that repeat an id and a text one stays; an empty table stays empty; all columns are kept.
+    """
     return exact_dedup.drop_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, that of the smallest id.
+
+    Rows without id, and null, empty and blank texts, are nobody's copies and stay; an empty
+    table stays empty; all columns are kept.
+    """
     return ngram_join.drop_near_copies(docs, **NEAR)
 
 
@@ -41,23 +48,22 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Documents without words weigh nothing in the mix and stay once, as do rows without id.
     """
     taken = mixing.mix(docs)
-    times = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
-    by_id = taken.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(times).alias("_mw_times"))
-    changed = written(by_id.filter("_mw_times <> 1").withColumnRenamed("doc_id", "_mw_id"), "mix-times")
-    marked = join_ids(docs.withColumn("_mw_id", F.col("doc_id").cast("bigint")), changed, "_mw_id", "left")
-    times = F.coalesce("_mw_times", F.lit(1))
-    copies = marked.filter(times > 0).withColumn("_mw_copy", F.explode(F.sequence(F.lit(1), times)))
-    return copies.select(*[F.col(c) for c in docs.columns])
+    key, times, copy = unused(docs, "_mw_id"), unused(docs, "_mw_times"), unused(docs, "_mw_copy")
+    often = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(1).cast("int")
+    by_id = taken.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.max(often).alias(times))
+    changed = written(by_id.filter(F.col(times) != 1), "mix-times")
+    marked = join_ids(docs.withColumn(key, F.col(quoted("doc_id")).cast("bigint")), changed, key, "left")
+    taken_times = F.coalesce(times, F.lit(1))
+    copies = marked.filter(taken_times > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), taken_times)))
+    return same_columns(copies, docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences."""
-    return packing.pack(docs)
-
+    """The pieces of all sequences: of every row, whatever its id, one of the end token alone for null and empty texts.
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    marked = docs.withColumn("_mw_id", F.col("doc_id").cast("bigint"))
-    return join_ids(marked, ids, "_mw_id", "left_anti").select(*[F.col(c) for c in docs.columns])
+    An empty table gives no pieces.
+    """
+    return packing.pack(docs)
 
 
 STAGES = [
