@@ -12,11 +12,11 @@ from pyspark.sql import types as T
 from millwatch.functions.columns import hours, newest_time, upper_names
 from millwatch.functions.rule import COMPONENTS, RULE_ARGUMENTS, stored_score
 from millwatch.operators import anomaly, baseline, evaluation, forest, history, quality
-from millwatch.plans import features, scoring, serving, summary, views
+from millwatch.plans import features, scoring, serving, summary, tier_state, views
 from millwatch.schema import REGISTRY, TELEMETRY
 from millwatch.session import scratch_path
 from millwatch.sources import driver_tables, tables, text
-from millwatch.streaming import incremental, ingest
+from millwatch.streaming import closing, incremental, ingest, rolling
 from oracle_queries import MACHINE
 from oracle_queries import oracle_sql as _oracle_sql
 
@@ -102,10 +102,11 @@ class Fleet:
         events = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"])
         return driver_tables.telemetry(events, self.registry)
 
-    def sliced_stream(self, conditions: list[str], again: str = "false") -> DataFrame:
-        """The events as files that arrive one by one, cut by conditions.
+    def by_slices(self, conditions: list[str], start: Callable, again: str = "false") -> None:
+        """Write the events slice by slice, cut by conditions, and drain a stream over them after each.
 
-        The last file also sends the events of ``again`` a second time, with other values.
+        ``start`` starts a query over the stream. The last slice also sends the events of
+        ``again`` a second time, with other values.
         """
         path = scratch_path(self.spark, "event-slices")
         events = self.table("events")
@@ -113,9 +114,9 @@ class Fleet:
         for n, condition in enumerate(conditions):
             part = events.filter(condition)
             part = part.unionByName(other) if n == len(conditions) - 1 else part
-            part.coalesce(1).write.mode("append").parquet(path)
-        stream = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"], files_per_batch=1)
-        return driver_tables.telemetry(stream, self.registry)
+            part.write.mode("append").parquet(path)
+            stream = ingest.file_stream(self.spark, path, driver_tables.SCHEMAS["events"])
+            start(driver_tables.telemetry(stream, self.registry)).awaitTermination()
 
     def drained(self, stream: DataFrame, label: str) -> DataFrame:
         base = scratch_path(self.spark, label)
@@ -201,22 +202,20 @@ def _incremental_score(fleet: Fleet) -> DataFrame:
     return tables.read_fact(fleet.spark, path).select(*fleet.scored.columns)
 
 
-def _live(fleet: Fleet) -> incremental.LiveTables:
-    return _live_of(fleet, fleet.stream())
-
-
 _FOUR = ["event_id % 10 < 4", "event_id % 10 IN (4, 5)", "event_id % 10 IN (6, 7, 8)", "event_id % 10 = 9"]
 
 
-def _live_of(fleet: Fleet, stream: DataFrame) -> incremental.LiveTables:
+def _live(fleet: Fleet, conditions: list[str] = ("true",), again: str = "false") -> incremental.LiveTables:
     live = incremental.LiveTables(scratch_path(fleet.spark, "live"))
-    incremental.run_live(stream, fleet.registry, live, every=None).awaitTermination()
+    fleet.by_slices(
+        list(conditions), lambda stream: incremental.run_live(stream, fleet.registry, live, every=None), again
+    )
     return live
 
 
 def _live_conflicts(fleet: Fleet) -> DataFrame:
     """Latest states beside the stored scores, after some readings came twice with other values."""
-    live = _live_of(fleet, fleet.sliced_stream(_FOUR, again="event_id % 10 = 2"))
+    live = _live(fleet, _FOUR, again="event_id % 10 = 2")
     stored = tables.read_fact(fleet.spark, live.scored).select(
         "machine_id", "reading_ts", F.col("risk_score").alias("stored_score"), F.col("risk_tier").alias("stored_tier")
     )
@@ -225,16 +224,81 @@ def _live_conflicts(fleet: Fleet) -> DataFrame:
 
 def _live_late(fleet: Fleet) -> DataFrame:
     """Standing alerts after a tenth of the readings came late."""
-    live = _live_of(fleet, fleet.sliced_stream(_FOUR))
-    return live.read_alerts(fleet.spark).drop("batch")
+    return _live(fleet, _FOUR).read_alerts(fleet.spark).drop("batch")
 
 
 def _stream_rollup(fleet: Fleet) -> DataFrame:
     base = scratch_path(fleet.spark, "stream-rollup")
-    ingest.rollup_stream(fleet.sliced_stream(_FOUR), f"{base}/sums", f"{base}/checkpoint").awaitTermination()
+    fleet.by_slices(_FOUR, lambda stream: ingest.rollup_stream(stream, f"{base}/sums", f"{base}/checkpoint"))
     return ingest.read_rollup(fleet.spark, f"{base}/sums")
 
 
+def _closing_rollup(fleet: Fleet) -> DataFrame:
+    """Hours closed two hours behind the newest reading, and corrected by the slices after that."""
+    base = scratch_path(fleet.spark, "closing-rollup")
+    hours_of = closing.HourTables(f"{base}/hours")
+    fleet.by_slices(
+        _FOUR, lambda stream: closing.closing_rollup_stream(stream, hours_of, f"{base}/checkpoint", keep="400 days")
+    )
+    return hours_of.read(fleet.spark)
+
+
+# Readings arrive up to six hours after they were taken; a slice is what arrives until then.
+_ARRIVAL = "timestampadd(SECOND, CAST((event_id * 7919) % 21600 AS INT), ts)"
+
+
+def _stream_rolling(fleet: Fleet) -> DataFrame:
+    base = scratch_path(fleet.spark, "stream-rolling")
+    low, high = fleet.table("events").agg(F.min("ts"), F.max("ts")).first()
+    cuts = [low + (high - low) * k / 4 for k in range(1, 4)]
+    bounds = ["TIMESTAMP_NTZ'0001-01-01'", *[f"TIMESTAMP_NTZ'{c}'" for c in cuts], "TIMESTAMP_NTZ'9999-01-01'"]
+    slices = [f"{_ARRIVAL} >= {a} AND {_ARRIVAL} < {b}" for a, b in zip(bounds, bounds[1:])]
+    fleet.by_slices(slices, lambda stream: rolling.rolling_stream(stream, f"{base}/said", f"{base}/checkpoint"))
+    means = rolling.read_rolling(fleet.spark, f"{base}/said").drop("too_late")
+    return fleet.telemetry.select("reading_id", "machine_id", "reading_ts").join(means, ["machine_id", "reading_ts"])
+
+
+def _dead_letters(fleet: Fleet) -> DataFrame:
+    """Telemetry sent as JSON, some of it broken: how many records were accepted, and rejected why."""
+    base = scratch_path(fleet.spark, "dead-letters")
+    record = F.to_json(F.struct(
+        F.expr("CASE WHEN reading_id % 50 <> 2 THEN machine_id END").alias("machine_id"), "reading_ts",
+        F.expr("CASE WHEN reading_id % 50 = 1 THEN 'hot' ELSE CAST(temperature_c AS STRING) END").alias("temperature_c"),
+        "vibration_mm_s", "operating_mode",
+    ))
+    cut = F.when(F.col("reading_id") % 50 == 0, F.left(record, F.lit(30))).when(F.col("reading_id") % 50 == 3, "[1]")
+    fleet.telemetry.select(F.coalesce(cut, record).cast("binary").alias("value")).write.parquet(f"{base}/log")
+    raw = ingest.file_stream(fleet.spark, f"{base}/log", "value binary")
+    ingest.ingest_records(raw, TELEMETRY, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    accepted = fleet.spark.read.parquet(f"{base}/out/accepted").select(F.lit("").alias("faults"))
+    rejected = fleet.spark.read.parquet(f"{base}/out/rejected").select("faults")
+    return accepted.unionByName(rejected).groupBy("faults").agg(F.count("*").alias("records"))
+
+
+def _tier_state(fleet: Fleet) -> DataFrame:
+    """Tier distribution from per-date states: all dates but the last, then the last one alone."""
+    base = scratch_path(fleet.spark, "tier-state")
+    tables.write_fact(fleet.scored, f"{base}/scored")
+    scored = tables.read_fact(fleet.spark, f"{base}/scored")
+    dates = sorted(r[0] for r in scored.select(tables.DATE).distinct().collect())
+    for some in (set(dates[:-1]), set(dates[-1:])):
+        tier_state.refresh_tier_states(scored, f"{base}/numbers", f"{base}/state", some)
+    return tier_state.tier_distribution(fleet.spark, f"{base}/state")
+
+
+def _table_function(fleet: Fleet) -> DataFrame:
+    rows = features.features(fleet.telemetry, fleet.registry, rolling=False)
+    rows.createOrReplaceTempView("feature_rows")
+    views.register_table_function(fleet.spark)
+    clean = {"error_code": "nullif(trim(r.error_code), '')"}
+    arguments = ", ".join(clean.get(name, f"CAST(r.{name} AS {kind})") for name, kind in RULE_ARGUMENTS)
+    return fleet.spark.sql(
+        f"SELECT r.machine_id, r.reading_ts, r.reading_id, {stored_score('s.rule_score')} AS risk_score, "
+        "s.risk_tier, s.top_signal, s.recommended_action, 'RULE_V1' AS model_version "
+        f"FROM feature_rows r, LATERAL score_reading({arguments}) s WHERE r.operating_mode <> 'MAINTENANCE'"
+    )
+
+
 def _csv_telemetry(fleet: Fleet) -> DataFrame:
     """Telemetry written as CSV, columns in another order, some modes new and some fields broken, and loaded."""
     path = scratch_path(fleet.spark, "telemetry-csv")
@@ -333,7 +397,9 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
         f.telemetry, f.registry, keep_components=True
     ).select("machine_id", "reading_ts", "reading_id", *COMPONENTS),
     "sql_function_score": _sql_function,
+    "sql_table_function_score": _table_function,
     "tier_distribution": lambda f: summary.tier_distribution(f.scored),
+    "tier_distribution_state": _tier_state,
     "latest_risk": lambda f: f.latest,
     "latest_incremental": _latest_incremental,
     "worst_recent_risk": lambda f: summary.worst_recent_risk(f.recent(144), f.registry, f.now),
@@ -420,6 +486,9 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     ),
     "stream_dedup": _stream_dedup,
     "stream_hourly_rollup": _stream_rollup,
+    "stream_closing_rollup": _closing_rollup,
+    "stream_rolling_24h": _stream_rolling,
+    "stream_dead_letters": _dead_letters,
     "live_alerts": lambda f: _live(f).read_alerts(f.spark).drop("batch"),
     "live_latest": lambda f: _live(f).read_latest(f.spark).drop("reading_id"),
     "live_conflicts": _live_conflicts,

@@ -206,3 +206,24 @@ def register_sql_function(
         "RETURN (SELECT struct(rule_score AS risk_score, risk_tier, top_signal, "
         f"recommended_action) FROM {body})"
     )
+
+
+def register_table_function(
+    spark: SparkSession, name: str = "score_reading", rule: RiskRule = DEFAULT_RULE
+) -> None:
+    """Make the rule callable as a native table function of one row per call.
+
+    ``SELECT ... FROM readings r, LATERAL score_reading(r.temperature_c, ...)`` is planned as
+    a projection of the readings: no join, no shuffle, no Python.
+    """
+    if rule.type_weights:
+        raise ValueError("the SQL function has no machine_type argument; use apply_rule")
+    inputs = ", ".join(f"p_{arg} AS {arg}" for arg, _ in RULE_ARGUMENTS)
+    arguments = ", ".join(f"p_{arg} {kind}" for arg, kind in RULE_ARGUMENTS)
+    results = ", ".join([*RESULTS, *COMPONENTS])
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS TABLE("
+        "rule_score DOUBLE, risk_tier STRING, top_signal STRING, recommended_action STRING, "
+        + ", ".join(f"{c} DOUBLE" for c in COMPONENTS)
+        + f") RETURN SELECT {results} FROM {_layered(f'(SELECT {inputs})', rule)}"
+    )

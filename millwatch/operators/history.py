@@ -254,9 +254,9 @@ def risk_slope(scored: DataFrame, as_of: Column, *, within_hours: int = 168) ->
     )
 
 
-def hourly_sums(readings: DataFrame) -> DataFrame:
-    """Exact sums, counts and maxima per machine and hour, which add up over batches."""
-    return readings.groupBy("machine_id", hour_of("reading_ts").alias("hour_start")).agg(
+def hour_measures() -> list[Column]:
+    """Exact sums, counts and maxima of readings, which add up over batches."""
+    return [
         F.count("*").alias("readings"),
         F.sum(scaled("temperature_c", 2)).alias("_t"),
         F.count("temperature_c").alias("_tn"),
@@ -265,7 +265,12 @@ def hourly_sums(readings: DataFrame) -> DataFrame:
         F.count("vibration_mm_s").alias("_vn"),
         F.max("vibration_mm_s").alias("max_vibration_mm_s"),
         F.count(F.when(F.trim("error_code") != "", 1)).alias("errors"),
-    )
+    ]
+
+
+def hourly_sums(readings: DataFrame) -> DataFrame:
+    """The measures per machine and hour."""
+    return readings.groupBy("machine_id", hour_of("reading_ts").alias("hour_start")).agg(*hour_measures())
 
 
 def added_sums(parts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millwatch.functions.columns import upper_names
-from millwatch.functions.rule import register_sql_function
+from millwatch.functions.rule import register_sql_function, register_table_function
 from millwatch.plans.features import features
 from millwatch.plans.summary import actionable_queue, latest_risk, risk_trend
 
@@ -13,7 +13,7 @@ from millwatch.plans.summary import actionable_queue, latest_risk, risk_trend
 def register_views(
     spark: SparkSession, telemetry: DataFrame, registry: DataFrame, scored: DataFrame, as_of=None
 ) -> None:
-    """Name tables, views and the scoring function so that plain SQL finds them."""
+    """Name tables, views and the scoring functions so that plain SQL finds them."""
     latest = latest_risk(scored, registry)
     for name, df in {
         "machine_registry": registry,
@@ -26,6 +26,7 @@ def register_views(
     }.items():
         df.createOrReplaceTempView(name)
     register_sql_function(spark)
+    register_table_function(spark)
 
 
 def query(spark: SparkSession, sql: str, args: dict | list | None = None) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millwatch.operators.history import added_sums, hourly_means, hourly_sums
+from millwatch.operators.quality import split_valid
+from millwatch.schema import Contract
 
 # How late a reading may arrive and still be matched with its repeats.
 DELAY = "2 hours"
@@ -31,22 +33,68 @@ def log_stream(
     spark: SparkSession, servers: str, topic: str, schema: T.StructType, **options: str
 ) -> DataFrame:
     """JSON readings from a log broker; needs Spark's Kafka connector on the class path."""
-    raw = (
+    return decode_json(raw_log(spark, servers, topic, **options), schema)
+
+
+def raw_log(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+    """The broker's records as they are, for ``ingest_records``."""
+    return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .options(**options)
         .load()
     )
-    return decode_json(raw, schema)
 
 
 def decode_json(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Broker records (binary ``value``) to typed readings; records that do not parse are NULL rows."""
+    """Broker records (binary ``value``) to typed readings; those without machine or time are left out.
+
+    ``ingest_records`` keeps what is left out, with the reason.
+    """
     parsed = raw.select(F.from_json(F.col("value").cast("string"), schema).alias("r"))
     return parsed.select("r.*").filter("machine_id IS NOT NULL AND reading_ts IS NOT NULL")
 
 
+def sort_records(raw: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Typed readings that keep the contract, and the other records as they came, with their faults.
+
+    Every record is in exactly one of the two. What is not a JSON object has the one fault
+    ``value:json``; fields that the contract does not name are ignored.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in contract.names]
+    schema = T.StructType([*fields, T.StructField("_corrupt", T.StringType())])
+    text = F.col("value").cast("string")
+    read = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    records = raw.withColumn("_read", read)
+    unread = F.coalesce(F.col("_read._corrupt").isNotNull(), F.lit(True)) | ~F.coalesce(F.ltrim(text).startswith("{"), F.lit(False))
+    broken = records.filter(unread).select("value", F.lit("value:json").alias("faults"))
+    good, bad = split_valid(records.filter(~unread).select("value", "_read.*").drop("_corrupt"), contract)
+    return good, broken.unionByName(bad.select("value", "faults"))
+
+
+def ingest_records(
+    raw: DataFrame, contract: Contract, path: str, checkpoint: str, *, every: str | None = None
+) -> StreamingQuery:
+    """Keep what a broker sends: readings in ``accepted``, the rest in ``rejected`` with its faults.
+
+    Both come from the same micro-batch and go to folders of the batch that a retry overwrites,
+    so accepted and rejected records add up to those received.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        records = batch.persist()
+        try:
+            good, bad = sort_records(records, contract)
+            good.write.mode("overwrite").parquet(f"{path}/accepted/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{path}/rejected/batch={batch_id}")
+        finally:
+            records.unpersist()
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return raw.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def _with_event_time(stream: DataFrame, delay: str) -> DataFrame:
     return stream.withColumn("_event_time", F.col("reading_ts").cast(T.TimestampType())).withWatermark(
         "_event_time", delay

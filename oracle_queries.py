@@ -330,6 +330,10 @@ def oracle_sql() -> dict[str, str]:
         CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s,
         count(*) FILTER (trim(error_code) <> '') AS errors
         FROM telemetry GROUP BY machine_id, hour_start"""
+    tiers = f"""{_S} SELECT risk_tier, count(*) AS reading_count,
+            count(DISTINCT machine_id) AS machine_count, {_AVG.format(s='risk_score')} AS avg_score,
+            CAST(min(risk_score) AS DOUBLE) AS min_score, CAST(max(risk_score) AS DOUBLE) AS max_score
+            FROM scored GROUP BY risk_tier"""
     return {
         "features": f"{_F} SELECT {feature_columns}, {rolling} FROM features",
         "rolling_24h": f"{_B} SELECT reading_id, machine_id, reading_ts, {rolling} FROM telemetry",
@@ -337,10 +341,9 @@ def oracle_sql() -> dict[str, str]:
         "score_components": f"""{_S} SELECT machine_id, reading_ts, reading_id, cv AS c_vibration, ct AS c_temperature,
             cp AS c_pressure, cs AS c_service, cw AS c_power, ce AS c_error FROM components""",
         "sql_function_score": score_all,
-        "tier_distribution": f"""{_S} SELECT risk_tier, count(*) AS reading_count,
-            count(DISTINCT machine_id) AS machine_count, {_AVG.format(s='risk_score')} AS avg_score,
-            CAST(min(risk_score) AS DOUBLE) AS min_score, CAST(max(risk_score) AS DOUBLE) AS max_score
-            FROM scored GROUP BY risk_tier""",
+        "sql_table_function_score": score_all,
+        "tier_distribution_state": tiers,
+        "tier_distribution": tiers,
         "latest_risk": latest_risk,
         "latest_incremental": latest_risk,
         "worst_recent_risk": f"""{_S} SELECT s.machine_id, r.plant_id, r.machine_type, r.location_zone,
@@ -522,5 +525,21 @@ def oracle_sql() -> dict[str, str]:
         "stream_score": score_all,
         "stream_dedup": f"{_B} SELECT {_TELEMETRY_COLUMNS} FROM telemetry",
         "stream_hourly_rollup": hourly,
+        "stream_closing_rollup": f"""{_B}, arrived AS (
+              SELECT machine_id, date_trunc('hour', reading_ts) AS hour_start, reading_ts,
+                CASE WHEN reading_id % 10 < 4 THEN 1 WHEN reading_id % 10 < 6 THEN 2 WHEN reading_id % 10 < 9 THEN 3 ELSE 4 END AS slice
+              FROM telemetry),
+            upto AS (SELECT s, (SELECT max(reading_ts) FROM arrived WHERE slice <= s) - INTERVAL 2 HOURS AS bound FROM range(5) t(s)),
+            states AS (SELECT machine_id, hour_start,
+                CASE WHEN bool_or(hour_start + INTERVAL 1 HOUR <= earlier.bound) THEN 'corrected'
+                  WHEN any_value(hour_start + INTERVAL 1 HOUR <= last.bound) THEN 'closed' ELSE 'open' END AS state
+              FROM arrived LEFT JOIN upto earlier ON earlier.s = slice - 1 CROSS JOIN (SELECT * FROM upto WHERE s = 4) last
+              GROUP BY machine_id, hour_start),
+            hourly AS ({hourly[len(_B):]})
+            SELECT * FROM hourly JOIN states USING (machine_id, hour_start)""",
+        "stream_rolling_24h": f"{_B} SELECT reading_id, machine_id, reading_ts, {rolling} FROM telemetry",
+        "stream_dead_letters": f"""{_B} SELECT CASE reading_id % 50 WHEN 0 THEN 'value:json' WHEN 3 THEN 'value:json'
+              WHEN 1 THEN 'temperature_c:type' WHEN 2 THEN 'machine_id:required' ELSE '' END AS faults, count(*) AS records
+            FROM telemetry GROUP BY faults""",
         "anomaly_scores": _anomaly(),
     }
