@@ -14,10 +14,12 @@ which none loses a link and none sees all pairs:
    whose greatest possible overlap is too small and pairs that are connected already; the
    leaf pairs that remain, at most one less than there are sets, are the candidates.
 3. Verification. Only the texts of candidates are fetched, once a set, and compared exactly.
-   Groups where a candidate failed go through their trees again, with what is connected by
-   then, and propose more pairs each time, until they have nothing left to propose.
+   Where a candidate fails, others of its group may still link. So the sets that candidates
+   of such groups connect, and that links do not connect, go through trees once more, as
+   families that have their texts with them: there a leaf pair is compared at once.
 
-A group of more than BLOCK sets is cut into blocks, which meet pairwise, as signatures.
+A group of more than BLOCK sets is cut into blocks, which meet pairwise, as signatures. A
+family is cut by sets and elements; its largest component does not meet itself.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ BLOCK = 2048
 FANOUT = 8
 # Bits of a signature for each element of its set, at least.
 WIDTH = 4
+# Elements of the sets of one block of a family, at most (a single set may have more).
+ELEMENTS = 2_000_000
 # Text that one bucket of part keys comes from, and buckets at least.
 BUCKET_BYTES, BUCKETS = 32_000_000, 64
 CACHED_WORDS = 500_000
@@ -295,20 +299,17 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 
 def propose(
-    sizes: list[int], signatures: list[bytes], component: list[int], num: int, den: int,
-    tested: set[tuple[int, int]] = frozenset(), each: int = 0,
-) -> list[tuple[int, int]]:
-    """Pairs of leaves (positions, smaller first) that may be linked and are not known to be connected.
-
-    With ``each`` 0 a proposed pair counts as connected, so at most one less than leaves are
-    proposed. Otherwise up to ``each`` pairs are proposed for any two components, and
-    ``tested`` pairs are left out.
+    sizes: list[int], signatures: list[bytes], component: list[int], num: int, den: int, sets: list[np.ndarray] | None = None
+) -> list[tuple[int, int]]:
+    """Pairs of leaves (positions) that may be linked, none of which is known to be connected otherwise.
+
+    A pair counts as connected once it is proposed, so at most one less than leaves are. Where
+    the sets are given, only pairs that are linked are proposed.
     """
     order = sorted(range(len(sizes)), key=lambda k: (sizes[k], signatures[k][:8]))
     tree = SignatureTree(np.array([sizes[k] for k in order]), [signatures[k][8:] for k in order])
     names: dict[int, int] = {}
     parent = [names.setdefault(component[k], i) for i, k in enumerate(order)]
-    spent: dict[tuple[int, int], int] = {}
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -322,13 +323,8 @@ def propose(
         level, i, j = stack.pop()
         if level == 0:
             a, b = find(i), find(j)
-            pair = min(order[i], order[j]), max(order[i], order[j])
-            between = min(a, b), max(a, b)
-            if a == b or pair in tested or (each and spent.get(between, 0) >= each):
-                continue
-            out.append(pair)
-            spent[between] = spent.get(between, 0) + 1
-            if not each:
+            if a != b and (sets is None or linked(sets[order[i]], sets[order[j]], num, den)):
+                out.append((order[i], order[j]))
                 parent[max(a, b)] = min(a, b)
             continue
         root = find(tree.leaves(level, i)[0])
@@ -345,22 +341,14 @@ def propose(
     return out
 
 
-def _candidates(num: int, den: int, each: int):
+def _candidates(num: int, den: int):
     schema = pa.schema([("gid", pa.int64()), ("shard", pa.int64()), ("u", pa.int64()), ("v", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         for (gid, shard), rows in sorted_groups(batches, ["gid", "shard"]):
-            members = rows.filter(rows["other"].is_null())
-            sids = members["sid"].to_pylist()
-            place = {sid: k for k, sid in enumerate(sids)}
-            known = rows.filter(rows["other"].is_valid())
-            tested = {
-                (min(place[u], place[v]), max(place[u], place[v]))
-                for u, v in zip(known["sid"].to_pylist(), known["other"].to_pylist(), strict=True)
-            }
-            parts = members["n"].to_pylist(), members["sig"].to_pylist(), members["component"].to_pylist()
-            for a, b in propose(*parts, num, den, tested, each):
+            sids = rows["sid"].to_pylist()
+            for a, b in propose(rows["n"].to_pylist(), rows["sig"].to_pylist(), sids, num, den):
                 out.append((gid, shard, min(sids[a], sids[b]), max(sids[a], sids[b])))
             if len(out) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], schema=schema)
@@ -371,6 +359,20 @@ def _candidates(num: int, den: int, each: int):
     return work
 
 
+def _family_links(n: int, num: int, den: int):
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in sorted_groups(batches, ["family", "shard"]):
+            sids, component = rows["sid"].to_pylist(), rows["component"].to_pylist()
+            sets = [shingles(t.as_py(), n) for t in rows["text"]]
+            pairs = propose([len(s) for s in sets], [signature(s) for s in sets], component, num, den, sets)
+            u, v = zip(*((sids[a], sids[b]) for a, b in pairs), strict=True) if pairs else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=schema)
+
+    return work
+
+
 def _pick(n: int):
     """The texts of the sets that are asked for; rows of one id may hold others."""
     schema = pa.schema([("sid", pa.int64()), ("text", pa.binary())])
@@ -448,28 +450,63 @@ def _links(
         F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("doc_id").alias("rep")
     )
     leaves = written(leaves, "ngram-leaves")
-    pending, tested, links, turn = _sharded(groups, block), None, None, 0
-    while True:
-        members = pending.join(leaves.drop("rep"), "sid").select("gid", "shard", "sid", F.lit(None).cast("bigint").alias("other"), "n", "sig")
-        if links is None:
-            members = members.withColumn("component", F.col("sid"))
-        else:
-            joined = components(links).withColumnRenamed("node", "sid")
-            members = members.join(joined, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-            members = members.unionByName(tested.withColumnsRenamed({"u": "sid", "v": "other"}), allowMissingColumns=True)
-        dealt = members.repartition("gid", "shard").sortWithinPartitions("gid", "shard")
-        found = arrow_map(dealt, _candidates(num, den, 8**turn if turn else 0), "gid bigint, shard bigint, u bigint, v bigint")
-        found = written(found, "ngram-candidates")
-        judged = _judged(narrow, leaves, found.select("u", "v").distinct(), n, num, den)
-        good = judged.filter("ok").select("u", "v")
-        links = good if links is None else links.unionByName(good)
-        failed = written(found.join(judged.filter("NOT ok").select("u", "v"), ["u", "v"]), "ngram-failed")
-        if not failed.limit(1).count():
-            return links
-        again = failed.select("gid", "shard").distinct()
-        tested = failed if tested is None else tested.join(again, ["gid", "shard"], "left_semi").unionByName(failed)
-        pending = written(pending.join(again, ["gid", "shard"], "left_semi"), "ngram-pending")
-        turn += 1
+    members = _sharded(groups, block).join(leaves.select("sid", "n", "sig"), "sid")
+    dealt = members.repartition("gid", "shard").sortWithinPartitions("gid", "shard")
+    found = arrow_map(dealt, _candidates(num, den), "gid bigint, shard bigint, u bigint, v bigint")
+    found = written(found, "ngram-candidates")
+    pairs = written(found.select("u", "v").distinct(), "ngram-pairs")
+    texts = _texts(narrow, leaves, pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), n)
+    both = pairs.join(texts.withColumnsRenamed({"sid": "u", "text": "a"}), "u").join(
+        texts.withColumnsRenamed({"sid": "v", "text": "b"}), "v"
+    )
+    judged = arrow_map(both.select("u", "v", "a", "b"), _compare(n, num, den), "u bigint, v bigint, ok boolean")
+    judged = written(judged, "ngram-judged")
+    links, failed = judged.filter("ok").select("u", "v"), judged.filter("NOT ok").select("u", "v")
+    unsettled = written(found.join(failed, ["u", "v"]).select("gid", "shard").distinct(), "ngram-unsettled")
+    if not unsettled.limit(1).count():
+        return links
+    edges = found.join(unsettled, ["gid", "shard"], "left_semi").select("u", "v").distinct()
+    placed = _families(components(edges), components(links), leaves, block)
+    texts = _texts(narrow, leaves, placed.select("sid").distinct(), n)
+    dealt = placed.join(texts, "sid").repartition("family", "shard").sortWithinPartitions("family", "shard")
+    more = written(arrow_map(dealt, _family_links(n, num, den), "u bigint, v bigint"), "ngram-more")
+    return links.unionByName(more)
+
+
+def _families(families: DataFrame, joined: DataFrame, leaves: DataFrame, block: int) -> DataFrame:
+    """(family, shard, sid, component): every two sets of a family that are not connected share a shard.
+
+    Sets outside of a family's largest component are cut into chunks, that component into
+    blocks; chunks meet chunks and blocks, blocks do not meet.
+    """
+    rows = families.select(F.col("node").alias("sid"), F.col("component").alias("family")).join(leaves.select("sid", "n"), "sid")
+    rows = rows.join(joined.withColumnRenamed("node", "sid"), "sid", "left")
+    rows = written(rows.withColumn("component", F.coalesce("component", "sid")), "ngram-families")
+    sizes = rows.groupBy("family", "component").agg(F.count("*").alias("m"), F.sum("n").alias("elements"))
+    core = sizes.groupBy("family").agg(
+        F.max(F.struct("m", "component", "elements")).alias("core"), F.sum("m").alias("m"), F.sum("elements").alias("elements")
+    )
+
+    def parts(m, elements):
+        return F.greatest(F.ceil(m / block), F.ceil(elements / ELEMENTS)).cast("int")
+
+    core = core.filter("m > core.m").select(
+        "family", F.col("core.component").alias("core"),
+        parts(F.col("core.m"), F.col("core.elements")).alias("blocks"),
+        parts(F.col("m") - F.col("core.m"), F.col("elements") - F.col("core.elements")).alias("chunks"),
+    )
+    rows = join_ids(rows, written(core, "ngram-core"), "family", "inner")
+    draw = F.xxhash64("sid", F.lit(1))
+    inside = rows.filter("component = core").withColumn("own", F.pmod(draw, "blocks").cast("int"))
+    outside = rows.filter("component <> core").withColumn("own", F.pmod(draw, "chunks").cast("int"))
+    chunk = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+    block_no = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    keys = ["family", "sid", "component"]
+    with_block = outside.select(*keys, "own", block_no).select(*keys, F.concat_ws("-", F.lit("b"), "own", "other").alias("shard"))
+    of_block = inside.select(*keys, "own", chunk).select(*keys, F.concat_ws("-", F.lit("b"), "other", "own").alias("shard"))
+    pair = F.concat_ws("-", F.lit("c"), F.least("own", "other"), F.greatest("own", "other")).alias("shard")
+    with_chunk = outside.select(*keys, "own", chunk).select(*keys, pair)
+    return written(with_block.unionByName(of_block).unionByName(with_chunk), "ngram-shards")
 
 
 def _sharded(groups: DataFrame, block: int) -> DataFrame:
@@ -485,18 +522,12 @@ def _sharded(groups: DataFrame, block: int) -> DataFrame:
     return small.unionByName(met.select("gid", "sid", "shard"))
 
 
-def _judged(narrow: DataFrame, leaves: DataFrame, pairs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """(u, v, ok): whether the sets of a pair are linked, from their whole texts."""
-    pairs = written(pairs, "ngram-pairs")
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-    needed = leaves.join(needed, "sid", "left_semi").groupBy("rep").agg(F.collect_set("sid").alias("asked"))
-    asked = written(needed.withColumnRenamed("rep", "doc_id"), "ngram-needed")
+def _texts(narrow: DataFrame, leaves: DataFrame, sids: DataFrame, n: int) -> DataFrame:
+    """(sid, text): the whole text of each of the sets asked for, as a stored table."""
+    asked = leaves.join(sids, "sid", "left_semi").groupBy(F.col("rep").alias("doc_id")).agg(F.collect_set("sid").alias("asked"))
+    asked = written(asked, "ngram-needed")
     picked = arrow_map(join_ids(narrow, asked, "doc_id", "inner").select("text", "asked"), _pick(n), "sid bigint, text binary")
-    texts = written(picked.dropDuplicates(["sid"]), "ngram-texts")
-    both = pairs.join(texts.withColumnsRenamed({"sid": "u", "text": "a"}), "u").join(
-        texts.withColumnsRenamed({"sid": "v", "text": "b"}), "v"
-    )
-    return written(arrow_map(both.select("u", "v", "a", "b"), _compare(n, num, den), "u bigint, v bigint, ok boolean"), "ngram-judged")
+    return written(picked.dropDuplicates(["sid"]), "ngram-texts")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **method) -> DataFrame:

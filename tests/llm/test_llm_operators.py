@@ -243,18 +243,14 @@ def test_parts_never_miss_a_link(sets):
     near = [(i, j) for i in range(len(hashed)) for j in range(i) if ngram_join.linked(hashed[i], hashed[j], 80, 100)]
     assert all(keys[i] & keys[j] for i, j in near)
     parts = [len(s) for s in hashed], [ngram_join.signature(s) for s in hashed]
-    names_now, tested, found, turn = list(range(len(hashed))), set(), [], 0
-    while True:
-        pairs = ngram_join.propose(*parts, names_now, 80, 100, tested, 8**turn if turn else 0)
-        assert turn or len(pairs) < len(hashed)
-        good = [p for p in pairs if ngram_join.linked(hashed[p[0]], hashed[p[1]], 80, 100)]
-        found += good
-        if len(good) == len(pairs):
-            break
-        tested |= set(pairs) - set(good)
-        for i, j in good:
-            names_now = [names_now[j] if x == names_now[i] else x for x in names_now]
-        turn += 1
+    proposed = ngram_join.propose(*parts, list(range(len(hashed))), 80, 100)
+    assert len(proposed) < len(hashed)
+    # All links lie inside of what proposals connect; with the sets at hand, links are proposed.
+    whole = list(range(len(hashed)))
+    for i, j in proposed:
+        whole = [whole[j] if x == whole[i] else x for x in whole]
+    assert all(whole[i] == whole[j] for i, j in near)
+    found = ngram_join.propose(*parts, list(range(len(hashed))), 80, 100, hashed)
 
     def names(links):
         name = list(range(len(hashed)))
