@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property, lru_cache
 
@@ -11,11 +12,11 @@ from pyspark.sql import types as T
 
 from millwatch.functions.columns import hours, newest_time, upper_names
 from millwatch.functions.rule import COMPONENTS, RULE_ARGUMENTS, stored_score
-from millwatch.operators import anomaly, baseline, evaluation, forest, history, quality
-from millwatch.plans import features, scoring, serving, summary, tier_state, views
+from millwatch.operators import anomaly, baseline, changes, evaluation, forest, history, quality
+from millwatch.plans import features, rules, scoring, serving, summary, tier_state, views
 from millwatch.schema import REGISTRY, TELEMETRY
 from millwatch.session import scratch_path
-from millwatch.sources import driver_tables, tables, text
+from millwatch.sources import driver_tables, tables, text, upkeep
 from millwatch.streaming import closing, incremental, ingest, rolling
 from oracle_queries import MACHINE
 from oracle_queries import oracle_sql as _oracle_sql
@@ -286,6 +287,38 @@ def _tier_state(fleet: Fleet) -> DataFrame:
     return tier_state.tier_distribution(fleet.spark, f"{base}/state")
 
 
+def _rule_versions(fleet: Fleet) -> DataFrame:
+    """Two versions of the rule as stored rows; the second one holds from the middle of the month."""
+    path = scratch_path(fleet.spark, "rule-rows")
+    late = [("critical", 0.7), ("high", 0.5), ("error_premium", 0.35), ("vibration", 0.4), ("temperature", 0.15)]
+    rows = [("RULE_V1", dt.datetime(2000, 1, 1), None, "medium", 0.35)]
+    rows += [("RULE_V2", dt.datetime(2024, 1, 16), None, name, value) for name, value in late]
+    fleet.spark.createDataFrame(rows, rules.RULE_ROW).write.parquet(path)
+    return rules.score_by_rules(fleet.telemetry, fleet.registry, fleet.spark.read.parquet(path))
+
+
+def _baseline_increment(fleet: Fleet) -> DataFrame:
+    """Baselines from states per machine and date: all dates but the last two, then these one by one."""
+    base = scratch_path(fleet.spark, "baseline-state")
+    tables.write_fact(fleet.telemetry, f"{base}/telemetry")
+    stored = tables.read_fact(fleet.spark, f"{base}/telemetry")
+    dates = sorted(r[0] for r in stored.select(tables.DATE).distinct().collect())
+    for some in (set(dates[:-2]), set(dates[-2:-1]), set(dates[-1:])):
+        baseline.refresh_baseline_states(stored, f"{base}/state", some)
+    return baseline.stored_baselines(fleet.spark, f"{base}/state")
+
+
+def _retained_table(fleet: Fleet) -> DataFrame:
+    """Telemetry appended in parts, compacted, and rid of dates older than two weeks."""
+    path = scratch_path(fleet.spark, "retained")
+    for part in range(4):
+        tables.append_new(fleet.telemetry.filter(F.col("reading_id") % 4 == part).repartition(4), path)
+    newest = fleet.telemetry.agg(F.max("reading_ts")).first()[0]
+    upkeep.compact_dates(fleet.spark, path, least_files=2)
+    tables.drop_old_dates(fleet.spark, path, newest, days=14)
+    return _telemetry_columns(tables.read_fact(fleet.spark, path).select(*fleet.telemetry.columns))
+
+
 def _table_function(fleet: Fleet) -> DataFrame:
     rows = features.features(fleet.telemetry, fleet.registry, rolling=False)
     rows.createOrReplaceTempView("feature_rows")
@@ -462,6 +495,7 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
         "machine_id", "reading_ts", "temperature_c", "power_kw", "operating_mode"
     ),
     "dedup_readings": lambda f: _telemetry_columns(history.drop_repeats(f.pings)),
+    "baseline_increment": _baseline_increment,
     "baseline_estimate": lambda f: baseline.estimate_baselines(f.telemetry),
     "gap_fill": lambda f: history.fill_gaps(
         f.telemetry.select("reading_id", "machine_id", "reading_ts", *_GAP_COLUMNS),
@@ -479,7 +513,10 @@ QUERIES: dict[str, Callable[[Fleet], DataFrame]] = {
     "retained_readings": lambda f: _telemetry_columns(
         history.retained(f.telemetry, newest_time(f.telemetry), days=14)
     ),
+    "retained_table": _retained_table,
     "alert_quality": _alert_quality,
+    "change_points": lambda f: changes.change_points(f.scored, order=READING_ORDER),
+    "rule_versions": _rule_versions,
     "incremental_score": _incremental_score,
     "stream_score": lambda f: f.drained(
         scoring.score_readings(f.stream(), f.registry), "stream-score"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwatch.operators.joins import keys_missing, rows_with_keys
@@ -87,10 +90,11 @@ def split_valid(
         for rule, breach in _breaches(c).items()
     ] + [F.when(F.col(c.name).isNull(), F.lit(f"{c.name}:required")) for c in present if c.required]
     if unique:
-        copies = F.count("*").over(Window.partitionBy(*contract.key))
-        present_key = F.coalesce(*[F.col(k) for k in contract.key]).isNotNull()
-        raw = raw.withColumn("_copies", copies)
-        faults.append(F.when((F.col("_copies") > 1) & present_key, F.lit(f"{contract.key[0]}:repeated")))
+        # Counted first, so that neither rows without key nor copies of a key meet in one task.
+        whole = reduce(and_, [F.col(k).isNotNull() for k in contract.key])
+        copies = raw.filter(whole).groupBy(*contract.key).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+        raw = raw.join(copies, list(contract.key), "left").select(*raw.columns, "_copies")
+        faults.append(F.when(F.col("_copies") > 1, F.lit(f"{contract.key[0]}:repeated")))
     checked = raw.withColumn("faults", F.concat_ws(",", *faults)).drop("_copies")
     typed = checked.filter("faults = ''").select(
         *[F.expr(f"try_cast({c.name} AS {_type_name(c)})").alias(c.name) for c in present]

@@ -330,6 +330,17 @@ def oracle_sql() -> dict[str, str]:
         CAST(max(vibration_mm_s) AS DOUBLE) AS max_vibration_mm_s,
         count(*) FILTER (trim(error_code) <> '') AS errors
         FROM telemetry GROUP BY machine_id, hour_start"""
+    baselines = f"""{_B} SELECT machine_id, count(*) AS readings, {_baseline('temperature_c', 100, 'temp')},
+            {_baseline('vibration_mm_s', 1000, 'vibration')}, {_baseline('pressure_bar', 100, 'pressure')},
+            {_baseline('power_kw', 100, 'power')}
+            FROM telemetry WHERE operating_mode = 'RUNNING' AND nullif(trim(error_code), '') IS NULL
+            GROUP BY machine_id"""
+    later = SCORED
+    for old, new in (("0.8e0 THEN 'CRITICAL'", "0.7e0 THEN 'CRITICAL'"), ("0.6e0 THEN 'HIGH'", "0.5e0 THEN 'HIGH'"),
+                     ("cv * 0.3e0 + ct * 0.25e0", "cv * 0.4e0 + ct * 0.15e0"), ("ce * 0.25e0", "ce * 0.35e0"),
+                     ("'RULE_V1'", "'RULE_V2'")):
+        later = later.replace(old, new)
+    change = "TIMESTAMP '2024-01-16 00:00:00'"
     tiers = f"""{_S} SELECT risk_tier, count(*) AS reading_count,
             count(DISTINCT machine_id) AS machine_count, {_AVG.format(s='risk_score')} AS avg_score,
             CAST(min(risk_score) AS DOUBLE) AS min_score, CAST(max(risk_score) AS DOUBLE) AS max_score
@@ -442,11 +453,8 @@ def oracle_sql() -> dict[str, str]:
             FROM telemetry WHERE operating_mode IS NULL OR operating_mode <> 'STARTUP'""",
         "dedup_readings": f"""{_with(BASE, _PINGS)} SELECT {_TELEMETRY_COLUMNS}, load_ts FROM pings
             QUALIFY row_number() OVER (PARTITION BY machine_id, reading_ts ORDER BY load_ts) = 1""",
-        "baseline_estimate": f"""{_B} SELECT machine_id, count(*) AS readings, {_baseline('temperature_c', 100, 'temp')},
-            {_baseline('vibration_mm_s', 1000, 'vibration')}, {_baseline('pressure_bar', 100, 'pressure')},
-            {_baseline('power_kw', 100, 'power')}
-            FROM telemetry WHERE operating_mode = 'RUNNING' AND nullif(trim(error_code), '') IS NULL
-            GROUP BY machine_id""",
+        "baseline_estimate": baselines,
+        "baseline_increment": baselines,
         "gap_fill": f"""{_B} SELECT reading_id, machine_id, reading_ts,
             CAST({_filled('temperature_c')} AS DOUBLE) AS temperature_c,
             CAST({_filled('vibration_mm_s')} AS DOUBLE) AS vibration_mm_s,
@@ -509,6 +517,21 @@ def oracle_sql() -> dict[str, str]:
         "hourly_rollup": hourly,
         "retained_readings": f"""{_B} SELECT {_TELEMETRY_COLUMNS} FROM telemetry
             WHERE reading_ts >= (SELECT max(reading_ts) FROM telemetry) - INTERVAL 14 DAYS""",
+        "retained_table": f"""{_B} SELECT {_TELEMETRY_COLUMNS} FROM telemetry
+            WHERE CAST(reading_ts AS DATE) >= (SELECT CAST(max(reading_ts) AS DATE) FROM telemetry) - 14""",
+        "rule_versions": f"""({_S} SELECT {_SCORE_COLUMNS} FROM scored WHERE reading_ts < {change})
+            UNION ALL ({_with(BASE, FEATURES, later)} SELECT {_SCORE_COLUMNS} FROM scored WHERE reading_ts >= {change})""",
+        "change_points": f"""{_S} , points AS (
+              SELECT machine_id, reading_ts, reading_id, CAST(risk_score * 10000 AS BIGINT) AS v FROM scored),
+            steps AS (
+              SELECT machine_id, reading_ts, reading_id, direction, sign * (v - mean) - 200 AS x
+              FROM points JOIN (SELECT machine_id, sum(v) // count(v) AS mean FROM points GROUP BY machine_id) USING (machine_id)
+              CROSS JOIN (VALUES ('WORSE', 1), ('BETTER', -1)) w(direction, sign)),
+            run AS (SELECT *, sum(x) OVER k AS p FROM steps WINDOW k AS (PARTITION BY machine_id, direction ORDER BY reading_ts, reading_id)),
+            sums AS (SELECT *, p - least(0, min(p) OVER k) AS after FROM run
+              WINDOW k AS (PARTITION BY machine_id, direction ORDER BY reading_ts, reading_id))
+            SELECT machine_id, reading_ts, reading_id, direction, CAST(after AS DOUBLE) / 10000 AS drift FROM sums
+            QUALIFY after >= 5000 AND lag(after, 1, 0) OVER (PARTITION BY machine_id, direction ORDER BY reading_ts, reading_id) < 5000""",
         "alert_quality": f"""{_S} , alerts AS (
               SELECT DISTINCT machine_id, reading_ts AS at FROM scored WHERE risk_tier IN ('CRITICAL', 'HIGH')),
             failures AS (SELECT DISTINCT machine_id, reading_ts AS at FROM telemetry WHERE operating_mode = 'MAINTENANCE'),
