@@ -30,7 +30,7 @@ EPOCHS, RATE, BATCH = 6, 20.0, 32
 # Share of rightly named calibration texts that may fall below the rejection threshold.
 REJECTED_SHARE = 0.0005
 MOST_CONFIDENT_THRESHOLD = 0.5
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 100_000
 UNDETERMINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
