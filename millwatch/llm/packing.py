@@ -29,7 +29,7 @@ OPEN_WINDOWS = 16
 END_ID = 2
 # Tasks whose leftovers one task merges.
 MERGED_TASKS = 64
-CACHED_WORDS = 1_500_000
+CACHED_WORDS = 300_000
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 # First sequence id of the merged leftovers; ids below it hold the task in their upper bits.
 _MERGED = 1 << 62
