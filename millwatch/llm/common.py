@@ -26,6 +26,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 

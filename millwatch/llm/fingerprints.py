@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import whole_text, written
+from millwatch.llm.common import once, whole_text, written
 
 DENSE, DENSE_BITS = 4, 32
 SPARSE, SPARSE_BITS = 1 << 24, 32
@@ -25,20 +25,8 @@ CELLS, BUCKET_DOCS = 1 << 16, 1_000
 
 
 def paragraphs(text: Column) -> Column:
-    """Non-empty lines, long ones in pieces of LINE_CHARS characters."""
-
-    def pieces(line: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(line), F.lit(LINE_CHARS))
-        cut = F.transform(starts, lambda at: F.substr(line, at, F.lit(LINE_CHARS)))
-        return F.when(F.length(line) > LINE_CHARS, cut).otherwise(F.array(line))
-
-    lines = F.filter(F.split(text, "\n"), lambda p: p != "")
-    return F.flatten(F.transform(lines, pieces))
-
-
-def _with(value: Column, body) -> Column:
-    """``body`` of a value that is evaluated once, however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """Non-empty lines, long ones in pieces of LINE_CHARS characters; one pass over the text."""
+    return F.regexp_extract_all(text, F.lit(f"[^\\n]{{1,{LINE_CHARS}}}"), F.lit(0))
 
 
 def _entries(units: Column) -> Column:
@@ -59,11 +47,11 @@ def _entries(units: Column) -> Column:
         return F.transform(F.array_distinct(F.transform(mine, lambda u: u["lane"])), summed)
 
     def dealt(parts: Column) -> Column:
-        one = lambda i: _with(F.filter(units, lambda u: F.pmod(u["lane"], parts) == i), sums)
+        one = lambda i: once(F.filter(units, lambda u: F.pmod(u["lane"], parts) == i), sums)
         return F.flatten(F.transform(F.sequence(F.lit(0), parts - 1), one))
 
     parts = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(units))).cast("int"))
-    return F.array_sort(F.filter(_with(parts, dealt), lambda e: e.bitwiseAND(low) != 0))
+    return F.array_sort(F.filter(once(parts, dealt), lambda e: e.bitwiseAND(low) != 0))
 
 
 def _pairs(entries: Column, sign: int) -> Column:
@@ -89,9 +77,9 @@ def vector_of(text: Column) -> Column:
 
     def lanes(units: Column) -> Column:
         dense = F.array(*[dense_lane(units, k) for k in range(DENSE)])
-        return F.concat(dense, _with(F.transform(units, pair), _entries))
+        return F.concat(dense, once(F.transform(units, pair), _entries))
 
-    return _with(F.transform(paragraphs(text), lambda p: F.xxhash64(p)), lanes)
+    return once(F.transform(paragraphs(text), lambda p: F.xxhash64(p)), lanes)
 
 
 def _dense(vector: Column) -> Column:
@@ -110,9 +98,9 @@ def inserted(vector: Column, paragraph: Column, sign: int = 1) -> Column:
         both = F.arrays_zip(_dense(vector).alias("a"), _dense(change).alias("b"))
         dense = F.transform(both, lambda p: (p["a"] + sign * p["b"]).bitwiseAND(mask))
         sparse = F.concat(_pairs(_sparse(vector), 1), _pairs(_sparse(change), sign))
-        return F.concat(dense, _with(sparse, _entries))
+        return F.concat(dense, once(sparse, _entries))
 
-    return _with(vector_of(paragraph), added)
+    return once(vector_of(paragraph), added)
 
 
 def as_hex(vector: Column) -> Column:
@@ -135,8 +123,8 @@ def likeness(a: Column, b: Column) -> Column:
         size = lambda n: F.when(n < half, n).otherwise((low + 1) - n)
         return F.aggregate(entries, zero, lambda acc, e: acc + size(e.bitwiseAND(low)))
 
-    apart = count(_with(F.concat(_pairs(_sparse(a), 1), _pairs(_sparse(b), -1)), _entries))
-    share = _with(
+    apart = count(once(F.concat(_pairs(_sparse(a), 1), _pairs(_sparse(b), -1)), _entries))
+    share = once(
         F.struct((count(_sparse(a)) + count(_sparse(b))).alias("all"), apart.alias("apart")),
         lambda n: (n["all"] - n["apart"]) / (n["all"] + n["apart"]),
     )
