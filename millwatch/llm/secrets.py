@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import whole_text
+from millwatch.llm.common import once, whole_text
 
 ASSIGN = (
     r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -29,6 +29,8 @@ MIN_VALUE = 12
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
+# Characters of the blocks that long candidates are cut into.
+BLOCK_CHARS = 256
 # Character classes, tested in this order, with the least entropy in bits of a 20-character
 # window. Every candidate has one; words of a language and names made of them reach some 3.9
 # bits, so what has no digit next to a letter needs more.
@@ -67,7 +69,9 @@ _PLOGP = [round(c * math.log2(c) * _SCALE) if c else 0 for c in range(WINDOW + 1
 def spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     """Array of (start, end, rank, value) in code points, of the leftmost matches.
 
-    Matches and the gaps between them alternate, so running lengths give the places.
+    Matches and the gaps between them alternate, so running lengths give the places. They
+    are summed in blocks of as many pairs as the square root of their number, since an array
+    is copied when something is appended to it.
     """
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:int,end:int,rank:int,value:string>>")
@@ -78,9 +82,26 @@ def spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), F.lit(rank).alias("rank"), pair["hit"].alias("value"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
+    def placed(pairs: Column) -> Column:
+        return once(F.ceil(F.sqrt(F.size(pairs))).cast("int"), lambda n: in_blocks(pairs, n))
+
+    def in_blocks(pairs: Column, n: Column) -> Column:
+        zero = F.lit(0)
+        block = lambda i: F.slice(pairs, i * n + 1, n)
+        numbers = F.sequence(zero, F.ceil(F.size(pairs) / n).cast("int") - 1)
+        length = lambda i: F.aggregate(
+            block(i), zero, lambda acc, p: acc + F.length(p["gap"]) + F.length(p["hit"])
+        )
+
+        def laid(lengths: Column) -> Column:
+            before = lambda i: F.aggregate(F.slice(lengths, 1, i), zero, lambda acc, x: acc + x)
+            start = lambda i: F.struct(before(i).alias("at"), empty.alias("out"))
+            return F.flatten(F.transform(numbers, lambda i: F.aggregate(block(i), start(i), step, lambda s: s["out"])))
+
+        return once(F.transform(numbers, length), laid)
+
     pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda p: p["hit"].isNotNull())
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    found = F.aggregate(pairs, zero, step, lambda s: s["out"])
+    found = once(pairs, placed)
     if keep is not None:
         found = F.filter(found, lambda s: keep(s["value"]))
     # The first look is cheap and most texts have no match at all.
@@ -88,7 +109,21 @@ def spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
 
 
 def max_entropy(value: Column) -> Column:
-    """Highest entropy in millionths of a bit of any WINDOW characters of ``value``."""
+    """Highest entropy in millionths of a bit of any WINDOW characters of ``value``, which has as many.
+
+    The value is cut into blocks that overlap by a window less one character: every window lies
+    in one, and taking a character out of a block costs the same anywhere in the value.
+    """
+
+    def highest(blocks: Column) -> Column:
+        after = lambda i: F.left(F.coalesce(F.get(blocks, i + 1), F.lit("")), F.lit(WINDOW - 1))
+        pieces = F.transform(blocks, lambda block, i: F.concat(block, after(i)))
+        return F.array_max(F.transform(F.filter(pieces, lambda p: F.length(p) >= WINDOW), _block_entropy))
+
+    return once(F.regexp_extract_all(value, F.lit(f"(?s).{{1,{BLOCK_CHARS}}}"), F.lit(0)), highest)
+
+
+def _block_entropy(value: Column) -> Column:
     table = F.array(*[F.lit(v) for v in _PLOGP])
     log_window = round(math.log2(WINDOW) * _SCALE)
 
