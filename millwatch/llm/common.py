@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,14 +32,39 @@ def once(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def valid_text(column: str = "text") -> Column:
+    """The text with U+FFFD in place of bytes that are not UTF-8; null stays null."""
+    return F.make_valid_utf8(F.col(quoted(column)).cast("string"))
+
+
 def crc_of_id(column: str = "doc_id") -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+# Bytes of the batches that go to Python: Spark, the worker and what it returns hold some of them each.
+BATCH_BYTES = "8m"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While this lasts, batches for Python are bounded in bytes, since texts may be very long."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table in the shared folder: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -11,6 +11,7 @@ that splitters stay small however long the texts are.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,9 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millwatch.llm.common import SPACES, arrow_map, whole_text, written
+from millwatch.llm.common import SPACES, arrow_map, quoted, same_columns, unused, whole_text, written
 
 PREFIX_CHARS = 64
+_SPACES = re.compile(SPACES.encode())
 _NORM, _SHA, _PREFIX, _ID = "_mw_norm", "_mw_sha", "_mw_prefix", "_mw_id"
 
 
@@ -31,10 +33,9 @@ def normalised(text_col: str = "text"):
     return F.regexp_replace(whole_text(text_col), SPACES, " ")
 
 
-def content_sorted(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+def content_sorted(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows in content order over all partitions; smallest id first, null ids last."""
     rows = docs.select(
-        *[F.col(c) for c in carry],
         F.col(id_col).cast("bigint").alias(_ID),
         normalised(text_col).alias(_NORM),
     )
@@ -116,7 +117,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     not read.
     """
     runs = arrow_map(
-        content_sorted(docs, id_col, text_col, []),
+        content_sorted(docs, id_col, text_col),
         _decide,
         "doc_id bigint, text_sha256 string, part int, keep_id bigint, group_size bigint, "
         "head boolean, edge boolean",
@@ -132,10 +133,21 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def _heads(columns: list[str]):
+def _heads(width: int, text_at: int, names: list[str]):
+    """``width`` columns of documents and the digest come in; a run's place is added.
+
+    Neighbours of equal digests are compared in full, normalised here, so that no task holds a
+    text twice.
+    """
+
+    def plain(text: pa.Scalar) -> bytes:
+        # As bytes, since a text that is carried along need not be valid UTF-8.
+        return _SPACES.sub(b" ", text.cast(pa.binary()).as_py() or b"")
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The first row of each run, with the run's place in the partition."""
-        part, last, runs = TaskContext.get().partitionId(), None, 0
+        part, runs = TaskContext.get().partitionId(), 0
+        last_sha, last_text, last_plain = None, None, None
         held = None  # the newest head: whether it is the last run shows only at the end
 
         def labelled(rows: pa.RecordBatch, first_run: bool, final: bool) -> pa.RecordBatch:
@@ -144,16 +156,23 @@ def _heads(columns: list[str]):
                 edge[0] = True
             if final:
                 edge[-1] = True
-            arrays = [rows.column(c) for c in columns] + [
-                rows.column(_SHA), pa.array([part] * rows.num_rows, pa.int32()), pa.array(edge)
-            ]
-            return pa.RecordBatch.from_arrays(arrays, [*columns, _SHA, "_mw_part", "_mw_edge"])
+            added = [pa.array([part] * rows.num_rows, pa.int32()), pa.array(edge)]
+            return pa.RecordBatch.from_arrays([*rows.columns, *added], names)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            starts = _run_starts(batch, last)
-            last = batch.column(_NORM)[batch.num_rows - 1]
+            starts, texts = [], batch.column(text_at)
+            for sha, text in zip(batch.column(width).to_pylist(), texts, strict=True):
+                same = sha == last_sha
+                if same:
+                    if last_plain is None:
+                        last_plain = plain(last_text)
+                    same = plain(text) == last_plain
+                if not same:
+                    last_plain = None
+                last_sha, last_text = sha, text
+                starts.append(not same)
             rows = batch.filter(pa.array(starts))
             if not rows.num_rows:
                 continue
@@ -170,19 +189,29 @@ def _heads(columns: list[str]):
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each text, all columns kept; same rules as ``exact_groups``."""
-    columns = docs.columns
-    placed = content_sorted(docs, id_col, text_col, columns)
-    schema = T.StructType(
-        [*docs.schema.fields, T.StructField(_SHA, T.StringType()),
-         T.StructField("_mw_part", T.IntegerType()), T.StructField("_mw_edge", T.BooleanType())]
-    )
-    heads = written(arrow_map(placed, _heads(columns), schema), "content-heads")
-    first = (
-        heads.filter("_mw_edge").groupBy(_SHA).agg(F.min("_mw_part").alias("_mw_first"))
+    """``docs`` with one row of each text, all columns kept; same rules as ``exact_groups``.
+
+    Columns may have any name. Texts that are not UTF-8 are equal if their bytes are, white space aside.
+    """
+    norm, sha, prefix, key, part, edge, first = (
+        unused(docs, f"_mw_{name}") for name in ("norm", "sha", "prefix", "id", "part", "edge", "first")
     )
-    return (
-        heads.join(F.broadcast(first), _SHA, "left")
-        .filter(F.coalesce("_mw_first", "_mw_part") == F.col("_mw_part"))
-        .select(*[F.col(c) for c in columns])
+    kept = [F.col(quoted(c)) for c in docs.columns]
+    rows = docs.select(
+        *kept, F.col(quoted(id_col)).cast("bigint").alias(key),
+        normalised(quoted(text_col)).alias(norm),
+    )
+    rows = rows.withColumn(prefix, F.left(norm, F.lit(PREFIX_CHARS))).withColumn(
+        sha, F.sha2(F.col(norm).cast("binary"), 256)
     )
+    order = [F.asc(prefix), F.asc(sha), F.asc_nulls_last(key)]
+    placed = rows.drop(norm).repartitionByRange(*order).sortWithinPartitions(*order)
+    added = [T.StructField(sha, T.StringType()), T.StructField(part, T.IntegerType()), T.StructField(edge, T.BooleanType())]
+    schema = T.StructType([*docs.schema.fields, *added])
+    work = _heads(len(docs.columns), docs.columns.index(text_col), schema.names)
+    # Names of its own, since a batch map cannot look up columns with a dot in their name.
+    sent = placed.select(*kept, sha).toDF(*[f"c{k}" for k in range(len(docs.columns) + 1)])
+    heads = written(arrow_map(sent, work, schema), "content-heads")
+    spanning = heads.filter(F.col(edge)).groupBy(sha).agg(F.min(part).alias(first))
+    alone = heads.join(F.broadcast(spanning), sha, "left").filter(F.coalesce(first, part) == F.col(part))
+    return same_columns(alone, docs)

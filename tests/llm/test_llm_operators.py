@@ -223,6 +223,8 @@ def test_columns_with_odd_names_pass_through(spark):
     data = [(1, "a b c d", 20, "x", "y"), (2, "a b c d", 21, "x", "y"), (3, "else", 22, "x", "y")]
     df = spark.createDataFrame(data, "doc_id bigint, text string, _mw_id int, `a.b` string, `c``d` string")
     assert sorted(rows(ngram_join.drop_near_copies(df))) == [data[0], data[2]]
+    copies = df.withColumnRenamed("a.b", "_mw_sha").withColumnRenamed("c`d", "x.y")
+    assert sorted(rows(exact_dedup.drop_copies(copies))) == [data[0], data[2]]
 
 
 def test_drop_near_copies(spark):
