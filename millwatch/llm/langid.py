@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, crc_of_id
+from millwatch.llm.common import arrow_map, crc_of_id, valid_text
 
 # Expected number of labelled rows of each language that the fit reads, at most.
 ROWS_PER_LANGUAGE = 1500
@@ -198,8 +198,8 @@ def fit_model(
     expected. The sample is the same in every run. Whole texts are used.
     """
     rows = labelled.select(
-        F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"),
-        F.pmod(F.xxhash64(F.col(id_col), F.crc32(F.col(text_col).cast("binary"))), F.lit(1 << 30)).alias("draw"),
+        valid_text(text_col).alias("text"), F.col(label_col).cast("string").alias("label"),
+        F.pmod(F.xxhash64(F.col(id_col), F.crc32(valid_text(text_col).cast("binary"))), F.lit(1 << 30)).alias("draw"),
     ).filter("text IS NOT NULL AND label IS NOT NULL")
     share = F.broadcast(
         rows.groupBy("label").agg(((F.lit(rows_per_language) / F.count("*")) * (1 << 30)).alias("below"))
@@ -233,7 +233,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 ["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), valid_text(text_col).alias("text"))
     return arrow_map(narrow, work, "doc_id bigint, lang_pred string, score double, rejected boolean")
 
 

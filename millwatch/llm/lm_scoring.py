@@ -26,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, crc_of_id, sorted_groups, written
+from millwatch.llm.common import arrow_map, crc_of_id, sorted_groups, valid_text, written
 
 BLOCK_DOCS = 8192
+# Bytes of a block, in expectation; a task gathers some blocks, however large the table is.
+BLOCK_BYTES = 24_000_000
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 WORD_SMOOTHING = 0.1
 PIECE_SMOOTHING = 0.5
@@ -139,11 +141,12 @@ def lm_scores(
     Documents whose crc32 of the id modulo 10 is 0 are held out; so is a null id. Tokens
     are the words, A-Z lower-cased, and one end. Null and empty texts are just the end.
     Scores are log10 probabilities. An empty table gives no rows; rows that repeat an id
-    count as documents each; other columns are not read.
+    count as documents each; other columns are not read; bytes that are not UTF-8 count as U+FFFD.
     """
     held_out = F.coalesce(F.pmod(crc_of_id(id_col), F.lit(10)) == 0, F.lit(True))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    blocks = max(1, -(-docs.count() // block_docs))
+    text = F.coalesce(valid_text(text_col), F.lit(""))
+    documents, size = docs.agg(F.count("*"), F.sum(F.octet_length(text))).first()
+    blocks = max(1, -(-documents // block_docs), -(-(size or 0) // BLOCK_BYTES))
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_col), F.crc32(text.cast("binary"))), F.lit(blocks)).cast("int").alias("block"),
         F.col(id_col).cast("bigint").alias("doc_id"),
@@ -152,7 +155,7 @@ def lm_scores(
     )
     by_block = written(
         arrow_map(
-            rows.repartition("block").sortWithinPartitions("block"), _block_words, "block int, word binary, c bigint"
+            rows.repartition(blocks, "block").sortWithinPartitions("block"), _block_words, "block int, word binary, c bigint"
         ),
         "lm-block-words",
     )
@@ -201,8 +204,9 @@ def lm_scores(
         )
 
     return (
-        rows.groupBy("block")
-        .cogroup(answers.groupBy("block"))
+        rows.repartition(blocks, "block")
+        .groupBy("block")
+        .cogroup(answers.repartition(blocks, "block").groupBy("block"))
         .applyInArrow(
             score,
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, written
+from millwatch.llm.common import arrow_map, valid_text, written
 
 WINDOW = 4096
 OPEN_WINDOWS = 16
@@ -237,7 +237,7 @@ def pack(
                 sequence += 1
         yield rows.take()
 
-    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
+    narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), valid_text(text_col).cast("binary").alias("text"))
     placed = arrow_map(narrow, work, _DDL).withColumn("_task", F.spark_partition_id())
     placed = written(placed, "packed")
     done = placed.filter("sequence_id IS NOT NULL").drop("_task")

@@ -9,7 +9,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from millwatch.llm import fingerprints, secrets
+from millwatch.llm import exact_dedup, fingerprints, langid, lm_scoring, ngram_join, packing, secrets
 
 
 def seconds_of(spark, text, expression):
@@ -49,3 +49,22 @@ def test_many_matches(spark):
 def test_one_long_run(spark):
     run = base64.b64encode(random.Random(3).randbytes(750_000)).decode()
     assert seconds_of(spark, run, secrets.max_entropy(F.col("text"))) < 120
+
+
+def test_texts_that_are_not_utf8(spark):
+    """Bytes that are not UTF-8 are read as U+FFFD; no operator that reads them in Python fails."""
+    raw = spark.sql(
+        "SELECT id AS doc_id, CAST(concat(X'FF61FE20', CAST(repeat('good word ', CAST(id % 5 AS INT)) AS BINARY), X'C3') AS STRING) "
+        "AS text, IF(id % 2 = 0, 'aa', 'bb') AS lang FROM range(40)"
+    ).cache()
+    good = raw.withColumn("text", F.make_valid_utf8("text"))
+    assert raw.filter("NOT is_valid_utf8(text)").count() == 40
+
+    def same(run, *columns):
+        a, b = (sorted(map(tuple, run(df).select(*columns).collect()), key=repr) for df in (raw, good))
+        assert a == b and a
+
+    same(lm_scoring.lm_scores, "doc_id", "n_tokens", "base_score")
+    same(packing.pack, "doc_id", "doc_tokens")
+    same(lambda df: langid.identify(df, langid.fit_model(df)), "doc_id", "lang_pred")
+    assert exact_dedup.exact_groups(raw).count() == ngram_join.ngram_components(raw).count() == 40
