@@ -6,13 +6,18 @@ shards stay small at any size. A task builds the graph of a shard by batched ins
 search, robust pruning, reverse edges); the adjacency lists that a class has in its shards are
 united, and walked both ways (pruning leaves some of a dense group without an edge to them). Then every class is a query: a greedy search from the shard's medoid, which goes on
 through all neighbours of what lies within range. What it finds is verified in doubles. A pair
-that shares several shards counts in the first. Last, recall is audited against brute force
-over all rows; below the wanted recall everything is repeated with more overlap.
+that shares several shards counts in the first.
+
+An exact check follows. Inside a shard it compares what the walk has not met. Pairs that share no
+shard are compared in blocks of home cells (each class has one home among its shards): a class
+goes to the blocks that hold a cell which a link could lead to, by the angle to the cell's centre
+and the cell's radius. Where vectors lie in clusters most blocks are ruled out; where they do not,
+the check takes all pairs. Last, recall is audited against brute force over all rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +38,12 @@ DEGREE, BEAM, WIDTH, BATCH, MATES = 24, 48, 4, 256, 8
 ALPHA = 1.2**2
 # Recall that the audit asks for, its queries, and the overlap it may go up to.
 RECALL, AUDIT, MOST_OVERLAP = 0.95, 256, 5
-# Float32 may put a cosine this far off.
+# Float32 may put a cosine this far off, and each component adds its rounding.
 SLACK = 1e-4
+# Numbers in the vectors of a block, in expectation; blocks whose visitors share a task.
+BLOCK, VISITS = 2**20, 4
+# Angles may be this far off.
+ANGLE_SLACK = 1e-3
 
 
 class FlatGraph:
@@ -228,8 +237,12 @@ def _centres(overlap: int):
 
 
 _CENTRES = pa.schema([("shard", pa.int64()), ("in_shard", pa.int64()), ("v", pa.list_(pa.float64()))])
-_MEMBERS = pa.schema([("shard", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("v", pa.list_(pa.float64()))])
-_MEMBERS_DDL = "shard bigint, node bigint, size bigint, v array<double>"
+_MEMBERS = ["shard", "node", "size", "home", "v"]
+
+
+def _members_ddl(rows: DataFrame) -> str:
+    """Vectors of floats stay floats, which takes half the space; all work on them is in doubles."""
+    return f"shard bigint, node bigint, size bigint, home boolean, v {rows.schema['v'].dataType.simpleString()}"
 
 
 def _assign(overlap: int, reach: float):
@@ -250,18 +263,22 @@ def _assign(overlap: int, reach: float):
                 [xxhash.xxh3_64_intdigest(f"{shard}/{c}") >> 1 for c in range(len(centres))], dtype=np.int64
             )
             taken = members.take(pa.array(row))
-            columns = [pa.array(names[order[row, place]]), *(taken[c].combine_chunks() for c in ("node", "size", "v"))]
-            yield from pa.Table.from_arrays(columns, schema=_MEMBERS).to_batches(max_chunksize=2_000)
+            home = pa.array(np.asarray(taken["home"]) & (place == 0))
+            columns = [pa.array(names[order[row, place]]), *(taken[c].combine_chunks() for c in ("node", "size")), home]
+            columns.append(taken["v"].combine_chunks())
+            yield from pa.Table.from_arrays(columns, names=_MEMBERS).to_batches(max_chunksize=2_000)
 
     return work
 
 
 def shards(classes: DataFrame, *, least: float, overlap: int) -> DataFrame:
-    """(shard, node, size, v): overlapping clusters of at most SHARD classes, as a stored table.
+    """(shard, node, size, home, v): overlapping clusters of at most SHARD classes, as a stored table.
 
-    Vectors of different lengths never share one.
+    Vectors of different lengths never share one. A class is at home in one of its shards: that
+    of the nearest centres. Two classes that could link need not share a shard.
     """
-    placed, done = classes.select(F.size("v").cast("bigint").alias("shard"), "node", "size", "v"), []
+    placed = classes.select(F.size("v").cast("bigint").alias("shard"), "node", "size", F.lit(True).alias("home"), "v")
+    done = []
     # Twice the distance of the farthest link: beyond, a link cannot lead.
     reach = 2 * float(np.sqrt(2 - 2 * least))
     for level in range(ROUNDS + 1):
@@ -271,22 +288,23 @@ def shards(classes: DataFrame, *, least: float, overlap: int) -> DataFrame:
         done.append(join_ids(placed, large.select("shard"), "shard", "left_anti"))
         if not large.limit(1).count():
             break
-        rows = join_ids(placed, large, "shard", "inner").select("shard", "in_shard", "node", "size", "v")
+        rows = join_ids(placed, large, "shard", "inner").select("shard", "in_shard", "node", "size", "home", "v")
         draw = F.xxhash64("node", F.lit(level))
         parts = F.ceil(F.col("in_shard") / SHARD).cast("int")
         if level == ROUNDS:
             part = F.xxhash64("shard", F.pmod(draw, parts))
-            done.append(rows.select(part.alias("shard"), "node", "size", "v"))
+            done.append(rows.select(part.alias("shard"), "node", "size", "home", "v"))
             break
         sample = rows.filter(F.pmod(draw, F.ceil(F.col("in_shard") / SAMPLE)) == 0).select("shard", "in_shard", "v")
         sample = sample.repartition("shard").sortWithinPartitions("shard")
         centres = written(arrow_map(sample, _centres(overlap), "shard bigint, in_shard bigint, v array<double>"), "vector-centres")
         sent = centres.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(
-            "shard", "part", F.lit(None).cast("bigint").alias("node"), F.lit(None).cast("bigint").alias("size"), "v"
-        )
-        dealt = rows.select("shard", F.pmod(draw, parts).cast("int").alias("part"), "node", "size", "v").unionByName(sent)
+            "shard", "part", *[F.lit(None).cast("bigint").alias(c) for c in ("node", "size")],
+            F.lit(False).alias("home"), F.col("v").cast(rows.schema["v"].dataType),
+        )
+        dealt = rows.select("shard", F.pmod(draw, parts).cast("int").alias("part"), "node", "size", "home", "v").unionByName(sent)
         dealt = dealt.repartition("shard", "part").sortWithinPartitions("shard", "part")
-        placed = arrow_map(dealt, _assign(overlap, reach), _MEMBERS_DDL)
+        placed = arrow_map(dealt, _assign(overlap, reach), _members_ddl(rows))
     whole = done[0]
     for more in done[1:]:
         whole = whole.unionByName(more)
@@ -296,22 +314,56 @@ def shards(classes: DataFrame, *, least: float, overlap: int) -> DataFrame:
 # Graphs and search -------------------------------------------------------------------------------
 
 
-_LISTS = pa.schema([*_MEMBERS, ("medoid", pa.bool_()), ("near", pa.list_(pa.int64()))])
+_LISTS = [*_MEMBERS, "off", "centre", "medoid", "near"]
+_LISTS_DDL = "off double, centre array<float>, medoid boolean, near array<bigint>"
 
 
 def _graphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The adjacency list of each member in its shard's graph."""
+    """The adjacency list of each member in its shard's graph, and the angle to the centre of the home cell."""
     for _, rows in sorted_groups(batches, ["shard"]):
-        graph = FlatGraph(unit(rows["v"]))
+        x = unit(rows["v"])
+        graph = FlatGraph(x)
         nodes = np.asarray(rows["node"])
         medoid = np.arange(len(nodes)) == graph.medoid
         near = [nodes[a[a >= 0]] for a in graph.adjacent]
-        columns = [*(rows[c].combine_chunks() for c in _MEMBERS.names), pa.array(medoid), pa.array(near, pa.list_(pa.int64()))]
-        yield from pa.Table.from_arrays(columns, schema=_LISTS).to_batches(max_chunksize=2_000)
+        off, centre = _cell(x, np.asarray(rows["home"]))
+        columns = [*(rows[c].combine_chunks() for c in _MEMBERS), pa.array(off), pa.array(centre, pa.list_(pa.float32()))]
+        columns += [pa.array(medoid), pa.array(near, pa.list_(pa.int64()))]
+        yield from pa.Table.from_arrays(columns, names=_LISTS).to_batches(max_chunksize=2_000)
+
+
+def _cell(x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, list]:
+    """Angles to the centre of those at home, and that centre, which stands at the first of them."""
+    centres: list = [None] * len(x)
+    if not home.any():
+        return np.zeros(len(x)), centres
+    mean = x[home].mean(axis=0)
+    if np.abs(mean).max() < 1e-3:
+        mean = x[home][0]
+    centre = (mean / np.sqrt(mean @ mean)).astype(np.float32)
+    centres[int(np.flatnonzero(home)[0])] = centre
+    return _angles(x, centre[None].astype(np.float64))[:, 0], centres
+
+
+def _angles(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ centres.T, -1, 1))
+
+
+def _slack(dims: int) -> float:
+    return SLACK + dims * 2.0**-23
+
+
+def _verified(x: np.ndarray, u: np.ndarray, v: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs of rows are links, in doubles."""
+    chunk = max(1, 4_000_000 // x.shape[1])
+    parts = [
+        np.einsum("pd,pd->p", x[u[b : b + chunk]], x[v[b : b + chunk]]) >= least for b in range(0, len(u), chunk)
+    ]
+    return np.concatenate([np.zeros(0, dtype=bool), *parts])
 
 
 def _links(x: np.ndarray, graph: FlatGraph, least: float) -> np.ndarray:
-    """Which members are linked: found by a range search of either, then verified in doubles."""
+    """Which members are linked: found by a range search of either or the check after it, then verified in doubles."""
     n = len(x)
     found = np.zeros((n, n), dtype=bool)
     step = max(1, min(BATCH, 64_000_000 // max(n, 1)))
@@ -320,15 +372,16 @@ def _links(x: np.ndarray, graph: FlatGraph, least: float) -> np.ndarray:
         row, ids, _ = graph.search(graph.x[own], 2 - 2 * (least - SLACK), own)
         found[own[row], ids] = True
     found |= found.T
+    for a in range(0, n, 256):
+        # What the walk has not met.
+        found[a : a + 256] |= graph.x[a : a + 256] @ graph.x.T >= least - _slack(x.shape[1])
+    found |= found.T
     np.fill_diagonal(found, False)
-    chunk = max(1, 4_000_000 // x.shape[1])
     for a in range(0, n, 256):
         row, ids = np.nonzero(np.triu(found[a : a + 256], a + 1))
         row += a
-        for b in range(0, len(row), chunk):
-            u, v = row[b : b + chunk], ids[b : b + chunk]
-            good = np.einsum("pd,pd->p", x[u], x[v]) >= least
-            found[u[~good], v[~good]] = found[v[~good], u[~good]] = False
+        wrong = ~_verified(x, row, ids, least)
+        found[row[wrong], ids[wrong]] = found[ids[wrong], row[wrong]] = False
     return found
 
 
@@ -387,6 +440,155 @@ def _roots(found: np.ndarray, nodes: np.ndarray) -> np.ndarray:
     return root
 
 
+# Pairs that share no shard ------------------------------------------------------------------------
+
+
+def _visits(least: float):
+    """Each row at home in a shard to the blocks with a cell that a link could lead to."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in sorted_groups(batches, ["shard"]):
+            is_cell = np.asarray(rows["node"].is_null())
+            members, cells = rows.filter(pa.array(~is_cell)), rows.filter(pa.array(is_cell))
+            if not members.num_rows or not cells.num_rows:
+                continue
+            reach = np.asarray(cells["radius"]) + np.arccos(max(-1.0, min(1.0, least))) + ANGLE_SLACK
+            blocks, of = np.unique(np.asarray(cells["block"]), return_inverse=True)
+            near = np.zeros((members.num_rows, len(blocks)), dtype=bool)
+            row, cell = np.nonzero(_angles(unit(members["v"]), unit(cells["v"])) <= reach)
+            near[row, of[cell]] = True
+            row, at = np.nonzero(near)
+            own = np.asarray(members["own_block"])[row]
+            taken = members.take(pa.array(row))
+            columns = [pa.array(blocks[at]), pa.array(own // VISITS), pa.array(np.zeros(len(row), dtype=bool))]
+            columns += [taken[c].combine_chunks() for c in _COMPARED]
+            table = pa.Table.from_arrays(columns, names=["block", "part", "resident", *_COMPARED])
+            yield from table.to_batches(max_chunksize=2_000)
+
+    return work
+
+
+_COMPARED = ["node", "size", "shards", "v"]
+
+
+def _apart(names: list[list[int]]) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Whether the rows of a pair share none of their ``names``."""
+    held = np.zeros((len(names), max(map(len, names))), dtype=np.int64)
+    filled = np.zeros(held.shape, dtype=bool)
+    for k, some in enumerate(names):
+        held[k, : len(some)], filled[k, : len(some)] = some, True
+
+    def apart(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        shared = np.zeros(len(u), dtype=bool)
+        for i in range(held.shape[1]):
+            for j in range(held.shape[1]):
+                shared |= filled[u, i] & filled[v, j] & (held[u, i] == held[v, j])
+        return ~shared
+
+    return apart
+
+
+def _joined(label: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """``label`` (each row's representative) after the rows of each pair are joined."""
+    while (differ := label[u] != label[v]).any():
+        u, v = u[differ], v[differ]
+        a, b = label[u], label[v]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def _compare_blocks(least: float):
+    """Residents of a block with its visitors, and with each other where their own part comes up.
+
+    Per row with a link: the weight of its links that share no shard, and a node it is connected to.
+    """
+    schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (block, part), rows in sorted_groups(batches, ["block", "part"]):
+            resident = np.asarray(rows["resident"])
+            base = np.flatnonzero(resident)
+            asking = np.arange(len(resident)) if block // VISITS == part else np.flatnonzero(~resident)
+            if not len(base) or not len(asking):
+                continue
+            nodes, sizes = np.asarray(rows["node"]), np.asarray(rows["size"])
+            x, apart = unit(rows["v"]), _apart(rows["shards"].to_pylist())
+            narrow = x.astype(np.float32)
+            against = narrow[base].T.copy()
+            links, label = np.zeros(len(nodes), dtype=np.int64), np.arange(len(nodes))
+            step = max(1, 4_000_000 // len(base))
+            for a in range(0, len(asking), step):
+                row, at = np.nonzero(narrow[asking[a : a + step]] @ against >= least - _slack(x.shape[1]))
+                u, v = asking[a : a + step][row], base[at]
+                once = ~resident[u] | (u > v)
+                u, v = u[once], v[once]
+                away = apart(u, v)
+                u, v = u[away], v[away]
+                good = _verified(x, u, v, least)
+                u, v = u[good], v[good]
+                np.add.at(links, u, sizes[v])
+                np.add.at(links, v, sizes[u])
+                label = _joined(label, u, v)
+            linked = links > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes[linked]), pa.array(links[linked]), pa.array(nodes[label[linked]])], schema=schema
+            )
+
+    return work
+
+
+def _links_between_shards(graphs: DataFrame, least: float) -> DataFrame:
+    """(node, links, root) from all pairs of classes that share no shard."""
+    names = graphs.groupBy("node").agg(F.collect_set("shard").alias("shards"))
+    home = graphs.filter("home").select("shard", "node", "size", "v").join(names, "node")
+    home = written(home, "vector-homes")
+    cells = graphs.filter("home").groupBy("shard").agg(
+        F.first("centre", ignorenulls=True).alias("centre"), F.max("off").alias("radius"), F.count("*").alias("n")
+    )
+    cells = cells.withColumn("dims", F.size("centre").cast("bigint"))
+    per_block = F.greatest(F.lit(1), F.floor(F.lit(BLOCK) / F.col("dims")))
+    blocks = cells.groupBy("dims").agg(F.sum("n").alias("n")).select("dims", F.ceil(F.col("n") / per_block).alias("blocks"))
+    block = F.shiftleft("dims", 32) + F.pmod(F.xxhash64("shard"), F.col("blocks"))
+    cells = cells.join(blocks, "dims").select("shard", "dims", "centre", "radius", block.alias("block"))
+    cells = written(cells, "vector-cells")
+
+    # Of two blocks one visits the other; which, depends on whether their sum is odd, so that visits are spread.
+    there = cells.select("dims", F.col("centre").alias("v"), "radius", "block")
+    here = cells.select("dims", "shard", "centre", F.col("radius").alias("own_radius"), F.col("block").alias("own_block"))
+    visits = (F.col("own_block") < F.col("block")) != ((F.col("own_block") + F.col("block")) % 2 == 1)
+    products = F.zip_with("centre", "v", lambda p, q: p.cast("double") * q.cast("double"))
+    cosine = F.aggregate(products, F.lit(0.0), lambda total, e: total + e)
+    angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
+    farthest = F.col("radius") + F.col("own_radius") + float(np.arccos(max(-1.0, min(1.0, least)))) + ANGLE_SLACK
+    pairs = here.join(there, "dims").filter((F.col("own_block") != F.col("block")) & visits).filter(angle <= farthest)
+    pairs = written(pairs.select("shard", "own_block", "block", "radius", "v"), "vector-cell-pairs")
+
+    several = cells.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1")
+    part = lambda of: F.floor(F.col(of) / VISITS).alias("part")
+    groups = pairs.select("block", part("own_block")).unionByName(several.select("block", part("block"))).distinct()
+    groups = written(groups, "vector-groups")
+    tasks = min(max(1, groups.count()), 20_000)
+
+    at_home = home.join(cells.select("shard", F.col("block").alias("own_block")), "shard")
+    null = lambda kind: F.lit(None).cast(kind)
+    rows = at_home.select(
+        "shard", "node", "size", "shards", "v", null("bigint").alias("block"), null("double").alias("radius"), "own_block"
+    )
+    sent = pairs.select(
+        "shard", null("bigint").alias("node"), null("bigint").alias("size"), null("array<bigint>").alias("shards"),
+        F.col("v").cast(home.schema["v"].dataType).alias("v"), "block", "radius", "own_block",
+    )
+    ddl = f"block bigint, part bigint, resident boolean, node bigint, size bigint, shards array<bigint>, v {home.schema['v'].dataType.simpleString()}"
+    asked = rows.unionByName(sent).repartition("shard").sortWithinPartitions("shard")
+    visitors = arrow_map(asked, _visits(least), ddl)
+    residents = at_home.withColumnRenamed("own_block", "block").join(groups, "block")
+    residents = residents.select("block", "part", F.lit(True).alias("resident"), *_COMPARED)
+    dealt = visitors.unionByName(residents).repartition(tasks, "block", "part").sortWithinPartitions("block", "part")
+    return arrow_map(dealt, _compare_blocks(least), "node bigint, links bigint, root bigint")
+
+
 def _usable(vector: str):
     """Not null, not empty, without null or non-finite components, not zero."""
     finite = lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))
@@ -397,12 +599,13 @@ def _judge(classes: DataFrame, least: float, overlap: int) -> DataFrame:
     """(k1, k2, n_links, component_id) per class."""
     members = shards(classes, least=least, overlap=overlap)
     dealt = members.repartition("shard").sortWithinPartitions("shard", "node")
-    graphs = written(arrow_map(dealt, _graphs, f"{_MEMBERS_DDL}, medoid boolean, near array<bigint>"), "vector-graphs")
+    graphs = written(arrow_map(dealt, _graphs, f"{_members_ddl(members)}, {_LISTS_DDL}"), "vector-graphs")
     united = graphs.groupBy("node").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.collect_set("shard").alias("shards")
     )
-    ready = graphs.drop("near").join(united, "node").repartition("shard").sortWithinPartitions("shard", "node")
-    found = written(arrow_map(ready, _range_search(least), "node bigint, links bigint, root bigint"), "vector-links")
+    ready = graphs.drop("near", "off", "centre", "home").join(united, "node").repartition("shard").sortWithinPartitions("shard", "node")
+    inside = arrow_map(ready, _range_search(least), "node bigint, links bigint, root bigint")
+    found = written(inside.unionByName(_links_between_shards(graphs, least)), "vector-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     placed = classes.select("node", "k1", "k2", "rep", "size").join(counts, "node").join(joined, "node", "left")
@@ -458,11 +661,12 @@ def near_vectors(
     or non-finite components link with nothing, nor do vectors of different lengths, nor rows
     without id (which have no component and are kept). Rows that repeat an id count each, by
     their own vector; equal vectors are linked. A component has the name of its smallest id,
-    and that row is kept. Other columns are not read; an empty table gives no rows. The search
-    is approximate: a group of near copies that is larger than some shards loses links inside
-    (the audit then asks for more overlap).
+    and that row is kept. Other columns are not read; an empty table gives no rows. All links
+    are found: what the graphs miss, the check after them compares.
     """
-    v = F.col(f"`{vector_col}`").cast("array<double>")
+    v = F.col(f"`{vector_col}`")
+    if vectors.select(v.alias("v")).schema["v"].dataType.simpleString() != "array<float>":
+        v = v.cast("array<double>")
     rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), v.alias("v"))
     usable = _usable("v") & F.col("vec_id").isNotNull()
     valid = rows.filter(usable).select("vec_id", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit(1), "v").alias("k2"))

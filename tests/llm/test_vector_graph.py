@@ -104,3 +104,30 @@ def test_query_recall(spark):
     truth = vector_graph.brute_counts(spark.createDataFrame(data, "vec_id bigint, v array<double>"), queries, 0.9)
     assert sum(truth.values()) > len(queries)
     assert sum(found[k][1] for k, _ in queries) >= 0.9 * sum(truth[k] - 1 for k, _ in queries)
+
+
+def test_no_link_is_lost_between_shards(spark, monkeypatch):
+    """Groups of near vectors larger than a shard, chains, and vectors that are dealt by hash; in one block and in many."""
+    monkeypatch.setattr(vector_graph, "SHARD", 40)
+    monkeypatch.setattr(vector_graph, "SAMPLE", 40)
+    monkeypatch.setattr(vector_graph, "ROUNDS", 2)
+    monkeypatch.setattr(vector_graph, "MOST_OVERLAP", 2)
+    rng = np.random.default_rng(6)
+    vectors = list(groups(rng, [200, 30, *[2] * 20, *[1] * 100], 24, 0.2))
+    vectors += [[math.cos(a), math.sin(a)] for a in np.arange(0, 4, 0.04).tolist()]
+    vectors += [[float(k + 1), 0.0, 0.0] for k in range(120)] + [vectors[0]] * 5
+    data = [(k, np.array(v, dtype=np.float32).tolist()) for k, v in zip(rng.permutation(len(vectors)).tolist(), vectors, strict=True)]
+    want = brute(data)
+    assert judged(spark, data) == want
+    monkeypatch.setattr(vector_graph, "BLOCK", 24 * 30)
+    assert judged(spark, data) == want
+
+
+def test_doubles_keep_their_precision(spark):
+    """A cosine on either side of the threshold by less than a float can tell."""
+    def at(cosine):
+        return [cosine, math.sqrt(1 - cosine * cosine)]
+
+    frame = spark.createDataFrame([(1, [1.0, 0.0]), (2, at(0.9 + 1e-12)), (3, at(0.9 - 1e-12))], "vec_id bigint, embedding array<double>")
+    links = {r[0]: r[1] for r in vector_graph.near_vectors(frame).collect()}
+    assert links == {1: 1, 2: 2, 3: 1}
