@@ -631,6 +631,36 @@ def test_packing(spark, texts):
     assert rows(packing.pack(df.limit(0))) == []
 
 
+def test_packing_odd_words():
+    """Letters that compose, added tokens in other case, contractions, marks: ids as of the whole text."""
+    from tokenizers import Tokenizer
+
+    texts = [
+        "H\u0331 h\u0331 J\u030c. T\u0308w W\u030aY\u030a A\u030a k\u212a =\u0338 <\u0338. a\u0338",
+        "<|STARTOFTEXT|> x<|startoftext|>y <|EndOfText|>. <|endoftext|>, Word<|endoftext|>",
+        "don't DON'T it'S. 's 'S, rock'n'roll' l'été! O'Reilly's...",
+        "Éa ÉÉ straße... STRASSE?! Ünï!? naïve-_- x_y_ a.b. ÷ ×a µm ªb ÿ. Ÿ. İi ẞ ß,",
+        "日本語。. Привет, ПРИВЕТ!? Σας ΣΑΣ. 한글! \U0001d400bc. \U0002ebf0. 3.14. 1,000, ... !!! ' '' a' a''",
+        "no\u00a0break\u2003space\u2028line x\u0085y a\u200bb. \ufffd. e\u0301. \x00a. \x1fb\x1c",
+    ]
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert packing.WordIds(packing.TOKENIZER).ids([t.encode() for t in texts]) == want
+
+
+def test_packing_keeps_frequent_words(monkeypatch):
+    """Words that come in every batch are tokenized once, however often the cache fills up."""
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    encoder, asked = packing.WordIds(packing.TOKENIZER), []
+    encode = encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda words: (asked.extend(words), encode(words)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for a in letters:
+        encoder.ids([" ".join(["common", "often.", *(f"{a}x{b}" for b in letters)]).encode()])
+        assert len(encoder.known) < 100
+    assert asked.count(b"common") == 1 and asked.count(b"often") + asked.count(b"often.") == 1
+
+
 def test_packing_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a b c")] * 3 + [(None, "x")], "doc_id bigint, text string")
     got = packing.pack(df).collect()
