@@ -44,6 +44,8 @@ SLACK = 1e-4
 BLOCK, VISITS = 2**20, 4
 # Angles may be this far off.
 ANGLE_SLACK = 1e-3
+# A shard's home cell is cut into narrow ones if that many of this angle will do.
+CELLS, NARROW = 16, 0.5
 
 
 class FlatGraph:
@@ -314,35 +316,49 @@ def shards(classes: DataFrame, *, least: float, overlap: int) -> DataFrame:
 # Graphs and search -------------------------------------------------------------------------------
 
 
-_LISTS = [*_MEMBERS, "off", "centre", "medoid", "near"]
-_LISTS_DDL = "off double, centre array<float>, medoid boolean, near array<bigint>"
+_LISTS = [*_MEMBERS, "cell", "off", "centre", "medoid", "near"]
+_LISTS_DDL = "cell int, off double, centre array<float>, medoid boolean, near array<bigint>"
 
 
 def _graphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The adjacency list of each member in its shard's graph, and the angle to the centre of the home cell."""
+    """The adjacency list of each member in its shard's graph, its cell, and the angle to the cell's centre."""
     for _, rows in sorted_groups(batches, ["shard"]):
         x = unit(rows["v"])
         graph = FlatGraph(x)
         nodes = np.asarray(rows["node"])
         medoid = np.arange(len(nodes)) == graph.medoid
         near = [nodes[a[a >= 0]] for a in graph.adjacent]
-        off, centre = _cell(x, np.asarray(rows["home"]))
-        columns = [*(rows[c].combine_chunks() for c in _MEMBERS), pa.array(off), pa.array(centre, pa.list_(pa.float32()))]
+        cell, off, centre = _cells(x, np.asarray(rows["home"]))
+        columns = [*(rows[c].combine_chunks() for c in _MEMBERS), pa.array(cell), pa.array(off), pa.array(centre, pa.list_(pa.float32()))]
         columns += [pa.array(medoid), pa.array(near, pa.list_(pa.int64()))]
         yield from pa.Table.from_arrays(columns, names=_LISTS).to_batches(max_chunksize=2_000)
 
 
-def _cell(x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, list]:
-    """Angles to the centre of those at home, and that centre, which stands at the first of them."""
+def _cells(x: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """The cells of those at home, their angles to its centre, and the centre, which stands at one row of the cell."""
+    cell, off = np.zeros(len(x), dtype=np.int32), np.zeros(len(x))
     centres: list = [None] * len(x)
-    if not home.any():
-        return np.zeros(len(x)), centres
-    mean = x[home].mean(axis=0)
-    if np.abs(mean).max() < 1e-3:
-        mean = x[home][0]
-    centre = (mean / np.sqrt(mean @ mean)).astype(np.float32)
-    centres[int(np.flatnonzero(home)[0])] = centre
-    return _angles(x, centre[None].astype(np.float64))[:, 0], centres
+    at = np.flatnonzero(home)
+    if not len(at):
+        return cell, off, centres
+    own = x[at]
+    leaders, of, best = [0], np.zeros(len(own), dtype=np.int32), own @ own[0]
+    while best.min() < np.cos(NARROW) and len(leaders) < CELLS:
+        leaders.append(int(best.argmin()))
+        cosine = own @ own[leaders[-1]]
+        of[cosine > best] = len(leaders) - 1
+        best = np.maximum(best, cosine)
+    middle = own[leaders]
+    if best.min() < np.cos(NARROW):  # too many would be needed
+        leaders, of = [0], np.zeros(len(own), dtype=np.int32)
+        mean = own.mean(axis=0)
+        middle = mean[None] if np.abs(mean).max() >= 1e-3 else own[:1]
+    middle = (middle / np.sqrt((middle * middle).sum(axis=1, keepdims=True))).astype(np.float32)
+    for k, leader in enumerate(leaders):
+        centres[at[leader]] = middle[k]
+    cell[at] = of
+    off[at] = np.arccos(np.clip(np.einsum("nd,nd->n", own, middle[of].astype(np.float64)), -1, 1))
+    return cell, off, centres
 
 
 def _angles(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -544,18 +560,18 @@ def _links_between_shards(graphs: DataFrame, least: float) -> DataFrame:
     names = graphs.groupBy("node").agg(F.collect_set("shard").alias("shards"))
     home = graphs.filter("home").select("shard", "node", "size", "v").join(names, "node")
     home = written(home, "vector-homes")
-    cells = graphs.filter("home").groupBy("shard").agg(
+    cells = graphs.filter("home").groupBy("shard", "cell").agg(
         F.first("centre", ignorenulls=True).alias("centre"), F.max("off").alias("radius"), F.count("*").alias("n")
     )
     cells = cells.withColumn("dims", F.size("centre").cast("bigint"))
     per_block = F.greatest(F.lit(1), F.floor(F.lit(BLOCK) / F.col("dims")))
     blocks = cells.groupBy("dims").agg(F.sum("n").alias("n")).select("dims", F.ceil(F.col("n") / per_block).alias("blocks"))
     block = F.shiftleft("dims", 32) + F.pmod(F.xxhash64("shard"), F.col("blocks"))
-    cells = cells.join(blocks, "dims").select("shard", "dims", "centre", "radius", block.alias("block"))
+    cells = cells.join(blocks, "dims").select("shard", "cell", "dims", "centre", "radius", block.alias("block"))
     cells = written(cells, "vector-cells")
 
     # Of two blocks one visits the other; which, depends on whether their sum is odd, so that visits are spread.
-    there = cells.select("dims", F.col("centre").alias("v"), "radius", "block")
+    there = cells.select("dims", F.col("shard").alias("of"), "cell", F.col("centre").alias("v"), "radius", "block")
     here = cells.select("dims", "shard", "centre", F.col("radius").alias("own_radius"), F.col("block").alias("own_block"))
     visits = (F.col("own_block") < F.col("block")) != ((F.col("own_block") + F.col("block")) % 2 == 1)
     products = F.zip_with("centre", "v", lambda p, q: p.cast("double") * q.cast("double"))
@@ -563,15 +579,17 @@ def _links_between_shards(graphs: DataFrame, least: float) -> DataFrame:
     angle = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine)))
     farthest = F.col("radius") + F.col("own_radius") + float(np.arccos(max(-1.0, min(1.0, least)))) + ANGLE_SLACK
     pairs = here.join(there, "dims").filter((F.col("own_block") != F.col("block")) & visits).filter(angle <= farthest)
-    pairs = written(pairs.select("shard", "own_block", "block", "radius", "v"), "vector-cell-pairs")
+    pairs = pairs.dropDuplicates(["shard", "of", "cell"]).select("shard", "own_block", "block", "radius", "v")
+    pairs = written(pairs, "vector-cell-pairs")
 
-    several = cells.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1")
+    homes = cells.select("shard", "block").distinct()
+    several = homes.groupBy("block").agg(F.count("*").alias("n")).filter("n > 1")
     part = lambda of: F.floor(F.col(of) / VISITS).alias("part")
     groups = pairs.select("block", part("own_block")).unionByName(several.select("block", part("block"))).distinct()
     groups = written(groups, "vector-groups")
     tasks = min(max(1, groups.count()), 20_000)
 
-    at_home = home.join(cells.select("shard", F.col("block").alias("own_block")), "shard")
+    at_home = home.join(homes.withColumnRenamed("block", "own_block"), "shard")
     null = lambda kind: F.lit(None).cast(kind)
     rows = at_home.select(
         "shard", "node", "size", "shards", "v", null("bigint").alias("block"), null("double").alias("radius"), "own_block"
@@ -603,7 +621,7 @@ def _judge(classes: DataFrame, least: float, overlap: int) -> DataFrame:
     united = graphs.groupBy("node").agg(
         F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"), F.collect_set("shard").alias("shards")
     )
-    ready = graphs.drop("near", "off", "centre", "home").join(united, "node").repartition("shard").sortWithinPartitions("shard", "node")
+    ready = graphs.drop("near", "cell", "off", "centre", "home").join(united, "node").repartition("shard").sortWithinPartitions("shard", "node")
     inside = arrow_map(ready, _range_search(least), "node bigint, links bigint, root bigint")
     found = written(inside.unionByName(_links_between_shards(graphs, least)), "vector-links")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -123,6 +123,28 @@ def test_no_link_is_lost_between_shards(spark, monkeypatch):
     assert judged(spark, data) == want
 
 
+def test_narrow_cells_leave_nothing_to_visit(spark, monkeypatch):
+    """Clusters far apart, several to a cell: no vector visits another block, and all links are found."""
+    monkeypatch.setattr(vector_graph, "SHARD", 200)
+    monkeypatch.setattr(vector_graph, "SAMPLE", 200)
+    monkeypatch.setattr(vector_graph, "BLOCK", 64 * 100)
+    visitors = spark.sparkContext.accumulator(0)
+    visits = vector_graph._visits
+
+    def counted(least):
+        def work(batches):
+            for batch in visits(least)(batches):
+                visitors.add(batch.num_rows)
+                yield batch
+
+        return work
+
+    monkeypatch.setattr(vector_graph, "_visits", counted)
+    data = list(enumerate(groups(np.random.default_rng(7), [20] * 30, 64, 0.1)))
+    assert judged(spark, data) == brute(data)
+    assert visitors.value < len(data)
+
+
 def test_doubles_keep_their_precision(spark):
     """A cosine on either side of the threshold by less than a float can tell."""
     def at(cosine):
