@@ -16,11 +16,12 @@ import string
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import filterfalse, pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,11 +65,13 @@ class WordIds:
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # What the model is given for a Latin word, letter by letter; none if this tokenizer treats them otherwise.
         self.letters: dict[int, str] | None = None
+        self.same_ascii = False  # whether a-z stand for themselves there
         before, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
         if before and cut and before.normalize_str(_LATIN) == _LATIN and not any(a.isalpha() for a in self.added):
             letters = {ord(c): cut.pre_tokenize_str(c)[0][0] for c in _LATIN}
             if [piece for piece, _ in cut.pre_tokenize_str(_LATIN)] == [_LATIN.translate(letters)]:
                 self.letters = letters
+                self.same_ascii = all(letters[ord(c)] == c for c in string.ascii_lowercase)
 
     def _lower(self, text: bytes) -> bytes:
         """A-Z lower-cased, as the tokenizer does, where this cannot change what is composed or found whole."""
@@ -81,9 +84,11 @@ class WordIds:
         """Latin words go to the model as they are; other words of letters are one pre-token each and share calls."""
         if self.letters:
             tokenize, raw, rest = self.tokenizer.model.tokenize, self.raw, []
+            latin, same, letters, known = _LATIN_WORD.fullmatch, self.same_ascii, self.letters, self.known
             for w in words:
-                if _LATIN_WORD.fullmatch(w):
-                    self.known[w] = b"".join([raw[t.id] for t in tokenize(w.decode().translate(self.letters))])
+                if latin(w):
+                    given = w.decode() if same and w.isascii() else w.decode().translate(letters)
+                    known[w] = b"".join([raw[t.id] for t in tokenize(given)])
                 else:
                     rest.append(w)
             words = rest
@@ -116,14 +121,20 @@ class WordIds:
         return new
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [(self._lower(t) if self.letters else t).split() for t in texts]
+        if not texts:
+            return []
+        low = pa.array([self._lower(t) if self.letters else t for t in texts], pa.binary()).cast(pa.string())
+        split = pc.ascii_split_whitespace(low)
+        # Each distinct word is looked up once; all words are then laid out by its number.
+        coded = pc.dictionary_encode(split.flatten())
+        words = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > CACHED_WORDS:
             self.known, self.old = {}, self.known
         # A word of letters with marks behind it is its letters' ids and the marks' ids. (Beyond U+FFFF the
         # tokenizer's and Python's ideas of a letter may differ.)
         tails: list[tuple[bytes, bytes, bytes]] = []
         whole, parts = [], set()
-        for w in self._unknown(chain.from_iterable(split)):
+        for w in self._unknown(words):
             head = w.rstrip(_MARKS)
             if len(head) < len(w) and (head.isalpha() or (head and max(head) < 0xF0 and head.decode().isalpha())):
                 tails.append((w, head, w[len(head) :]))
@@ -133,7 +144,15 @@ class WordIds:
         self._encode(list(self._unknown(parts).union(whole)))
         for w, head, marks in tails:
             self.known[w] = self.known[head] + self.known[marks]
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        found = [self.known[w] for w in words]
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        numbers = coded.indices.to_numpy(zero_copy_only=False)
+        stops = np.concatenate([[0], np.cumsum(lengths[numbers])])
+        shift = (np.cumsum(lengths) - lengths)[numbers] - stops[:-1]
+        places = np.repeat(shift, lengths[numbers]) + np.arange(stops[-1])
+        raw = memoryview(np.frombuffer(b"".join(found), "<u4")[places].tobytes())
+        ends = (4 * stops[split.offsets.to_numpy()]).tolist()
+        return [bytes(raw[a:b]) for a, b in pairwise(ends)]
 
 
 @lru_cache(maxsize=2)

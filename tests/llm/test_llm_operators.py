@@ -661,6 +661,21 @@ def test_packing_keeps_frequent_words(monkeypatch):
     assert asked.count(b"common") == 1 and asked.count(b"often") + asked.count(b"often.") == 1
 
 
+def test_packing_asks_for_a_word_once(monkeypatch):
+    """A word of many texts is looked up once for all of them; white space around words adds nothing."""
+    from tokenizers import Tokenizer
+
+    encoder, asked = packing.WordIds(packing.TOKENIZER), []
+    unknown = encoder._unknown
+    monkeypatch.setattr(encoder, "_unknown", lambda words: unknown(asked.extend(words := list(words)) or words))
+    texts = [" \x0bthe Word\tthe\x0c été ", "", " \n ", "the word the\r\nété", "\x1cthe\x85", "the\u00a0the"] * 50
+    tokenizer = Tokenizer.from_file(packing.TOKENIZER)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert encoder.ids([t.encode() for t in texts]) == want
+    assert asked.count(b"the") == 1 and asked.count(b"word") == 1
+    assert encoder.ids([]) == []
+
+
 def test_packing_repeated_rows(spark):
     df = spark.createDataFrame([(1, "a b c")] * 3 + [(None, "x")], "doc_id bigint, text string")
     got = packing.pack(df).collect()
