@@ -108,6 +108,22 @@ def arrow_map(
     return df.mapInArrow(work, schema)
 
 
+# What this Python worker keeps from task to task.
+_KEPT: dict[tuple, object] = {}
+
+
+def worker_cache(key: tuple, make: Callable[[], object]) -> object:
+    """What ``make`` made for this key, kept between tasks until something else is to be kept.
+
+    A Python worker serves the tasks of many operators in turn. It holds the words of one of
+    them only, so that the memory of a chain of operators is that of its largest.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def sorted_groups(
     batches: Iterator[pa.RecordBatch], keys: list[str]
 ) -> Iterator[tuple[tuple, pa.Table]]:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, crc_of_id, valid_text
+from millwatch.llm.common import arrow_map, crc_of_id, valid_text, worker_cache
 
 # Expected number of labelled rows of each language that the fit reads, at most.
 ROWS_PER_LANGUAGE = 1500
@@ -113,16 +113,10 @@ class WordCache:
         return self.rows[np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))]
 
 
-# The cache of the model that this Python worker used last; a worker serves many tasks.
-_CACHES: dict[bytes, WordCache] = {}
-
-
 def cache_for(model: Model) -> WordCache:
+    """The cache of the model that this Python worker used last; a worker serves many tasks."""
     key = hashlib.sha1(model.table.tobytes()).digest()
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = WordCache(len(model.languages) + 1)
-    return _CACHES[key]
+    return worker_cache(("langid", key), lambda: WordCache(len(model.languages) + 1))
 
 
 def softmax(x: np.ndarray) -> np.ndarray:

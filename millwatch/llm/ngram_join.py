@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, components, join_ids, sorted_groups, without_ids, written
+from millwatch.llm.common import arrow_map, components, join_ids, sorted_groups, without_ids, worker_cache, written
 
 # Leaves of one tree, at most (two blocks that meet make twice as many).
 BLOCK = 2048
@@ -61,17 +61,15 @@ class _WordHashes(dict):
         return value
 
 
-_HASHES = _WordHashes()
-
-
 def shingles(text: bytes, n: int) -> np.ndarray:
     """Sorted distinct hashes of the text's n-word shingles; of all its words if there are fewer."""
     words = text.lower().split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(_HASHES) > CACHED_WORDS:
-        _HASHES.clear()
-    w = np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = worker_cache(("ngram_join",), _WordHashes)
+    if len(hashes) > CACHED_WORDS:
+        hashes.clear()
+    w = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
     span = min(n, len(words))
     last = len(words) - span + 1
     h = np.full(last, span, dtype=np.uint64)

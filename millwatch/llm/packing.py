@@ -15,7 +15,6 @@ import re
 import string
 import zlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import filterfalse, pairwise
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millwatch.llm.common import arrow_map, valid_text, written
+from millwatch.llm.common import arrow_map, valid_text, worker_cache, written
 
 WINDOW = 4096
 OPEN_WINDOWS = 16
@@ -155,10 +154,9 @@ class WordIds:
         return [bytes(raw[a:b]) for a, b in pairwise(ends)]
 
 
-@lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return WordIds(path)
+    return worker_cache(("packing", path), lambda: WordIds(path))
 
 
 class Packer:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+import weakref
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from test_llm_operators import FOLDER, awkward, brute_components, brute_targets, empty
 
 import corpus_pipeline
-from millwatch.llm import common, packing
+from millwatch.llm import common, langid, ngram_join, packing
 
 
 @pytest.fixture(scope="module")
@@ -87,6 +89,19 @@ def test_run_equals_the_stages(spark, outputs):
     assert Counter((r["doc_id"], r["doc_tokens"]) for r in got.filter("start = 0").collect()) == want
 
 
+def test_a_worker_holds_the_words_of_one_stage():
+    """A Python worker that serves all stages in turn lets go of the stage before."""
+    model = langid.Model(["de", "en"], np.zeros((langid.BUCKETS, 2)), np.zeros(2))
+    words = weakref.ref(langid.cache_for(model))
+    assert langid.cache_for(model) is words()
+    ngram_join.shingles(b"some words of a text", 3)
+    assert words() is None
+    encoder = weakref.ref(packing.word_ids(packing.TOKENIZER))
+    assert packing.word_ids(packing.TOKENIZER) is encoder()
+    langid.cache_for(model)
+    assert encoder() is None
+
+
 def test_stages_over_awkward_and_empty_tables(spark):
     for make in (awkward, empty):
         docs = make(spark)
