@@ -24,16 +24,20 @@ def by_date(df: DataFrame) -> DataFrame:
     return dated.hint("rebalance", DATE).sortWithinPartitions(DATE, "machine_id", "reading_ts")
 
 
+def observed(metrics: Observation, name: str):
+    """What was observed on the way; None where adaptive execution found no rows and dropped the node."""
+    try:
+        return metrics.get[name]
+    except Py4JJavaError:
+        return None
+
+
 def _counted_write(df: DataFrame, path: str, mode: str, **options: str) -> int:
     """Write by date and return the rows written, counted on the way."""
     rows = Observation()
     counted = df.observe(rows, F.count(F.lit(1)).alias("rows"))
     by_date(counted).write.mode(mode).options(**options).partitionBy(DATE).parquet(path)
-    try:
-        return rows.get["rows"]
-    except Py4JJavaError:
-        # Adaptive execution found nothing to write and dropped the counting node.
-        return 0
+    return observed(rows, "rows") or 0
 
 
 def write_fact(df: DataFrame, path: str) -> int:
@@ -61,15 +65,22 @@ def stored_rows(df: DataFrame, path: str) -> DataFrame | None:
     return spark.read.schema(dated.schema).parquet(path).filter(F.col(DATE).isin(dates))
 
 
-def append_new(df: DataFrame, path: str, keys: tuple[str, ...] = ("machine_id", "reading_ts")) -> int:
+def append_new(
+    df: DataFrame,
+    path: str,
+    keys: tuple[str, ...] = ("machine_id", "reading_ts"),
+    *,
+    matched: bool = False,
+) -> int:
     """Append rows whose key the table does not hold yet; returns how many.
 
     Of rows of one call that share a key one is appended, the same whichever way the rows
-    are cut or ordered. A retry finds the rows already there and adds none.
+    are cut or ordered. A retry finds the rows already there and adds none. ``matched`` says
+    that the caller knows the table to hold none of the keys, so that it is not read again.
     """
     rest = [F.asc_nulls_last(c) for c in df.columns if c not in keys]
     rows = first_per_key(df, list(keys), rest) if rest else df.distinct()
-    stored = stored_rows(df, path)
+    stored = None if matched else stored_rows(df, path)
     if stored is not None:
         rows = rows.join(stored.select(*keys), list(keys), "left_anti")
     return _counted_write(rows, path, "append")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from contextlib import ExitStack
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,7 +18,7 @@ from millwatch.operators.sizing import row_count
 from millwatch.plans.features import features
 from millwatch.plans.scoring import score_readings, stamped
 from millwatch.plans.summary import latest_scores, merge_latest
-from millwatch.sources.tables import DATE, append_new, replace_dates, stored_rows, table_exists
+from millwatch.sources.tables import DATE, append_new, observed, replace_dates, stored_rows, table_exists
 
 
 def score_new(
@@ -118,16 +119,20 @@ class LiveTables:
 
     def write_latest(self, spark: SparkSession, states: DataFrame, batch_id: int) -> None:
         """Write the given buckets whole and remove versions that no retry of this batch needs."""
-        placed = states.withColumn("bucket", self.bucket()).repartition("bucket")
+        placed = states.withColumn("bucket", self.bucket()).repartition(self.buckets, "bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(self.latest(batch_id))
+        needed: dict[int, list[int]] = {}
+        old: dict[int, list[int]] = {}
         for bucket, batches in self.versions(spark).items():
-            needed = [b for b in batches if b < batch_id][-1:]
-            for batch in batches:
-                if batch < batch_id and batch not in needed:
+            older = [b for b in batches if b < batch_id]
+            for batch in older:
+                (needed if batch == older[-1] else old).setdefault(batch, []).append(bucket)
+        for batch in sorted(int(name) for name in _entries(spark, f"{self.base}/latest", "batch=")):
+            if batch in needed:
+                for bucket in old.get(batch, []):
                     _remove(spark, f"{self.latest(batch)}/bucket={bucket}")
-        for name in _entries(spark, f"{self.base}/latest", "batch="):
-            if int(name) < batch_id and not _entries(spark, self.latest(int(name)), "bucket="):
-                _remove(spark, self.latest(int(name)))
+            elif batch < batch_id and (batch in old or not _entries(spark, self.latest(batch), "bucket=")):
+                _remove(spark, self.latest(batch))
 
     def read_alert_log(self, spark: SparkSession) -> DataFrame:
         """Every alert and revision as it was raised."""
@@ -153,21 +158,36 @@ def _remove(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def accept(batch: DataFrame, batch_id: int, seen_path: str) -> DataFrame:
-    """Readings of a batch that no other batch brought before, logged as seen.
+def _keep(kept: ExitStack, df: DataFrame) -> DataFrame:
+    """``df``, computed once for all that is derived from it until ``kept`` closes."""
+    kept.callback(df.unpersist)
+    return df.persist()
+
+
+def accept(batch: DataFrame, batch_id: int, seen_path: str, kept: ExitStack) -> tuple[DataFrame, bool]:
+    """Readings of a batch that no other batch brought before, logged as seen; and whether this
+    batch may have logged some of them already.
 
     Repeats inside the batch leave the most complete reading. The log holds every accepted
     reading, also those that are never scored, with its batch, by which a retry knows its own.
+    Readings are matched with the log once: what it lacks is logged, and that or what it has
+    from this batch is accepted.
     """
-    readings = drop_repeats(batch)
+    key = ["machine_id", "reading_ts"]
     own = F.lit(batch_id).cast("bigint").alias("batch_id")
-    keys = readings.select("machine_id", "reading_ts", own)
-    held = stored_rows(keys, seen_path)
-    if held is not None:
-        others = held.filter(F.col("batch_id") != batch_id).select("machine_id", "reading_ts")
-        readings = readings.join(others, ["machine_id", "reading_ts"], "left_anti")
-    append_new(readings.select("machine_id", "reading_ts", own), seen_path)
-    return readings
+    readings = _keep(kept, drop_repeats(batch))
+    held = stored_rows(readings.select(*key, own), seen_path)
+    if held is None:
+        append_new(readings.select(*key, own), seen_path, matched=True)
+        return readings, False
+    by = held.groupBy(*key).agg(F.min("batch_id").alias("_by"))
+    marked, logged = readings.join(by, key, "left"), Observation()
+    known = F.coalesce(F.col("_by") == batch_id, F.lit(False))
+    watched = marked.observe(logged, F.max(known).alias("again"))
+    append_new(watched.filter("_by IS NULL").select(*key, own), seen_path, matched=True)
+    # Writing to a table drops what was kept of plans that read it, so the match is not kept.
+    mine = F.col("_by").isNull() | (F.col("_by") == batch_id)
+    return marked.filter(mine).drop("_by"), observed(logged, "again") is not False
 
 
 def keep_current(
@@ -182,24 +202,30 @@ def keep_current(
     overwrites.
     """
     spark = batch.sparkSession
-    accepted = accept(batch, batch_id, tables.seen)
     own = F.lit(batch_id).cast("bigint").alias("batch_id")
-    fresh = score_readings(accepted, registry, rule).persist()
-    try:
-        append_new(stamped(fresh).select("*", own), tables.scored)
+    with ExitStack() as kept:
+        accepted, again = accept(batch, batch_id, tables.seen, kept)
+        fresh = _keep(kept, score_readings(accepted, registry, rule))
         # At most as many as there are buckets.
         touched = {r[0] for r in fresh.select(tables.bucket()).distinct().collect()}
+        # Readings are logged before they are scored: what the log lacked has no score either.
+        append_new(stamped(fresh).select("*", own), tables.scored, matched=not again)
         previous = tables.read_latest(spark, before=batch_id, buckets=touched)
-        alerts = _alerts(fresh, previous, registry, tables, spark)
+        if previous is not None:
+            previous = _keep(kept, previous)
+        alerts = _alerts(fresh, previous, registry, tables, batch_id, kept)
         alerts.write.mode("overwrite").parquet(tables.alerts(batch_id))
         current = latest_scores(fresh) if previous is None else merge_latest(previous, fresh)
         tables.write_latest(spark, current, batch_id)
-    finally:
-        fresh.unpersist()
 
 
 def _alerts(
-    fresh: DataFrame, previous: DataFrame | None, registry: DataFrame, tables: LiveTables, spark: SparkSession
+    fresh: DataFrame,
+    previous: DataFrame | None,
+    registry: DataFrame,
+    tables: LiveTables,
+    batch_id: int,
+    kept: ExitStack,
 ) -> DataFrame:
     """Tier changes that the fresh readings bring, and revisions where they arrive late.
 
@@ -208,37 +234,40 @@ def _alerts(
     its own change and that of its successor are stated anew from the machine's stored
     scores around it; a successor that no longer differs has its alert withdrawn.
     """
+    spark = fresh.sparkSession
     flags = [F.lit(False).alias("withdrawn"), F.lit(False).alias("revision")]
     if previous is None:
         return tier_changes(fresh).select("*", *flags)
     machines = fresh.select("machine_id").distinct()
     few = row_count(registry) <= BROADCAST_ROWS  # at most one row per registered machine
-    known = previous.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi")
+    known = _keep(kept, previous.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi"))
     since = known.select("machine_id", F.col("reading_ts").alias("_since"))
-    placed = fresh.join(F.broadcast(since) if few else since, "machine_id", "left")
+    since = F.broadcast(since) if few else since
+    placed = fresh.join(since, "machine_id", "left")
     in_order = placed.filter("_since IS NULL OR reading_ts > _since").drop("_since")
-    late = placed.filter("reading_ts <= _since").select("machine_id", "reading_ts")
+    late = _keep(kept, placed.filter("reading_ts <= _since").select("machine_id", "reading_ts"))
     on_time = tier_changes(known.unionByName(in_order.select(*known.columns))).select("*", *flags)
     if late.isEmpty():
         return on_time
-    history = _around(spark.read.parquet(tables.scored), late, few)
-    marks = late.withColumn("_late", F.lit(True))
-    marked = history.join(marks, ["machine_id", "reading_ts"], "left")
-    upto = known.select("machine_id", F.col("reading_ts").alias("_since"))
-    # Readings newer than the old state are alerted on above.
-    marked = marked.join(F.broadcast(upto) if few else upto, "machine_id").filter("reading_ts <= _since")
-    return on_time.unionByName(revised_changes(marked.withColumn("_late", F.coalesce("_late", F.lit(False)))))
+    stored = spark.read.parquet(tables.scored)
+    dates = sorted(dt.date.fromisoformat(d) for d in _entries(spark, tables.scored, f"{DATE}=") if not d.startswith("__"))
+    # Readings newer than the old state are alerted on above; of the others, the batch's own are the late ones.
+    upto = _around(stored, late, few, dates).join(since, "machine_id").filter("reading_ts <= _since")
+    own = (F.col("batch_id") == batch_id).alias("_late")
+    history = _keep(kept, upto.select("machine_id", "reading_ts", "risk_score", "risk_tier", own))
+    return on_time.unionByName(revised_changes(history))
 
 
-def _around(scored: DataFrame, late: DataFrame, few: bool) -> DataFrame:
+def _around(scored: DataFrame, late: DataFrame, few: bool, stored: list[dt.date] | None = None) -> DataFrame:
     """Stored scores of the late readings' machines on enough dates to hold the neighbours of each.
 
     The days around a late reading are widened until a score lies on either side of it, or
     the table ends; so a fleet that reports daily costs three dates a late one, not its history.
+    ``stored`` are the calendar dates of the table, where the caller has listed them.
     """
     machines = late.select("machine_id").distinct()
     mine = scored.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi")
-    stored = sorted(r[0] for r in scored.select(DATE).distinct().collect())  # calendar dates, from folder names
+    stored = stored or sorted(r[0] for r in scored.select(DATE).distinct().collect())
     wanted: set[dt.date] = set()
     # The first and last late reading of a day have a neighbour if all of that day have one.
     ends = F.min("reading_ts").alias("_first"), F.max("reading_ts").alias("_last")

@@ -183,3 +183,16 @@ def test_broker_records_are_decoded(spark):
     schema = "machine_id STRING, reading_ts TIMESTAMP_NTZ, temperature_c DECIMAL(7,2)"
     rows = ingest.decode_json(raw, schema).collect()
     assert len(rows) == 1 and str(rows[0]["temperature_c"]) == "40.50"
+
+
+def test_a_batch_is_matched_with_the_log_once(spark, fleet, tmp_path, monkeypatch):
+    live = incremental.LiveTables(str(tmp_path / "once"))
+    read = []
+    whole = tables.stored_rows
+    for module in (tables, incremental):
+        monkeypatch.setattr(module, "stored_rows", lambda df, path: read.append(path) or whole(df, path))
+    for batch_id, condition in enumerate(["reading_id % 10 < 5", "reading_id % 10 >= 5"]):
+        incremental.keep_current(fleet.telemetry.filter(condition), batch_id, fleet.registry, live, incremental.DEFAULT_RULE)
+    assert read == [live.seen] * 2
+    assert tables.read_fact(spark, live.scored).count() == fleet.scored.count()
+    assert spark.read.parquet(live.seen).count() == fleet.telemetry.count()
