@@ -89,3 +89,6 @@ HOT_KEY_ROWS = 5_000_000
 
 # Most rows of one machine and time slice that a single window task should hold.
 SLICE_ROWS = 4_000_000
+
+# Histories are not cut into slices while no machine has more rows than this.
+UNCUT_ROWS = 100_000

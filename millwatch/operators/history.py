@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millwatch.config import SLICE_ROWS
+from millwatch.config import SLICE_ROWS, UNCUT_ROWS
 from millwatch.functions.columns import (
     hour_of,
     hours,
@@ -16,7 +16,7 @@ from millwatch.functions.columns import (
     time_slice,
 )
 from millwatch.operators.ranking import first_per_key
-from millwatch.operators.sizing import slice_seconds
+from millwatch.operators.sizing import largest_group, slice_seconds
 
 DAY_SECONDS = 86_400
 
@@ -47,16 +47,32 @@ def carry_last(
     backwards: bool = False,
     seconds: int | None = None,
     slice_rows: int = SLICE_ROWS,
+    most: int | None = None,
 ) -> DataFrame:
     """Add, per item, its last non-NULL value among earlier rows of the same key.
 
     ``order`` is the order inside a key and starts with ``ts``. ``inclusive`` also looks at
     the row itself and rows that tie with it; ``backwards`` looks at later rows instead.
     A key is cut into time slices; each slice starts with the value the slices before it
-    end with, so no task needs a whole history. The slice width is measured unless given.
+    end with, so no task needs a whole history. The slice width is measured unless given;
+    keys that all have few rows are not cut at all. ``most`` is a bound on the rows of a
+    key, where the caller knows one.
     """
-    seconds = seconds or slice_seconds(df, key, ts, slice_rows)
     direction = F.desc if backwards else F.asc
+
+    def along(*parts: str) -> Window:
+        window = Window.partitionBy(*parts).orderBy(*[direction(c) for c in order])
+        if inclusive:
+            return window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    if seconds is None:
+        few = min(slice_rows, UNCUT_ROWS)
+        if (largest_group(df, key) if most is None else most) <= few:
+            window = along(key)
+            carried = [F.last(item, ignorenulls=True).over(window).alias(name) for name, item in items.items()]
+            return df.select(*df.columns, *carried)
+        seconds = slice_seconds(df, key, ts, slice_rows)
     slots = [f"_slot{n}" for n in range(len(items))]
     # Dealt out once: the slices' ends and the rows themselves are taken from the same shuffle.
     dealt = df.withColumn("_slice", time_slice(ts, seconds)).repartition(key, "_slice")
@@ -76,11 +92,7 @@ def carry_last(
         ends.select(F.col(key).alias("_key"), F.col("_slice"), *slots), slots, seconds, backwards
     ).withColumnRenamed("_key", key)
 
-    window = Window.partitionBy(key, "_slice").orderBy(*[direction(c) for c in order])
-    if inclusive:
-        window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        window = window.rowsBetween(Window.unboundedPreceding, -1)
+    window = along(key, "_slice")
     return dealt.join(starts, [key, "_slice"], "left").select(
         *df.columns,
         *[
@@ -162,11 +174,16 @@ def fill_gaps(
 
 
 def tier_changes(
-    scored: DataFrame, *, order: tuple[str, ...] = ("reading_ts",), slice_rows: int = SLICE_ROWS
+    scored: DataFrame,
+    *,
+    order: tuple[str, ...] = ("reading_ts",),
+    slice_rows: int = SLICE_ROWS,
+    most: int | None = None,
 ) -> DataFrame:
     """Readings whose stored tier differs from the machine's reading before.
 
-    ``escalated`` is NULL when either side is DATA_LOSS, which has no severity.
+    ``escalated`` is NULL when either side is DATA_LOSS, which has no severity. ``most`` is a
+    bound on a machine's rows, where the caller knows one.
     """
     previous = F.struct(
         F.col("risk_tier").alias("tier"),
@@ -176,7 +193,7 @@ def tier_changes(
     rows = scored.select(
         "machine_id", *dict.fromkeys([*order, "reading_ts", "risk_score", "risk_tier"])
     )
-    carried = carry_last(rows, {"_before": previous}, order=list(order), slice_rows=slice_rows)
+    carried = carry_last(rows, {"_before": previous}, order=list(order), slice_rows=slice_rows, most=most)
     return (
         carried.withColumn("previous_tier", F.col("_before.tier"))
         .filter("previous_tier <> risk_tier")

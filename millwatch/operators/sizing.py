@@ -26,6 +26,11 @@ def row_count(df: DataFrame) -> int:
     return _counts[df]
 
 
+def largest_group(df: DataFrame, key: str) -> int:
+    """Most rows that share a key (a pre-aggregated scan of one column)."""
+    return df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+
+
 def largest_slice(df: DataFrame, key: str, ts: str, seconds: int) -> int:
     """Most rows that share a key and a time slice (a pre-aggregated scan of two columns)."""
     sizes = df.groupBy(key, time_slice(ts, seconds).alias("_slice")).count()

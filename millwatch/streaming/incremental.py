@@ -206,14 +206,15 @@ def keep_current(
     with ExitStack() as kept:
         accepted, again = accept(batch, batch_id, tables.seen, kept)
         fresh = _keep(kept, score_readings(accepted, registry, rule))
-        # At most as many as there are buckets.
-        touched = {r[0] for r in fresh.select(tables.bucket()).distinct().collect()}
+        machines = fresh.groupBy("machine_id").agg(F.count("*").alias("_rows"))
+        # At most as many buckets as there are.
+        most, touched = machines.agg(F.max("_rows"), F.collect_set(tables.bucket())).first()
         # Readings are logged before they are scored: what the log lacked has no score either.
         append_new(stamped(fresh).select("*", own), tables.scored, matched=not again)
-        previous = tables.read_latest(spark, before=batch_id, buckets=touched)
+        previous = tables.read_latest(spark, before=batch_id, buckets=set(touched))
         if previous is not None:
             previous = _keep(kept, previous)
-        alerts = _alerts(fresh, previous, registry, tables, batch_id, kept)
+        alerts = _alerts(fresh, previous, registry, tables, batch_id, most or 0, kept)
         alerts.write.mode("overwrite").parquet(tables.alerts(batch_id))
         current = latest_scores(fresh) if previous is None else merge_latest(previous, fresh)
         tables.write_latest(spark, current, batch_id)
@@ -225,6 +226,7 @@ def _alerts(
     registry: DataFrame,
     tables: LiveTables,
     batch_id: int,
+    most: int,
     kept: ExitStack,
 ) -> DataFrame:
     """Tier changes that the fresh readings bring, and revisions where they arrive late.
@@ -233,11 +235,12 @@ def _alerts(
     states of the batch's machines are read. A late one stands between two stored readings:
     its own change and that of its successor are stated anew from the machine's stored
     scores around it; a successor that no longer differs has its alert withdrawn.
+    ``most`` is the most fresh readings of a machine.
     """
     spark = fresh.sparkSession
     flags = [F.lit(False).alias("withdrawn"), F.lit(False).alias("revision")]
     if previous is None:
-        return tier_changes(fresh).select("*", *flags)
+        return tier_changes(fresh, most=most).select("*", *flags)
     machines = fresh.select("machine_id").distinct()
     few = row_count(registry) <= BROADCAST_ROWS  # at most one row per registered machine
     known = _keep(kept, previous.join(F.broadcast(machines) if few else machines, "machine_id", "left_semi"))
@@ -246,7 +249,7 @@ def _alerts(
     placed = fresh.join(since, "machine_id", "left")
     in_order = placed.filter("_since IS NULL OR reading_ts > _since").drop("_since")
     late = _keep(kept, placed.filter("reading_ts <= _since").select("machine_id", "reading_ts"))
-    on_time = tier_changes(known.unionByName(in_order.select(*known.columns))).select("*", *flags)
+    on_time = tier_changes(known.unionByName(in_order.select(*known.columns)), most=most + 1).select("*", *flags)
     if late.isEmpty():
         return on_time
     stored = spark.read.parquet(tables.scored)

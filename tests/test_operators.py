@@ -97,6 +97,13 @@ def test_slice_width_follows_the_largest_group(readings):
     assert slice_seconds(readings, "machine_id", "reading_ts", 1) == 1
 
 
+def test_short_histories_are_not_cut(readings):
+    scored = readings.select("machine_id", "reading_ts", "reading_id", "risk_score", "risk_tier")
+    whole, days = (history.tier_changes(scored, order=("reading_ts", "reading_id"), slice_rows=n) for n in (10**6, 500))
+    joins = ["Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in (whole, days)]
+    assert joins == [False, True] and spark_rows(whole) == spark_rows(days)
+
+
 @pytest.mark.parametrize("slice_rows", [10**6, 6])
 def test_alert_quality(readings, slice_rows):
     alerts = readings.filter("risk_tier = 'CRITICAL' AND machine_id <> 'HOT'")

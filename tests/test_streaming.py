@@ -196,3 +196,15 @@ def test_a_batch_is_matched_with_the_log_once(spark, fleet, tmp_path, monkeypatc
     assert read == [live.seen] * 2
     assert tables.read_fact(spark, live.scored).count() == fleet.scored.count()
     assert spark.read.parquet(live.seen).count() == fleet.telemetry.count()
+
+
+def test_a_batch_with_late_readings_takes_few_jobs(spark, fleet, tmp_path):
+    """Readings are matched and scored once, and short histories are read without slices."""
+    live = incremental.LiveTables(str(tmp_path / "few"))
+    for batch_id, condition in enumerate(["reading_id % 10 < 4", "reading_id % 10 IN (4, 5)", "reading_id % 10 > 5"]):
+        spark.sparkContext.setJobGroup(f"live-{batch_id}", "live")
+        incremental.keep_current(fleet.telemetry.filter(condition), batch_id, fleet.registry, live, incremental.DEFAULT_RULE)
+    spark.sparkContext.setJobGroup("", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("live-2")) <= 60
+    alerts = history.tier_changes(fleet.scored, order=("reading_ts", "reading_id"))
+    assert spark_rows(live.read_alerts(spark).select(*alerts.columns)) == spark_rows(alerts)
